@@ -1,0 +1,4 @@
+"""Every source here is a closed monthly file and every operator is a batch job.
+
+Nothing streams, so the package holds no code.
+"""
