@@ -103,7 +103,7 @@ def nearest_quantiles(
     Nulls and NaN do not count. ``df`` is scanned a few times, so pass a table that
     is stored or materialized.
     """
-    sizes = df.agg(*[F.count(F.when(~F.isnan(c), 1)).alias(c) for c in columns]).first()
+    sizes = df.agg(*[F.count(F.when(~F.isnan(c), F.col(c))).alias(c) for c in columns]).first()
     targets = {
         (c, s): _Target(
             column=c,

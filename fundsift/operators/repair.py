@@ -49,7 +49,7 @@ DEFAULT_STEPS = {"check_redundant_quotes": FIX, "check_malformed_quotes": FIX}
 
 
 def _blank() -> Column:
-    return F.trim(F.col("line")) == ""
+    return ~F.rlike("line", F.lit(r"\S"))
 
 
 def _checked() -> Column:
@@ -139,6 +139,7 @@ def line_loss(lines: DataFrame, check: str) -> DataFrame:
     return counted.select(
         "file",
         "lines_before",
+        "lines_hit",
         after.alias("lines_after"),
         (after >= F.col("lines_before") * (1 - MAX_LOSS)).alias("accepted"),
     )

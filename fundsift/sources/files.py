@@ -174,7 +174,7 @@ def parse_lines(lines: DataFrame, header: str, declared: T.StructType) -> DataFr
         {"sep": SEPARATOR, "escape": '"', "mode": "FAILFAST"},
     )
     return (
-        lines.filter(~F.col("is_header") & (F.trim("line") != ""))
+        lines.filter(~F.col("is_header") & F.rlike("line", F.lit(r"\S")))
         .select(
             row.alias("row"),
             path_period(F.col("file")).alias("period"),
