@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fundsift.functions.columns import as_date, is_finite, month_index, period_of
+from fundsift.operators.keys import match_keys
 from fundsift.operators.ranking import top_n
 
 
@@ -29,21 +30,19 @@ def _highest_nav_first():
     return [F.desc_nulls_first("VL_PATRIM_LIQ"), F.desc("VL_QUOTA")]
 
 
-def primary_share_class(quotas: DataFrame) -> DataFrame:
-    """Rows of each fund's primary share class, on all its dates.
+def _classed(quotas: DataFrame) -> DataFrame:
+    return quotas.filter(F.col("ID_SUBCLASSE").isNotNull())
 
-    The primary class is the one with the highest NAV on the fund's latest date. The
-    join back is on fund and class, so that a fund with many rows does not land in
-    one task whole.
-    """
-    classed = quotas.filter(F.col("ID_SUBCLASSE").isNotNull())
-    primary = top_n(
-        classed,
-        ["cnpj"],
-        [F.desc("DT_COMPTC"), *_highest_nav_first(), F.asc("ID_SUBCLASSE")],
-        1,
-    ).select("cnpj", "ID_SUBCLASSE")
-    return classed.join(primary, ["cnpj", "ID_SUBCLASSE"], "left_semi")
+
+def primary_classes(quotas: DataFrame) -> DataFrame:
+    """(cnpj, ID_SUBCLASSE): per fund the class with the highest NAV on its latest date."""
+    latest_first = [F.desc("DT_COMPTC"), *_highest_nav_first(), F.asc("ID_SUBCLASSE")]
+    return top_n(_classed(quotas), ["cnpj"], latest_first, 1).select("cnpj", "ID_SUBCLASSE")
+
+
+def primary_share_class(quotas: DataFrame) -> DataFrame:
+    """Rows of each fund's primary share class, on all its dates."""
+    return match_keys(_classed(quotas), primary_classes(quotas), ["cnpj", "ID_SUBCLASSE"])
 
 
 def dedup_highest_nav(quotas: DataFrame) -> DataFrame:
@@ -69,8 +68,10 @@ def daily_nav(quotas: DataFrame) -> DataFrame:
     )
     slim = top_n(valid, ["cnpj", "DT_COMPTC", "ID_SUBCLASSE"], _highest_nav_first(), 1)
     unclassed = slim.filter(F.col("ID_SUBCLASSE").isNull())
+    # One fund and class has one row per day now, so a plain join on both is even.
     series = (
-        primary_share_class(slim)
+        _classed(slim)
+        .join(primary_classes(slim), ["cnpj", "ID_SUBCLASSE"], "left_semi")
         .unionByName(unclassed)
         .select(
             "cnpj",

@@ -199,7 +199,7 @@ def monthly_completeness(dated: DataFrame, group: list[str]) -> DataFrame:
             F.max(month).alias("_last"),
             F.count_distinct(month).alias("actual"),
         )
-        .withColumn("expected", F.col("_last") - F.col("_first") + 1)
+        .withColumn("expected", (F.col("_last") - F.col("_first") + 1).cast("long"))
         .select(*group, "expected", "actual", (F.col("expected") - F.col("actual")).alias("missing"))
     )
 
@@ -232,7 +232,7 @@ def daily_completeness(dated: DataFrame, group: list[str], by: str | None = None
     return (
         spans.join(numbered("_first"), [*_keys(by), "_first"])
         .join(numbered("_last"), [*_keys(by), "_last"])
-        .withColumn("expected", F.col("_last_no") - F.col("_first_no") + 1)
+        .withColumn("expected", (F.col("_last_no") - F.col("_first_no") + 1).cast("long"))
         .select(*group, "expected", "actual", (F.col("expected") - F.col("actual")).alias("missing"))
     )
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fundsift.functions import quotes
+from fundsift.operators.keys import match_keys
 from fundsift.session import materialize
 
 FIX, IGNORE = "fix", "ignore"
@@ -97,7 +98,8 @@ def _mark(lines: DataFrame, steps: Mapping[str, str]) -> DataFrame:
                 }
             )
             continue
-        # Dropping lines also drops the blank lines of a file that loses any.
+        # Dropping lines also drops the blank lines of a file that loses any. Only
+        # lines that may go are looked up by file; all others stay where they are.
         dropped = F.col(f"hit_{i}") | (_blank() & ~F.col("is_header"))
         per_file = lines.groupBy("file").agg(
             F.bool_or(f"hit_{i}").alias("_any"),
@@ -105,14 +107,19 @@ def _mark(lines: DataFrame, steps: Mapping[str, str]) -> DataFrame:
                 "_much"
             ),
         )
+        losing = materialize(per_file.filter(F.col("_any") & ~F.col("_much")).select("file"))
+        size = losing.count()
+        going = F.col("alive") & dropped
+        candidates = lines.filter(going)
+        gone = match_keys(candidates, losing, ["file"], "left_semi", size)
+        spared = match_keys(candidates, losing, ["file"], "left_anti", size)
         lines = (
-            lines.join(per_file, "file")
-            .withColumn(f"rejected_{i}", F.col("_any") & F.col("_much"))
-            .withColumn(
-                "alive",
-                F.col("alive") & ~(dropped & F.col("_any") & ~F.col(f"rejected_{i}")),
+            lines.filter(~going)
+            .withColumn(f"rejected_{i}", F.lit(False))
+            .unionByName(
+                gone.withColumns({"alive": F.lit(False), f"rejected_{i}": F.lit(False)})
             )
-            .drop("_any", "_much")
+            .unionByName(spared.withColumn(f"rejected_{i}", F.col(f"hit_{i}")))
         )
     return lines
 

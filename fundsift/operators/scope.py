@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from fundsift.config import Settings
 from fundsift.functions.columns import as_date, cnpj_to_numeric, period_end
-from fundsift.operators.keys import keep_keys
+from fundsift.operators.keys import keep_keys, match_keys
 from fundsift.operators.ranking import top_n
+from fundsift.session import materialize
 from fundsift.sources.files import recent_periods, unify_names
 
 RAW_ID = "CNPJ_FUNDO_CLASSE"
@@ -39,7 +40,7 @@ def exclude_nonpositive_nav(nav: DataFrame, latest_period: int) -> DataFrame:
     Funds are told apart by the id as written. Rows without an id are dropped.
     """
     removed = nav.filter(_nonpositive_at_end(nav, latest_period)).select(RAW_ID).distinct()
-    return nav.filter(F.col(RAW_ID).isNotNull()).join(removed, RAW_ID, "left_anti")
+    return match_keys(nav.filter(F.col(RAW_ID).isNotNull()), removed, [RAW_ID], "left_anti")
 
 
 def _nav_ids(nav: DataFrame, latest_period: int, settings: Settings) -> DataFrame:
@@ -62,8 +63,10 @@ def funds_in_scope(
     nav: DataFrame, registry: DataFrame, latest_period: int, settings: Settings
 ) -> DataFrame:
     """Ids that pass the rules in both the NAV table and the registry."""
-    registered = filter_registry(registry, settings).select(
-        F.col("CNPJ do Fundo").cast("long").alias("cnpj")
+    registered = (
+        filter_registry(registry, settings)
+        .select(F.col("CNPJ do Fundo").cast("long").alias("cnpj"))
+        .distinct()
     )
     return _nav_ids(nav, latest_period, settings).join(registered, "cnpj", "left_semi")
 
@@ -111,7 +114,8 @@ def filter_fixed_income(
     Of several NAV rows per fund and date the one with the highest NAV is kept.
     """
     nav = unify_names(recent_periods(nav, settings.num_period_months))
-    scope = funds_in_scope(nav, registry, latest_period, settings)
+    scope = materialize(funds_in_scope(nav, registry, latest_period, settings))
+    size = scope.count()
     rows = filter_fund_types(nav, settings)
     if settings.remove_funds_w_negative_nav:
         rows = exclude_nonpositive_nav(rows, latest_period)
@@ -130,4 +134,6 @@ def filter_fixed_income(
     listed = filter_registry(registry, settings).withColumn(
         "cnpj", F.col("CNPJ do Fundo").cast("long")
     )
-    return FixedIncome(keep_keys(rows, scope), keep_keys(listed, scope), scope)
+    return FixedIncome(
+        keep_keys(rows, scope, "cnpj", size), keep_keys(listed, scope, "cnpj", size), scope
+    )

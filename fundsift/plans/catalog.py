@@ -1111,7 +1111,7 @@ def _(t):
 
 
 _MONTH = "year(o_orderdate) * 12 + month(o_orderdate)"
-_MONTHLY_SQL = f"""SELECT o_custkey, CAST(max({_MONTH}) - min({_MONTH}) + 1 AS INTEGER) AS expected,
+_MONTHLY_SQL = f"""SELECT o_custkey, max({_MONTH}) - min({_MONTH}) + 1 AS expected,
     count(DISTINCT {_MONTH}) AS actual,
     max({_MONTH}) - min({_MONTH}) + 1 - count(DISTINCT {_MONTH}) AS missing
     FROM orders GROUP BY o_custkey"""

@@ -70,12 +70,15 @@ def vintages(spark: SparkSession, files: list[str], encoding: str = ENCODING) ->
     for f in files:
         members.setdefault(group_of(f), []).append(f)
 
-    def header(file: str) -> str:
-        row = spark.read.text(file).select(_decoded(encoding).alias("line")).head()
-        return row.line if row else ""
+    def header(parts: list[str]) -> str | None:
+        for file in parts:
+            row = spark.read.text(file).select(_decoded(encoding).alias("line")).head()
+            if row:
+                return row.line
+        return None
 
     with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(header, (parts[0] for parts in members.values())))
+        headers = list(pool.map(header, members.values()))
     found: dict[str, list[str]] = {}
     for line, parts in zip(headers, members.values()):
         if line:
