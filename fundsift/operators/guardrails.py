@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from fundsift.config import GUARDRAIL_NAMES, Guardrail
 from fundsift.functions.columns import as_date
-from fundsift.operators.keys import MAX_BROADCAST_KEYS
-from fundsift.session import materialize
 
 
 def _funds(scored: DataFrame) -> DataFrame:
@@ -36,14 +34,13 @@ def _check(scored: DataFrame, rule: Guardrail, evidence, failed: Column) -> Data
 def manager_sizes(characteristics: DataFrame, managers: DataFrame) -> DataFrame:
     """Per fund: its manager and how many active funds that manager has.
 
-    Managers up to ``MAX_BROADCAST_KEYS`` are sent to every task. More are joined by a
-    shuffle of one small row per fund, where adaptive execution splits a manager that
-    has very many.
+    One small row per fund on one side, one per manager on the other. Adaptive execution
+    sends the managers to every task if they turn out small, and else splits the join
+    partition of a manager that has very many funds.
     """
-    sizes = materialize(managers.select("fund_manager", "num_funds"))
-    if sizes.count() <= MAX_BROADCAST_KEYS:
-        sizes = F.broadcast(sizes)
-    return characteristics.select("cnpj", "fund_manager").join(sizes, "fund_manager", "left")
+    return characteristics.select("cnpj", "fund_manager").join(
+        managers.select("fund_manager", "num_funds"), "fund_manager", "left"
+    )
 
 
 def min_offer_per_issuer(

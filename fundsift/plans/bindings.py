@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundsift.config import DEFAULT_PROFILES, RATING_ORDER, Settings
+from fundsift.config import RATING_ORDER, Settings
 from fundsift.functions.columns import cnpj_to_formatted, period_of
 from fundsift.operators import features, holdings, primary, registry
 from fundsift.plans.pipeline import Raw, evidence_per_fund
@@ -113,10 +113,16 @@ class Tables:
             .groupBy("l_suppkey", F.last_day(ship_date()).alias("DT_COMPTC"))
             .agg(F.round(F.sum("l_extendedprice"), 2).alias("total"))
         )
-        owners = self.suppliers().select("s_suppkey", "s_name", "s_acctbal", "r_name")
+        owners = self.suppliers().select(
+            "s_suppkey",
+            cnpj_to_formatted("s_suppkey").alias("CNPJ_FUNDO"),
+            "s_name",
+            "s_acctbal",
+            "r_name",
+        )
         return monthly.join(owners, F.col("l_suppkey") == F.col("s_suppkey")).select(
             fund_type().alias("TP_FUNDO"),
-            cnpj_to_formatted("l_suppkey").alias("CNPJ_FUNDO"),
+            "CNPJ_FUNDO",
             F.col("s_name").alias("DENOM_SOCIAL"),
             "DT_COMPTC",
             F.when(F.col("s_acctbal") <= 0, -F.col("total"))
@@ -265,15 +271,19 @@ class Tables:
     def characteristics(self) -> DataFrame:
         return registry.fund_characteristics(self.registry(), self.funds(), one_hot=False)
 
+    @cached_property
+    def stored_characteristics(self) -> DataFrame:
+        return materialize(self.characteristics())
+
+    @cached_property
     def evidence(self) -> DataFrame:
         """Features and guardrail evidence of all suppliers, stored."""
-        characteristics = materialize(self.characteristics())
         return materialize(
             evidence_per_fund(
                 self.returns(),
                 self.positions(),
-                characteristics,
-                registry.fund_managers(characteristics),
+                self.stored_characteristics,
+                registry.fund_managers(self.stored_characteristics),
                 self.settings,
             )
         )
@@ -281,6 +291,3 @@ class Tables:
     def sharpe(self) -> DataFrame:
         return features.sharpe_ratio(self.returns(), self.latest_period, self.settings)
 
-
-def profile_names() -> list[str]:
-    return [p.name for p in DEFAULT_PROFILES]

@@ -36,7 +36,7 @@ from fundsift.plans import oracle as o
 from fundsift.plans import pipeline
 from fundsift.plans.bindings import AS_OF, Tables
 from fundsift.plans.oracle import num, r6
-from fundsift.session import materialize, scratch_path
+from fundsift.session import scratch_path
 from fundsift.sources import files, schemas, sinks
 
 
@@ -762,7 +762,7 @@ def _(t):
     f"SELECT feature, n, {r6('lo')} AS lo, {r6('hi')} AS hi FROM bounds",
 )
 def _(t):
-    ready = materialize(normalize.prepared(t.evidence(), t.settings))
+    ready = normalize.prepared(t.evidence, t.settings)
     bounds = normalize.score_bounds(ready, t.settings)
     counts = ready.agg(*[F.count(c).alias(c) for c in bounds])
     rows = F.array(
@@ -780,7 +780,7 @@ def _(t):
 
 
 def _one_score(t: Tables, source: str) -> tuple[DataFrame, list[float]]:
-    ready = materialize(normalize.prepared(t.evidence(), t.settings))
+    ready = normalize.prepared(t.evidence, t.settings)
     shares = [
         t.settings.normalization_lower_percentile,
         t.settings.normalization_upper_percentile,
@@ -825,7 +825,7 @@ def _(t):
 
 
 def _scoring_input(t: Tables) -> DataFrame:
-    return normalize.scoring_input(t.evidence(), t.settings)
+    return normalize.scoring_input(t.evidence, t.settings)
 
 
 @query(
@@ -913,17 +913,10 @@ _RANKING_SQL = f"""SELECT {o.formatted('cnpj')} AS "CNPJ", commercial_name AS "F
     CAST(rank_no AS INTEGER) AS "Rank" FROM eligible"""
 
 
-def _ranking(t: Tables) -> pipeline.Ranking:
-    return pipeline.rank_funds(t.evidence(), t.characteristics(), t.settings)
-
-
 def _eligible(t: Tables) -> DataFrame:
-    evidence, characteristics = t.evidence(), t.characteristics()
-    scored = scoring.profile_scores(
-        normalize.scoring_input(evidence, t.settings), t.settings
-    )
-    mark = guardrails.guardrail_mark(evidence, t.settings.guardrails)
-    return scoring.eligible(scored, mark, characteristics, t.settings)
+    scored = scoring.profile_scores(_scoring_input(t), t.settings)
+    mark = guardrails.guardrail_mark(t.evidence, t.settings.guardrails)
+    return scoring.eligible(scored, mark, t.stored_characteristics, t.settings)
 
 
 @query("complete_ranking", _RANKING_SQL)
@@ -1019,7 +1012,7 @@ def _(t):
 
 @query("guardrail_mark", "SELECT cnpj, pass_guardrail, failed_guardrails FROM marks")
 def _(t):
-    return guardrails.guardrail_mark(t.evidence(), t.settings.guardrails)
+    return guardrails.guardrail_mark(t.evidence, t.settings.guardrails)
 
 
 # -- data quality ---------------------------------------------------------------------
