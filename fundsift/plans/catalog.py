@@ -513,35 +513,30 @@ def _(t):
     return t.characteristics().select(*_CHARACTERISTICS)
 
 
-# Labels of the level columns with the flag each becomes.
-_FLAGS = {
-    "is_asia": "anbima_category_level_1 = 'ASIA'",
-    "is_europe": "anbima_category_level_1 = 'EUROPE'",
-    "is_middle_east": "anbima_category_level_1 = 'MIDDLE EAST'",
-    "is_nation_7": "anbima_category_level_2 = 'NATION_7'",
-    "is_nation_24": "anbima_category_level_2 = 'NATION_24'",
-    "is_duracao_alta___credito_livre": "anbima_category_level_3 = 'Duração Alta - Crédito Livre'",
-    "is_duracao_media_soberano": "anbima_category_level_3 = 'Duração Média (Soberano)'",
-    "is_simples": "anbima_category_level_3 = 'Simples'",
-}
+def _safe_name_sql(label: str) -> str:
+    words = f"replace(replace(strip_accents(lower({label})), ' ', '_'), '-', '_')"
+    return f"'is_' || regexp_replace({words}, '[^a-z0-9_]', '', 'g')"
 
 
 @query(
     "one_hot_categories",
-    "SELECT cnpj, "
-    + ", ".join(f"CAST({rule} AS TINYINT) AS {flag}" for flag, rule in _FLAGS.items())
-    + " FROM characteristics",
+    " UNION ALL ".join(
+        f"""SELECT cnpj, {_safe_name_sql('label')} AS flag, CAST({level} = label AS TINYINT) AS value
+        FROM characteristics, (SELECT DISTINCT {level} AS label FROM characteristics) l
+        WHERE label IS NOT NULL"""
+        for level in registry.LEVELS
+    ),
 )
 def _(t):
-    wide = registry.fund_characteristics(t.registry(), t.funds())
-    return wide.select("cnpj", *_FLAGS)
+    narrow = registry.fund_characteristics(t.registry(), t.funds(), one_hot=False)
+    wide = registry.one_hot_categories(narrow)
+    flags = [c for c in wide.columns if c not in narrow.columns]
+    return wide.unpivot("cnpj", flags, "flag", "value")
 
 
 @query(
     "safe_column_name",
-    r"""SELECT label, 'is_' || regexp_replace(
-            replace(replace(strip_accents(lower(label)), ' ', '_'), '-', '_'), '[^a-z0-9_]', '', 'g')
-            AS safe_name
+    f"""SELECT label, {_safe_name_sql('label')} AS safe_name
         FROM (SELECT DISTINCT anbima_category_level_1 AS label FROM registry UNION
               SELECT DISTINCT anbima_category_level_2 FROM registry UNION
               SELECT DISTINCT anbima_category_level_3 FROM registry) WHERE label IS NOT NULL""",

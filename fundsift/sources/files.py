@@ -118,8 +118,9 @@ def scan_partitioned_csv(
 ) -> DataFrame:
     """All files of a folder as one typed table, plus ``period`` and ``file_name``.
 
-    A value of the wrong type or a line with too few or too many fields fails the
-    read. ``columnPruning`` is off because a pruned parse would not see such lines.
+    A value of the wrong type in a column that is read fails the read, and so does a
+    line with too few or too many fields; ``columnPruning`` is off because a pruned
+    parse would not see the latter.
     """
     files = recent_files(list_files(spark, path), num_periods)
     tables = []
@@ -171,13 +172,15 @@ def raw_lines(
 def parse_lines(lines: DataFrame, header: str, declared: T.StructType) -> DataFrame:
     """Lines of one vintage as a typed table, plus ``period`` and ``file_name``."""
     schema = for_header(header_columns(header), declared)
+    data = ~F.col("is_header") & F.rlike("line", F.lit(r"\S"))
     row = F.from_csv(
-        "line",
+        # Spark may test a parsed field before it drops the other lines.
+        F.when(data, F.col("line")),
         ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields),
         {"sep": SEPARATOR, "escape": '"', "mode": "FAILFAST"},
     )
     return (
-        lines.filter(~F.col("is_header") & F.rlike("line", F.lit(r"\S")))
+        lines.filter(data)
         .select(
             row.alias("row"),
             path_period(F.col("file")).alias("period"),
