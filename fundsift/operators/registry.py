@@ -44,18 +44,21 @@ def one_hot_categories(
 ) -> DataFrame:
     """One ``is_*`` flag per category of each level; unknown category, unknown flag.
 
-    The categories become columns, so the driver must know them. A level with more
-    than ``max_categories`` values is refused before anything large is fetched. Labels
-    that give the same column name share it; the last level wins.
+    The categories become columns, so the driver must know them. More than
+    ``max_categories`` in all are refused before anything large is fetched. Labels that
+    give the same column name share it; the last level wins.
     """
-    flags = {}
-    for level in levels:
-        found = df.select(level).distinct().dropna().limit(max_categories + 1).collect()
-        if len(found) > max_categories:
-            raise ValueError(f"{level} has over {max_categories} categories")
-        for label in sorted(row[0] for row in found):
-            flags[safe_column_name(label)] = (F.col(level) == label).cast("byte")
-    return df.withColumns(flags)
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("label")) for i, c in enumerate(levels)])
+    found = (
+        df.select(F.inline(pairs)).dropna().distinct().limit(max_categories + 1).collect()
+    )
+    if len(found) > max_categories:
+        raise ValueError(f"over {max_categories} categories")
+    flags = {
+        safe_column_name(label): (F.col(levels[i]) == label).cast("byte")
+        for i, label in sorted(tuple(row) for row in found)
+    }
+    return df.withColumns(flags) if flags else df
 
 
 def fund_characteristics(registry: DataFrame, scope: DataFrame, one_hot: bool = True) -> DataFrame:

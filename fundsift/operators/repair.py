@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fundsift.functions import quotes
-from fundsift.operators.keys import match_keys
+from fundsift.operators.keys import MAX_BROADCAST_KEYS, match_keys
 from fundsift.session import materialize
 
 FIX, IGNORE = "fix", "ignore"
@@ -110,6 +110,20 @@ def _mark(lines: DataFrame, steps: Mapping[str, str]) -> DataFrame:
         losing = materialize(per_file.filter(F.col("_any") & ~F.col("_much")).select("file"))
         size = losing.count()
         going = F.col("alive") & dropped
+        if size <= MAX_BROADCAST_KEYS:
+            known = F.broadcast(losing.withColumn("_loses", F.lit(True)))
+            loses = F.coalesce("_loses", F.lit(False))
+            lines = (
+                lines.join(known, "file", "left")
+                .withColumns(
+                    {
+                        "alive": F.col("alive") & ~(going & loses),
+                        f"rejected_{i}": F.col(f"hit_{i}") & ~loses,
+                    }
+                )
+                .drop("_loses")
+            )
+            continue
         candidates = lines.filter(going)
         gone = match_keys(candidates, losing, ["file"], "left_semi", size)
         spared = match_keys(candidates, losing, ["file"], "left_anti", size)
@@ -163,8 +177,11 @@ def _per_block(marked: DataFrame, n_steps: int) -> DataFrame:
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    blocks = marked.groupBy("file", "block").agg(
-        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), *columns
+    # Stored, so that the lines are read once for the lists and the block sizes.
+    blocks = materialize(
+        marked.groupBy("file", "block").agg(
+            F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), *columns
+        )
     )
     sizes = blocks.select("file", "block", "n")
     starts = sizes.select(
@@ -240,7 +257,7 @@ def raw_validation(
     where a file has up to ``MAX_LISTED`` of them. A repair that was undone is failed.
     """
     usable = _usable(steps)
-    blocks = materialize(_per_block(_mark(lines, steps), len(usable)))
+    blocks = _per_block(_mark(lines, steps), len(usable))
     report = reduce(
         DataFrame.unionByName,
         [_step_report(blocks, i, dataset, *step) for i, step in enumerate(usable)],

@@ -8,13 +8,12 @@ is materialized at that size.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundsift.config import RATING_ORDER, Settings
-from fundsift.functions.columns import as_date
 from fundsift.operators import features, guardrails, normalize, primary, quality, scope, scoring
 from fundsift.operators import registry as reg
 from fundsift.operators import repair
@@ -151,11 +150,14 @@ def read_raw(
 
 
 def with_reference_dates(raw: Raw, settings: Settings) -> Settings:
-    """Settings with the latest period and date, taken from the quotas where not given."""
-    from dataclasses import replace
+    """Settings with the latest period and date, taken from the quotas where not given.
 
+    File names tell the latest period without reading; only its files are read for the
+    latest date.
+    """
     if settings.max_period is None:
-        latest = raw.daily_quotas.agg(F.max("period")).first()[0]
+        named = [p for p in map(files.file_period, raw.daily_quotas.inputFiles()) if p]
+        latest = max(named) if named else raw.daily_quotas.agg(F.max("period")).first()[0]
         settings = replace(settings, max_period=latest)
     if settings.max_ref_date is None:
         ref = files.max_ref_date(raw.daily_quotas, settings.max_period).first()[0]

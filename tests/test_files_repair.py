@@ -229,3 +229,14 @@ def test_registry_source(spark, tmp_path):
     ]
     got.write.parquet(str(tmp_path / "r.parquet"))
     assert files.registry_source(spark, str(tmp_path / "r.parquet"), schemas.REGISTRY).count() == 2
+
+
+def test_a_period_filter_leaves_other_files_unread(spark, tmp_path):
+    for month in (202301, 202302, 202303):
+        put(tmp_path / "pl", f"{month}.csv", [OLD, URCA])
+    put(tmp_path / "pl", "202304.csv", [OLD, URCA.replace("-184655.57", "broken")])
+    table = files.scan_partitioned_csv(spark, str(tmp_path / "pl"), schemas.MONTHLY_NAV)
+    assert table.filter("period = 202302").collect()[0].VL_PATRIM_LIQ == -184655.57
+    [(header, lines)] = files.raw_lines(spark, str(tmp_path / "pl")).items()
+    parsed = files.parse_lines(lines, header, schemas.MONTHLY_NAV)
+    assert parsed.filter("period = 202302").collect()[0].VL_PATRIM_LIQ == -184655.57
