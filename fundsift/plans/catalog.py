@@ -35,7 +35,7 @@ from fundsift.operators import (
 from fundsift.plans import oracle as o
 from fundsift.plans import pipeline
 from fundsift.plans.bindings import AS_OF, Tables
-from fundsift.plans.oracle import num, r6
+from fundsift.plans.oracle import r6
 from fundsift.session import scratch_path
 from fundsift.sources import files, schemas, sinks
 
@@ -334,7 +334,7 @@ _NAV_COLUMNS = ["CNPJ_FUNDO_CLASSE", "DT_COMPTC", "VL_PATRIM_LIQ"]
 @query(
     "filter_fund_types",
     f"""SELECT {_NAV_SQL}, fund_type AS "TP_FUNDO_CLASSE" FROM monthly_nav_raw
-        WHERE fund_type IN ({o.text_list(o._S.fund_types)})""",
+        WHERE fund_type IN ({o.text_list(o.SETTINGS.fund_types)})""",
 )
 def _(t):
     nav = scope.filter_fund_types(files.unify_names(t.raw_monthly_nav()), t.settings)
@@ -619,7 +619,7 @@ def _(t):
 @query(
     "last_n_days",
     f"""SELECT cnpj, date, {r6('daily_return')} AS daily_return FROM recent
-        WHERE recency <= {o._L}""",
+        WHERE recency <= {o.LONG}""",
 )
 def _(t):
     inside = features.up_to_period(t.returns(), t.latest_period)
@@ -785,7 +785,7 @@ def _one_score(t: Tables, source: str) -> tuple[DataFrame, list[float]]:
 
 @query(
     "winsorize_minmax",
-    f"SELECT cnpj, {r6(o._scaled('fund_age_score'))} AS score FROM prepared",
+    f"SELECT cnpj, {r6(o.scaled('fund_age_score'))} AS score FROM prepared",
 )
 def _(t):
     ready, bounds = _one_score(t, "fund_age_score")
@@ -794,7 +794,7 @@ def _(t):
 
 @query(
     "inverted_score",
-    f"SELECT cnpj, {r6('1e0 - ' + '(' + o._scaled('concentration_hhi') + ')')} AS score FROM prepared",
+    f"SELECT cnpj, {r6('1e0 - (' + o.scaled('concentration_hhi') + ')')} AS score FROM prepared",
 )
 def _(t):
     ready, bounds = _one_score(t, "concentration_hhi")
@@ -848,7 +848,7 @@ def _(t):
     "feature_availability",
     "SELECT cnpj, "
     + ", ".join(f"CAST({o.finite(f)} AS INTEGER) AS {f}_available" for f in FEATURE_WEIGHTS)
-    + f", {r6('(' + ' + '.join(o._AVAILABLE.values()) + ') / 7e0 * 100')}"
+    + f", {r6('(' + ' + '.join(o.AVAILABLE.values()) + ') / 7e0 * 100')}"
     " AS pct_features_considered FROM scoring_input",
 )
 def _(t):
@@ -1246,12 +1246,16 @@ def _(t):
 _IN_SCOPE = {"chosen": "SELECT cnpj FROM funds_in_scope"}
 
 
-@query("full_pipeline", _RANKING_SQL, **_IN_SCOPE)
+@query("end_to_end_ranking", _RANKING_SQL, **_IN_SCOPE)
 def _(t):
     return pipeline.run(t.raw(), t.settings).complete_ranking
 
 
-@query("full_pipeline_marks", "SELECT cnpj, pass_guardrail, failed_guardrails FROM marks", **_IN_SCOPE)
+@query(
+    "end_to_end_marks",
+    "SELECT cnpj, pass_guardrail, failed_guardrails FROM marks",
+    **_IN_SCOPE,
+)
 def _(t):
     return pipeline.run(t.raw(), t.settings).guardrail_mark
 

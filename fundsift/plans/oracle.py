@@ -19,7 +19,7 @@ from fundsift.config import (
 from fundsift.operators.normalize import SCORES
 from fundsift.plans.bindings import AS_OF
 
-_S = Settings()
+SETTINGS = Settings()
 _SCALE = CreditRating()
 
 
@@ -104,30 +104,30 @@ def _within(n: int, what: str) -> str:
     return f"CASE WHEN recency <= {n} THEN {what} END"
 
 
-_L, _C = _S.trading_days_12m, _S.trading_days_3m
-_EXCESS = f"daily_return - {num(_S.risk_free_rate_daily)}"
+LONG, SHORT = SETTINGS.trading_days_12m, SETTINGS.trading_days_3m
+_EXCESS = f"daily_return - {num(SETTINGS.risk_free_rate_daily)}"
 CTES["vol"] = f"""
-SELECT cnpj, sqrt({_L}) * stddev_samp(daily_return) AS volatility,
-       sqrt({_L}) * stddev_samp({_within(_L, 'daily_return')}) AS volatility_12m,
-       sqrt({_L}) * stddev_samp({_within(_C, 'daily_return')}) AS volatility_3m,
-       {_L} * avg({_within(_L, _EXCESS)}) AS excess_12m,
-       {_L} * avg({_within(_C, _EXCESS)}) AS excess_3m,
-       count({_within(_L, '1')}) AS n_12m, count({_within(_C, '1')}) AS n_3m
+SELECT cnpj, sqrt({LONG}) * stddev_samp(daily_return) AS volatility,
+       sqrt({LONG}) * stddev_samp({_within(LONG, 'daily_return')}) AS volatility_12m,
+       sqrt({LONG}) * stddev_samp({_within(SHORT, 'daily_return')}) AS volatility_3m,
+       {LONG} * avg({_within(LONG, _EXCESS)}) AS excess_12m,
+       {LONG} * avg({_within(SHORT, _EXCESS)}) AS excess_3m,
+       count({_within(LONG, '1')}) AS n_12m, count({_within(SHORT, '1')}) AS n_3m
 FROM recent GROUP BY cnpj"""
 
 
 def _sharpe(window: str) -> str:
     ratio = f"excess_{window} / volatility_{window}"
-    usable = f"volatility_{window} > {num(_S.epsilon_volatility)}"
+    usable = f"volatility_{window} > {num(SETTINGS.epsilon_volatility)}"
     return (
-        f"CASE WHEN {usable} THEN least(greatest({ratio}, {num(-_S.sharpe_cap)}), "
-        f"{num(_S.sharpe_cap)}) END"
+        f"CASE WHEN {usable} THEN least(greatest({ratio}, {num(-SETTINGS.sharpe_cap)}), "
+        f"{num(SETTINGS.sharpe_cap)}) END"
     )
 
 
 CTES["sharpe"] = f"""
 SELECT cnpj, {_sharpe('12m')} AS sharpe_12m, {_sharpe('3m')} AS sharpe_3m,
-       n_12m / {num(_L)} AS pct_cov_12m, n_3m / {num(_C)} AS pct_cov_3m
+       n_12m / {num(LONG)} AS pct_cov_12m, n_3m / {num(SHORT)} AS pct_cov_3m
 FROM vol"""
 
 CTES["suppliers"] = """
@@ -172,15 +172,15 @@ JOIN suppliers ON l_suppkey = s_suppkey"""
 CTES["all_funds"] = "SELECT s_suppkey AS cnpj FROM supplier"
 
 _NEGATIVE = "dt = period_end AND nav <= 0"
-_TYPES = f"fund_type IN ({text_list(_S.fund_types)})"
+_TYPES = f"fund_type IN ({text_list(SETTINGS.fund_types)})"
 CTES["nav_kept"] = f"""
 SELECT * FROM monthly_nav_raw
 WHERE {_TYPES} AND raw_id NOT IN (SELECT raw_id FROM monthly_nav_raw, ref
                                   WHERE {_NEGATIVE} AND {_TYPES})"""
 
 CTES["registry_kept"] = f"""
-SELECT * FROM registry WHERE anbima_category_main IN ({text_list(_S.registry_categories)})
-AND accessability IN ({text_list(_S.accessability)})"""
+SELECT * FROM registry WHERE anbima_category_main IN ({text_list(SETTINGS.registry_categories)})
+AND accessability IN ({text_list(SETTINGS.accessability)})"""
 
 CTES["funds_in_scope"] = """
 SELECT DISTINCT cnpj FROM nav_kept WHERE cnpj IN (SELECT cnpj FROM registry_kept)"""
@@ -242,7 +242,7 @@ FROM (SELECT cnpj, 1.0e0 AS pct_rated, avg(rating_score) AS avg_rating_score,
       FROM active JOIN scale USING (rating) GROUP BY cnpj)"""
 
 _DAYS = f"date_diff('day', CAST(inception_date AS DATE), DATE '{AS_OF}')"
-_CAP = num(_S.fund_age_cap_years)
+_CAP = num(SETTINGS.fund_age_cap_years)
 CTES["age"] = f"""
 SELECT cnpj, inception_date, CAST({_DAYS} AS INTEGER) AS fund_age_days,
        {_DAYS} / 365e0 AS fund_age_years,
@@ -292,7 +292,7 @@ def _rank_of(share: float) -> str:
     return f"floor((n - 1) * {num(share)} + 0.5e0) + 1"
 
 
-_LOW, _HIGH = _S.normalization_lower_percentile, _S.normalization_upper_percentile
+_LOW, _HIGH = SETTINGS.normalization_lower_percentile, SETTINGS.normalization_upper_percentile
 CTES["bounds"] = " UNION ALL ".join(
     f"""SELECT '{c}' AS feature,
        max(CASE WHEN i = {_rank_of(_LOW)} THEN v END) AS lo,
@@ -307,21 +307,21 @@ def _bound(feature: str, end: str) -> str:
     return f"(SELECT {end} FROM bounds WHERE feature = '{feature}')"
 
 
-def _scaled(feature: str) -> str:
+def scaled(feature: str) -> str:
     low, high = _bound(feature, "lo"), _bound(feature, "hi")
     return f"({clip(feature, low, high)} - {low}) / nullif({high} - {low}, 0)"
 
 
 def _score(name: str) -> str:
     feature, less_is_better = SCORES[name]
-    scaled = _scaled(feature)
+    expr = scaled(feature)
     if name == "sharpe_score":
         low, high = _bound(feature, "lo"), _bound(feature, "hi")
-        scaled = (
+        expr = (
             f"CASE WHEN {low} = {high} THEN CASE WHEN {feature} IS NOT NULL THEN 1e0 END "
-            f"ELSE {scaled} END"
+            f"ELSE {expr} END"
         )
-    return f"1e0 - {scaled}" if less_is_better else scaled
+    return f"1e0 - {expr}" if less_is_better else expr
 
 
 CTES["scoring_input"] = (
@@ -339,18 +339,18 @@ CTES["profiles"] = (
     + ")"
 )
 
-_AVAILABLE = {f: f"CAST({finite(f)} AS INTEGER)" for f in FEATURE_WEIGHTS}
+AVAILABLE = {f: f"CAST({finite(f)} AS INTEGER)" for f in FEATURE_WEIGHTS}
 CTES["weighted"] = f"""
-SELECT *, ({' + '.join(_AVAILABLE.values())}) / {num(len(FEATURE_WEIGHTS))} * 100
+SELECT *, ({' + '.join(AVAILABLE.values())}) / {num(len(FEATURE_WEIGHTS))} * 100
            AS pct_features_considered,
-       {' + '.join(f'w_{w} * {_AVAILABLE[f]}' for f, w in FEATURE_WEIGHTS.items())} AS weight
+       {' + '.join(f'w_{w} * {AVAILABLE[f]}' for f, w in FEATURE_WEIGHTS.items())} AS weight
 FROM scoring_input, profiles"""
 
 _PARTS = " + ".join(
     f"CASE WHEN {finite(f)} THEN w_{w} / nullif(weight, 0) * {f} ELSE 0e0 END"
     for f, w in FEATURE_WEIGHTS.items()
 )
-_G = _S.gamma_coverage_penalty
+_G = SETTINGS.gamma_coverage_penalty
 CTES["scores"] = f"""
 SELECT cnpj, investor_profile, pct_features_considered, score_raw,
        score_raw * ({num(_G)} + {num(1 - _G)} * (pct_features_considered / 100)) AS score

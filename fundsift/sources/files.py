@@ -97,6 +97,8 @@ def unify_names(df: DataFrame) -> DataFrame:
 
 def drift_union(tables: list[DataFrame]) -> DataFrame:
     """Union of tables of different vintages: new names, missing columns null."""
+    if not tables:
+        raise ValueError("no tables to unite: no files with a header were found")
     return reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True), map(unify_names, tables)
     )
