@@ -247,3 +247,38 @@ def test_assert_unique(spark):
     assert rows(registry.unique_key_report(df)) == [(3, 3)]
     with pytest.raises(ValueError, match="1 values of cnpj share 2 rows"):
         registry.assert_unique(df.union(spark.createDataFrame([(None,)], "cnpj long")))
+
+
+def test_daily_nav_against_plain_python_with_one_huge_fund(spark):
+    import random
+
+    random.seed(11)
+    data = []
+    for i in range(6000):
+        fund = 1 if i % 3 == 0 else random.randint(2, 300)
+        date = dt.date(2024, 1, 1) + dt.timedelta(days=random.randint(0, 9))
+        nav = random.choice([None, float(random.randint(1, 50))])
+        quota = random.choice([float(random.randint(1, 1000)), 0.0, float("nan")])
+        data.append((fund, date.isoformat(), quota, nav, random.choice([None, "A", "B", "C"])))
+
+    def highest(row):  # null NAV first, then by NAV, then by quota
+        return (row[3] is None, row[3] or 0.0, row[2])
+
+    valid = [r for r in data if r[2] > 0]
+    primary_class = {}
+    for fund in {r[0] for r in valid}:
+        classed = [r for r in valid if r[0] == fund and r[4] is not None]
+        if classed:
+            last = max(r[1] for r in classed)
+            best = max(highest(r) for r in classed if r[1] == last)
+            primary_class[fund] = min(r[4] for r in classed if r[1] == last and highest(r) == best)
+    want = {}
+    for row in valid:
+        if row[4] is not None and row[4] != primary_class[row[0]]:
+            continue
+        key, rank = (row[0], dt.date.fromisoformat(row[1])), (row[4] is not None, highest(row))
+        if key not in want or rank > want[key][0]:
+            want[key] = (rank, row[2])
+    got = primary.daily_nav(spark.createDataFrame(data, QUOTA).repartition(6)).collect()
+    assert {(r.cnpj, r.date): r.quota_value for r in got} == {k: q for k, (_, q) in want.items()}
+    assert len(got) == len(want)
