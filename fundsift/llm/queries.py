@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundsift.llm import byte_bpe, exact_dedup, language, sharding
+from fundsift.llm import byte_bpe, exact_dedup, language, minhash, sharding
 from fundsift.llm.common import remainder, table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,8 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", held_out.alias("held_out"), predicted.alias("found")).select(
         "doc_id", "held_out", "found.lang_pred", "found.score"
     )
+
+
+@query
+def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
