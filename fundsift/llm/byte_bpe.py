@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column
@@ -26,7 +27,10 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 WORD_BITS = 256
 
 #: Pre-tokens remembered per Python worker; twice as many at most are held.
-CACHED = 150_000
+CACHED = 200_000
+
+#: Bits of a token id in the key of a pair.
+SHIFT = 20
 
 #: Matches handled at a time, which bounds memory for very long texts.
 MATCHES = 200_000
@@ -40,13 +44,6 @@ class RankQueue:
         self.words = [0] * (ranks // WORD_BITS + 1)
         self.summary = 0
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets[rank]
-        if bucket is None:
-            self.put(rank, [position])
-        else:
-            bucket.append(position)
-
     def put(self, rank: int, positions: list[int]) -> None:
         self.buckets[rank] = positions
         high, low = divmod(rank, WORD_BITS)
@@ -74,84 +71,98 @@ class RankQueue:
 
 
 class ByteBpe:
-    """One vocabulary: token bytes by rank and rank by token bytes."""
+    """One vocabulary: token bytes by rank, and the rank of every pair that merges."""
 
     def __init__(self, rank_of: dict[bytes, int], pattern: str):
         self.rank_of = rank_of
         self.bytes_of = [b""] * (max(rank_of.values()) + 1)
         for token, rank in rank_of.items():
             self.bytes_of[rank] = token
+        self.pair_rank: dict[int, int] = {}
+        #: Ranks whose merge may bring about a pair of lower rank.
+        self.falling: set[int] = set()
+        for token, rank in rank_of.items():
+            for cut in range(1, len(token)):
+                left, right = rank_of.get(token[:cut]), rank_of.get(token[cut:])
+                if left is not None and right is not None:
+                    self.pair_rank[left << SHIFT | right] = rank
+                    self.falling.update(r for r in (left, right) if r > rank)
+        self.byte_rank = np.array([rank_of[bytes([b])] for b in range(256)])
+        pairs = (self.pair_rank.get(int(x) << SHIFT | int(y), -1) for x in self.byte_rank for y in self.byte_rank)
+        self.first_rank = np.fromiter(pairs, np.int64, 1 << 16)
         self.pattern = regex.compile(pattern)
         self.queue = RankQueue(len(self.bytes_of))
-        self.known = Pieces(self)
+        self.known = Pieces()
 
     def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Token ids of each piece, every piece merged on its own."""
-        rank_of, queue = self.rank_of.get, self.queue
-        text = b"".join(pieces)
-        n = len(text)
-        end = list(range(1, n + 1))  # where the token that starts here ends
-        before = list(range(-1, n - 1))  # where the token to the left starts
-        after = list(range(1, n + 1))  # where the token to the right starts, -1 at a piece's end
-        waiting = [-1] * n  # rank of the pair that starts here, -1 if none
-        starts, at = [], 0
-        for piece in pieces:
-            starts.append(at)
-            at += len(piece)
-            before[at - len(piece)] = -1
-            after[at - 1] = -1
+        pair_rank, queue = self.pair_rank.get, self.queue
         buckets, put = queue.buckets, queue.put
-        for i in range(n - 1):
-            if after[i] >= 0 and (rank := rank_of(text[i : i + 2])) is not None:
-                waiting[i] = rank
-                if (bucket := buckets[rank]) is None:
-                    put(rank, [i])
-                else:
-                    bucket.append(i)
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        stops = np.cumsum([len(piece) for piece in pieces])
+        starts = np.concatenate([[0], stops[:-1]])
+        links = np.arange(len(raw))
+        right, left = links + 1, links - 1
+        right[stops - 1] = -1
+        left[starts] = -1
+        ranks = np.full(len(raw), -1)
+        ranks[:-1] = self.first_rank[raw[:-1].astype(np.int64) << 8 | raw[1:]]
+        ranks[stops - 1] = -1
+        order = np.argsort(ranks, kind="stable")
+        order = order[np.searchsorted(ranks[order], 0) :]
+        cuts = np.flatnonzero(np.diff(ranks[order])) + 1
+        for group in np.split(order, cuts) if len(order) else ():
+            put(int(ranks[group[0]]), group.tolist())
+        token = self.byte_rank[raw].tolist()  # of the token that starts here
+        after, before = right.tolist(), left.tolist()  # where its neighbours start, or -1
+        waiting = ranks.tolist()  # rank of the pair that starts here, or -1
         while (rank := queue.lowest()) >= 0:
-            positions = queue.take(rank)
-            for k, i in enumerate(positions):
+            todo = iter(queue.take(rank))
+            careful, first = rank in self.falling, rank << SHIFT
+            for i in todo:
                 if waiting[i] != rank:
                     continue  # stale
-                right = after[i]
-                waiting[right] = -1
-                stop = end[i] = end[right]
-                beyond = after[i] = after[right]
-                lower = False
+                gone = after[i]
+                waiting[gone] = -1
+                token[i] = rank
+                after[i] = beyond = after[gone]
+                ahead = behind = -1
                 if beyond >= 0:
                     before[beyond] = i
-                    new = rank_of(text[i : end[beyond]], -1)
-                    waiting[i] = new
-                    if new >= 0:
-                        queue.push(new, i)
-                        lower = new < rank
-                else:
-                    waiting[i] = -1
-                if (left := before[i]) >= 0:
-                    new = rank_of(text[left:stop], -1)
-                    if new != waiting[left]:
-                        waiting[left] = new
-                        if new >= 0:
-                            queue.push(new, left)
-                            lower = lower or new < rank
-                if lower and k + 1 < len(positions):  # a lower rank goes first
-                    put(rank, positions[k + 1 :])
+                    ahead = pair_rank(first | token[beyond], -1)
+                    if ahead >= 0:
+                        if (bucket := buckets[ahead]) is None:
+                            put(ahead, [i])
+                        else:
+                            bucket.append(i)
+                waiting[i] = ahead
+                if (back := before[i]) >= 0:
+                    behind = pair_rank(token[back] << SHIFT | rank, -1)
+                    if behind >= 0:
+                        if (bucket := buckets[behind]) is None:
+                            put(behind, [back])
+                        else:
+                            bucket.append(back)
+                    waiting[back] = behind
+                if careful and (0 <= ahead < rank or 0 <= behind < rank):  # the lower rank goes first
+                    if rest := list(todo):
+                        put(rank, rest)
                     break
-        found, ids = [], self.rank_of
-        for start in starts:
-            tokens = []
+        found = []
+        for start in starts.tolist():
+            ids = []
             while start >= 0:
-                tokens.append(ids[text[start : end[start]]])
+                ids.append(token[start])
                 start = after[start]
-            found.append(tuple(tokens))
+            found.append(tuple(ids))
         return found
 
-    def learn(self, pieces: list[str]) -> None:
-        """Put the ids of all pieces that are not known yet into the cache."""
+    def learn(self, pieces: set[str]) -> None:
+        """Put the ids of pieces into the cache."""
         self.known.turn()
         rest = []
-        for piece in set(pieces):
-            if piece not in self.known and not self.known.revive(piece):
+        for piece in pieces:
+            if not self.known.revive(piece):
                 raw = piece.encode("utf-8")
                 if (whole := self.rank_of.get(raw)) is not None:
                     self.known[piece] = (whole,)
@@ -160,14 +171,22 @@ class ByteBpe:
         if rest:
             self.known.update(zip((p for p, _ in rest), self.merge([r for _, r in rest]), strict=True))
 
+    def ids(self, pieces: list[str]) -> list[int]:
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            self.learn({p for p, ids in zip(pieces, found, strict=True) if ids is None})
+            older = self.known.older
+            found = [self.known.get(p) or older[p] for p in pieces]
+        return list(chain.from_iterable(found))
+
     def encode(self, text: str) -> Iterator[list[int]]:
         """Ids of a whole text, in parts."""
+        if len(text) <= MATCHES:
+            yield self.ids(self.pattern.findall(text))
+            return
         matches = (m.group() for m in self.pattern.finditer(text))
-        first = self.pattern.findall(text) if len(text) <= MATCHES else list(islice(matches, MATCHES))
-        while first:
-            self.learn(first)
-            yield list(chain.from_iterable(map(self.known.__getitem__, first)))
-            first = list(islice(matches, MATCHES)) if len(text) > MATCHES else None
+        while part := list(islice(matches, MATCHES)):
+            yield self.ids(part)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -176,7 +195,7 @@ class ByteBpe:
 class Pieces(dict):
     """Known pre-tokens in two generations: those unused for a whole generation go."""
 
-    def __init__(self, owner: ByteBpe):
+    def __init__(self):
         super().__init__()
         self.older: dict[str, tuple[int, ...]] = {}
 
