@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundsift.llm import byte_bpe, exact_dedup, language, minhash, sharding
+from fundsift.llm import byte_bpe, decontaminate, exact_dedup, language, minhash, sharding, token_counts
 from fundsift.llm.common import remainder, table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,14 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", token_counts.token_counts(F.col("text")).alias("found"))
+    return docs.select("doc_id", "found.n_words", "found.n_tokens")
