@@ -193,7 +193,7 @@ def contaminated(
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text")).distinct()
-    schema = items.select("item").schema.add("width", "int").add("n_words", "long").add("hash", "long")
+    schema = items.select("item").schema.add("width", "integer").add("n_words", "long").add("hash", "long")
     grams = stage(items.mapInArrow(_grams, schema), "grams")
     everything = spark.sparkContext.broadcast(Slots(grams))
     counts = rows.select("text").mapInArrow(_document_counts(everything), "hash long, n long")

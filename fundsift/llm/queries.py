@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundsift.llm import byte_bpe, decontaminate, exact_dedup, language, minhash, sharding, token_counts
+from fundsift.llm import (
+    byte_bpe,
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    language,
+    minhash,
+    sharding,
+    token_counts,
+)
 from fundsift.llm.common import remainder, table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +132,11 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", token_counts.token_counts(F.col("text")).alias("found"))
     return docs.select("doc_id", "found.n_words", "found.n_tokens")
+
+
+@query
+def op7_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    text = html_extract.extract(spark, F.col("html"), html_extract.train(pages))
+    found = pages.select("page_id", "url", text.alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
