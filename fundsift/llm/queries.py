@@ -15,6 +15,7 @@ from fundsift.llm import (
     language,
     minhash,
     sharding,
+    substrings,
     token_counts,
 )
 from fundsift.llm.common import remainder, table, whole
@@ -140,3 +141,9 @@ def op7_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     text = html_extract.extract(spark, F.col("html"), html_extract.train(pages))
     found = pages.select("page_id", "url", text.alias("text"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
