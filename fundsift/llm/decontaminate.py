@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundsift.llm.common import stage
 from fundsift.llm.words import WordIds, shingles
@@ -199,13 +200,14 @@ def contaminated(
     counts = rows.select("text").mapInArrow(_document_counts(everything), "hash long, n long")
     counts = counts.groupBy("hash").agg(F.sum("n").alias("n"))
     counted = grams.join(counts, "hash", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    rarest = counted.groupBy("item").agg(F.min("n").alias("least"))
-    rare = counted.join(rarest, counted["item"].eqNullSafe(rarest["item"])).filter(F.col("n") <= TIMES * F.col("least") + SHARE * rows.count())
-    seeds = stage(rare.select(counted["item"], "hash", "width", "n_words").distinct(), "seeds")
+    rarest = counted.groupBy(F.col("item").alias("_item")).agg(F.min("n").alias("least"))
+    known = counted.join(rarest, F.col("item").eqNullSafe(F.col("_item")))
+    rare = known.filter(F.col("n") <= TIMES * F.col("least") + SHARE * rows.count())
+    seeds = stage(rare.select("item", "hash", "width", "n_words").distinct(), "seeds")
 
     longest = seeds.agg(F.max("n_words")).first()[0] or 0
     seeded = spark.sparkContext.broadcast(Slots(seeds))
-    schema = rows.select("key").schema.add("start", "long").add("words", "array<long>").add("hashes", "array<long>")
+    schema = rows.select("key").schema.add("start", "long").add("words", T.ArrayType(T.LongType())).add("hashes", T.ArrayType(T.LongType()))
     made = rows.mapInArrow(_passages(seeded, longest + longest // 4 + 1), schema)
     passages = stage(made.withColumn("passage", F.monotonically_increasing_id()), "passages")
 
@@ -214,14 +216,14 @@ def contaminated(
     pairs = pairs.join(passages.select("passage", "key", "start", "words"), "passage")
     pairs = pairs.join(items.withColumnRenamed("item", "_item"), F.col("item").eqNullSafe(F.col("_item")))
     scored = pairs.select("key", "item", F.col("start").alias("offset"), _aligned(F.col("text"), F.col("words")).alias("found"))
-    near = scored.filter(F.col("found.score") >= THRESHOLD).select(
-        "key", "item", F.struct("found.score", -(F.col("offset") + F.col("found.start")), F.col("offset") + F.col("found.stop")).alias("best")
-    )
+    start, end = F.col("offset") + F.col("found.start"), F.col("offset") + F.col("found.stop")
+    best = F.struct(F.col("found.score").alias("score"), (-start).alias("start"), end.alias("end"))
+    near = scored.filter(F.col("found.score") >= THRESHOLD).select("key", "item", best.alias("best"))
     top = near.groupBy("key", "item").agg(F.max("best").alias("best"))
     return top.select(
         F.col("key").alias(key),
         F.col("item").alias(item),
         F.col("best.score").alias("score"),
-        (-F.col("best.col2")).alias("start_word"),
-        F.col("best.col3").alias("end_word"),
+        (-F.col("best.start")).alias("start_word"),
+        F.col("best.end").alias("end_word"),
     )
