@@ -13,6 +13,7 @@ from fundsift.llm import (
     exact_dedup,
     html_extract,
     language,
+    maxent,
     minhash,
     sharding,
     substrings,
@@ -147,3 +148,13 @@ def op7_html_extract(spark: SparkSession, folder: str) -> DataFrame:
 def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 5) == 1
+    part = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(maxent.ROUNDS))
+    scored = maxent.score(table(spark, folder, "documents"), ~held_out, part)
+    return scored.withColumn("held_out", held_out).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
