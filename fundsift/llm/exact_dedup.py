@@ -81,10 +81,12 @@ def unique(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     texts.
     """
     kept = groups(docs, key, text).filter("kept")
-    kept = kept.groupBy(F.col(key).alias("_key"), F.col("text_sha256").alias("_sha")).count()
-    marked = docs.withColumn("_mark", F.sha2(normalised(F.col(text)), 256))
-    same = [F.col(key).eqNullSafe(F.col("_key")), F.col("_mark") == F.col("_sha")]
-    found = marked.join(kept, same)
-    once = found.filter("count = 1")
-    repeated = found.filter("count > 1").dropDuplicates([key, "_mark"])
-    return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = kept.groupBy(F.col(key).alias("id"), F.col("text_sha256").alias("sha"))
+    kept = kept.agg(F.count(F.lit(1)).alias("copies"))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(key).alias("row_id"), F.sha2(normalised(F.col(text)), 256).alias("row_sha")
+    )
+    found = rows.join(kept, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_sha") == F.col("sha")))
+    once = found.filter("copies = 1").select("row")
+    repeated = found.filter("copies > 1").dropDuplicates(["row_id", "row_sha"]).select("row")
+    return once.union(repeated).select("row.*")
