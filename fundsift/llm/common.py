@@ -18,7 +18,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
-    Later plans start from the files, which no lost executor takes away.
+    Later plans start from the files, which no lost executor takes away. A grouped table
+    that is joined back to its rows is staged as well: read from files, both sides of the
+    join are shuffled for it, and adaptive execution can split a hot key.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -283,6 +283,7 @@ def _repeated_inside(records: DataFrame) -> DataFrame:
     )
     strings = stage(strings, "strings")
     equal = strings.groupBy("anchor", "offset", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    equal = stage(equal, "equal-strings")
     settled = strings.join(equal, ["anchor", "offset", "string"]).select("anchor", "stretch", F.col("offset").alias("low"), F.col("offset").alias("high"))
     return shown.union(settled)
 
@@ -322,10 +323,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """(h1, h2, start, stop): byte ranges to remove, by the two hashes of a text."""
     rows = docs.mapInArrow(_anchor_rows, "anchor long, stretch long, h1 long, h2 long, place long")
     again = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    again = stage(again, "shared-anchors")
     shared = stage(rows.join(again, "anchor"), "anchors")
     copies = shared.groupBy("anchor", "stretch").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("h1", "h2", "place")).alias("of"))
     copies = stage(copies, "stretches")
     variants = copies.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    variants = stage(variants, "varied-anchors")
     wanted = copies.join(variants, "anchor").select("anchor", "stretch", "copies", "of.h1", "of.h2", "of.place")
     wanted = wanted.groupBy("h1", "h2").agg(F.collect_list(F.struct("anchor", "stretch", "copies", "place")).alias("wanted"))
     texts = docs.select("h1", "h2", "key", _packed(F.col("text")).alias("packed"))
