@@ -68,6 +68,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     found = recipes.groupBy("_recipe", "_unclear").agg(
         F.min(key).alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
+    found = stage(found, "recipe-groups")
     joined = recipes.join(found, ["_recipe", "_unclear"])
     return joined.select(
         key, "keep_id", "group_size", F.col(key).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
