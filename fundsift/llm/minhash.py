@@ -5,7 +5,9 @@ bands. Nodes that share a band are compared in two steps. First with the band's
 member that shares its bands with most others: that joins a large group of copies with one
 comparison each. Only bands that still hold several components are then searched for
 links between these, in blocks of bounded size. In both steps the signatures decide which
-pairs to look at, and the full shingle sets which of them are links.
+pairs to look at, and the full shingle sets which of them are links. The second step leaves
+out pairs that cannot be links: a pair has no more shingles in common than either node
+shares with any other at all, and that bound is exact.
 """
 
 from __future__ import annotations
@@ -123,26 +125,47 @@ def _near_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of two blocks that lie in different components and have like signatures."""
     for batch in batches:
         for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
-            node, part, rows = [], [], []
-            for side in (x, y):
-                node.append(np.array([m["node"] for m in side], np.int64))
-                part.append(np.array([m["component"] for m in side], np.int64))
-                rows.append(np.frombuffer(b"".join(m["signature"] for m in side), np.uint32).reshape(-1, HASHES))
-            alike = (rows[0][:, None, :] == rows[1][None, :, :]).sum(axis=2) >= LEAST_AGREEMENT
-            i, j = np.nonzero(alike & (part[0][:, None] != part[1][None, :]))
-            a, b = node[0][i], node[1][j]
+            node, part, size, shared = (
+                [np.array([m[name] for m in side], np.int64) for side in (x, y)]
+                for name in ("node", "component", "size", "shared")
+            )
+            rows = [np.frombuffer(b"".join(m["signature"] for m in side), np.uint32).reshape(-1, HASHES) for side in (x, y)]
+            most = np.minimum(shared[0][:, None], shared[1][None, :])
+            sizes = size[0][:, None] + size[1][None, :]
+            wanted = ((100 + PERCENT) * most >= PERCENT * sizes) & (part[0][:, None] != part[1][None, :])
+            i, j = np.nonzero(wanted)
+            alike = np.concatenate(
+                [(rows[0][i[k : k + 4096]] == rows[1][j[k : k + 4096]]).sum(axis=1) for k in range(0, len(i), 4096)] or [i]
+            )
+            near = alike >= LEAST_AGREEMENT
+            a, b = node[0][i[near]], node[1][j[near]]
             ends = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
             yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
 
 
-def _across(crowded: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+def _shared_sizes(sets: DataFrame) -> DataFrame:
+    """Per node the size of its set, and how many of its shingles another set has too."""
+    single = sets.select("node", F.explode("shingles").alias("shingle"))
+    common = single.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle")
+    common = stage(common, "common-shingles")
+    counted = single.join(common, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    sizes = sets.select("node", F.size("shingles").cast("long").alias("size"))
+    return sizes.join(counted, "node").filter(100 * F.col("shared") >= PERCENT * F.col("size"))
+
+
+def _across(crowded: DataFrame, nodes: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     """Candidate pairs between components that meet in a band."""
     members = crowded.join(found, "node", "left").select(
         "band", "node", F.coalesce("component", "node").alias("component")
     )
+    several = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    several = stage(several.filter("low < high").select("band"), "mixed-bands")
+    members = stage(members.join(several, "band"), "members")
+    sizes = stage(_shared_sizes(sets.join(members.select("node").distinct(), "node", "left_semi")), "sizes")
+    members = members.join(sizes.select("node"), "node", "left_semi")
     parts = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k"))
     mixed = parts.groupBy("band").agg(F.sum("k").alias("m"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    sized = parts.join(mixed.select("band", "m"), "band")
+    sized = stage(parts.join(mixed.select("band", "m"), "band"), "parts")
     placed = members.join(sized, ["band", "component"]).select(
         "band",
         "node",
@@ -150,8 +173,8 @@ def _across(crowded: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame
         F.when(F.col("k") >= BLOCK, F.col("component")).otherwise(-1).alias("own"),
         F.pmod(F.xxhash64("node"), F.ceil(F.when(F.col("k") >= BLOCK, F.col("k")).otherwise(F.col("m")) / BLOCK)).alias("cut"),
     )
-    member = F.struct("node", "component", "signature")
-    blocks = placed.join(nodes.select("node", "signature"), "node").groupBy("band", "own", "cut")
+    member = F.struct("node", "component", "size", "shared", "signature")
+    blocks = placed.join(sizes, "node").join(nodes.select("node", "signature"), "node").groupBy("band", "own", "cut")
     blocks = blocks.agg(F.collect_list(member).alias("members"))
     x, y = (blocks.select("band", *[F.col(c).alias(f"{s}{c}") for c in ("own", "cut")], F.col("members").alias(s)) for s in "xy")
     order = "(xown < yown OR xown = yown AND xcut <= ycut) AND NOT (xown >= 0 AND xown = yown)"
@@ -185,6 +208,7 @@ def near_duplicates(
     cuts = [F.xxhash64(F.substring("signature", 4 * ROWS * k + 1, 4 * ROWS), F.lit(k)) for k in range(BANDS)]
     bands = nodes.select("node", F.explode(F.array(*cuts)).alias("band"))
     shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = stage(shared, "shared-bands")
     crowded = stage(bands.join(shared, "band"), "bands")
 
     near = crowded.select("node").distinct()
@@ -200,7 +224,7 @@ def near_duplicates(
     pairs = stars.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = stage(_verified(pairs, nodes, sets), "links")
     found = stage(components(links), "components")
-    further = stage(_verified(_across(crowded, nodes, found), nodes, sets), "links")
+    further = stage(_verified(_across(crowded, nodes, sets, found), nodes, sets), "links")
     found = stage(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(further)), "components")
 
     real = features.filter("digest IS NOT NULL").join(nodes.select("digest", "node"), "digest")
