@@ -2,60 +2,28 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundsift.session import materialize
-
-# Some hundred MB once hashed, far below Spark's own limit for a broadcast.
-MAX_BROADCAST_KEYS = 2_000_000
-# A key is frequent when it holds more than one in this many rows, so there are
-# fewer frequent keys than this.
-MAX_FREQUENT = 20_000
-
-
-def frequent_keys(df: DataFrame, columns: list[str], at_most: int = MAX_FREQUENT) -> DataFrame:
-    """Keys that hold more than ``1 / at_most`` of the rows. Counted on the map side."""
-    limit = df.count() / at_most
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.filter(F.col("_n") > limit).select(*columns)
-
 
 def match_keys(
-    df: DataFrame,
-    keys: DataFrame,
-    columns: list[str],
-    how: str = "left_semi",
-    known_size: int | None = None,
-    max_broadcast: int = MAX_BROADCAST_KEYS,
-    max_frequent: int = MAX_FREQUENT,
+    df: DataFrame, keys: DataFrame, columns: list[str], how: str = "left_semi"
 ) -> DataFrame:
     """``df`` with (``left_semi``) or without (``left_anti``) the rows whose key is in ``keys``.
 
-    The number of keys decides: few are sent to every task and ``df`` is not shuffled.
-    Many are joined by a shuffle, which would put all rows of one key into one task;
-    so the rows of frequent keys take a path of their own, where the few such keys
-    are sent to every task. ``known_size`` saves counting the keys.
+    One plain join: adaptive execution broadcasts the keys where their measured size
+    allows it, and splits the rows of a hot key where it does not. A null key matches
+    nothing, so such rows take no part in the join.
     """
-    keys = keys.select(*columns)
-    if known_size is None:
-        keys = materialize(keys.distinct())
-        known_size = keys.count()
-    if known_size <= max_broadcast:
-        return df.join(F.broadcast(keys), columns, how)
-    frequent = materialize(frequent_keys(df, columns, max_frequent))
-    if frequent.isEmpty():
-        return df.join(keys, columns, how)
-    wanted = materialize(frequent.join(keys, columns, "left_semi"))
-    rare_rows = df.join(F.broadcast(frequent), columns, "left_anti").join(keys, columns, how)
-    frequent_rows = df.join(F.broadcast(frequent), columns, "left_semi").join(
-        F.broadcast(wanted), columns, how
-    )
-    return rare_rows.unionByName(frequent_rows)
-
-
-def keep_keys(
-    df: DataFrame, keys: DataFrame, column: str = "cnpj", known_size: int | None = None
-) -> DataFrame:
+    wanted = keys.select(*columns)
+    if how != "left_anti":
+        return df.join(wanted, columns, how)
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    return df.filter(known).join(wanted, columns, how).unionByName(df.filter(~known))
+
+
+def keep_keys(df: DataFrame, keys: DataFrame, column: str = "cnpj") -> DataFrame:
     """Rows of ``df`` whose ``column`` occurs in ``keys``."""
-    return match_keys(df, keys, [column], "left_semi", known_size)
+    return match_keys(df, keys, [column])

@@ -60,29 +60,27 @@ def daily_nav(quotas: DataFrame) -> DataFrame:
 
     A row of the primary share class goes before a row without class. The input is
     first cut to one row per fund, date and class, on the map side too; after that a
-    fund has at most one row per day and class, whatever its share of the input. The
-    result is partitioned by fund and sorted by date, ready for the return windows.
+    fund has at most one row per day and class, whatever its share of the input, and one
+    exchange by fund serves the choice of class, the cut by date and the return windows.
     """
     valid = valid_quotas(quotas).select(
         "cnpj", "DT_COMPTC", "VL_QUOTA", "VL_PATRIM_LIQ", "ID_SUBCLASSE"
     )
     slim = top_n(valid, ["cnpj", "DT_COMPTC", "ID_SUBCLASSE"], _highest_nav_first(), 1)
-    unclassed = slim.filter(F.col("ID_SUBCLASSE").isNull())
-    # One fund and class has one row per day now, so a plain join on both is even.
-    series = (
-        _classed(slim)
-        .join(primary_classes(slim), ["cnpj", "ID_SUBCLASSE"], "left_semi")
-        .unionByName(unclassed)
-        .select(
-            "cnpj",
-            as_date(quotas, "DT_COMPTC").alias("date"),
-            F.col("VL_QUOTA").cast("double").alias("quota_value"),
-            F.col("ID_SUBCLASSE").isNotNull().alias("classed"),
-        )
-        .repartition("cnpj")
+    classed = F.col("ID_SUBCLASSE").isNotNull()
+    latest_first = [F.desc("DT_COMPTC"), *_highest_nav_first(), F.asc("ID_SUBCLASSE")]
+    of_fund = Window.partitionBy("cnpj").orderBy(classed.desc(), *latest_first)
+    chosen = slim.repartition("cnpj").withColumn("_primary", F.first("ID_SUBCLASSE").over(of_fund))
+    series = chosen.filter(~classed | (F.col("ID_SUBCLASSE") == F.col("_primary"))).select(
+        "cnpj",
+        as_date(quotas, "DT_COMPTC").alias("date"),
+        F.col("VL_QUOTA").cast("double").alias("quota_value"),
+        classed.alias("classed"),
     )
+    of_day = Window.partitionBy("cnpj", "date").orderBy(F.desc("classed"), F.desc("quota_value"))
     return (
-        top_n(series, ["cnpj", "date"], [F.desc("classed"), F.desc("quota_value")], 1)
+        series.withColumn("_place", F.row_number().over(of_day))
+        .filter("_place = 1")
         .withColumn("period", period_of("date"))
         .select("cnpj", "date", "period", "quota_value")
     )
@@ -127,20 +125,18 @@ def daily_returns(nav: DataFrame) -> DataFrame:
 def monthly_returns(nav: DataFrame) -> DataFrame:
     """Return on the previous calendar month; none where that month is missing.
 
-    ``nav`` has one row per fund and month. The window looks exactly one month back,
-    so it needs no self join.
+    A month with several prices has a return on each price of the month before.
     """
-    by_month = Window.partitionBy("cnpj").orderBy("_month")
-    month_before = by_month.rangeBetween(-1, -1)
-    latest_first = Window.partitionBy("cnpj").orderBy(F.desc("_month"))
+    dated = nav.withColumn("_month", month_index("period"))
+    before = dated.select(
+        "cnpj", (F.col("_month") + 1).alias("_month"), F.col("price").alias("price_previous")
+    )
+    latest_first = Window.partitionBy("cnpj").orderBy(
+        F.desc("_month"), "price", "price_previous"
+    )
     return (
-        nav.withColumn("_month", month_index("period"))
-        .withColumns(
-            {
-                "price_previous": F.max("price").over(month_before),
-                "period_rank": F.row_number().over(latest_first),
-            }
-        )
+        dated.join(before, ["cnpj", "_month"], "left")
+        .withColumn("period_rank", F.row_number().over(latest_first))
         .withColumn(
             "monthly_return",
             F.try_divide(F.col("price") - F.col("price_previous"), "price_previous"),

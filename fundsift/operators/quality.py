@@ -299,15 +299,10 @@ CHECKS = {
 def run_checks(
     df: DataFrame, dataset: str, checks: Mapping[str, Mapping[str, Any]], by: str | None = None
 ) -> list[Validation]:
-    """The configured checks of one table, per partition file when ``by`` names them.
-
-    Check names that are not known are left out.
-    """
-    return [
-        CHECKS[name](df, dataset, by=by, **params)
-        for name, params in checks.items()
-        if name in CHECKS
-    ]
+    """The configured checks of one table, per partition file when ``by`` names them."""
+    if unknown := [name for name in checks if name not in CHECKS]:
+        raise ValueError(f"unknown checks: {', '.join(unknown)}")
+    return [CHECKS[name](df, dataset, by=by, **params) for name, params in checks.items()]
 
 
 def validation_report(results: list[Validation], include_passed: bool = False) -> DataFrame:

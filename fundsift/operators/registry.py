@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundsift.functions.columns import as_date, safe_column_name
+from fundsift.functions.columns import as_date, safe_label
 from fundsift.operators.ranking import top_n
 
 # Registry column -> column of the characteristics table.
@@ -26,7 +29,6 @@ CHARACTERISTICS = {
 LEVELS = ("anbima_category_level_1", "anbima_category_level_2", "anbima_category_level_3")
 ACTIVE_STATUS = "Ativo"
 DEFAULT_REDEMPTION_DAYS = 90.0
-MAX_CATEGORIES = 1_000
 
 
 def first_registration(registry: DataFrame) -> DataFrame:
@@ -39,33 +41,33 @@ def first_registration(registry: DataFrame) -> DataFrame:
     return top_n(named, ["cnpj"], [F.asc_nulls_first("inception_date"), *rest], 1)
 
 
-def one_hot_categories(
-    df: DataFrame, levels: tuple[str, ...] = LEVELS, max_categories: int = MAX_CATEGORIES
-) -> DataFrame:
-    """One ``is_*`` flag per category of each level; unknown category, unknown flag.
+def category_flags(df: DataFrame, levels: tuple[str, ...] = LEVELS) -> DataFrame:
+    """(cnpj, level, label, flag): the ``is_*`` flags that are set, in long form."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("level"), F.col(c).alias("label")) for c in levels])
+    named = df.select("cnpj", F.inline(pairs)).filter(F.col("label").isNotNull())
+    return named.withColumn("flag", safe_label("label"))
+
+
+class Category(NamedTuple):
+    level: str
+    label: str
+    flag: str
 
-    The categories become columns, so the driver must know them. More than
-    ``max_categories`` in all are refused before anything large is fetched. Labels that
-    give the same column name share it; the last level wins.
+
+def one_hot_categories(df: DataFrame, categories: Iterable[Category]) -> DataFrame:
+    """One ``is_*`` column per given category; unknown category, unknown flag.
+
+    Columns must be known when the plan is made, so the caller names the categories,
+    for instance from ``category_flags``. Labels that give the same column name share
+    it; the last one given wins.
     """
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).alias("label")) for i, c in enumerate(levels)])
-    found = (
-        df.select(F.inline(pairs)).dropna().distinct().limit(max_categories + 1).collect()
-    )
-    if len(found) > max_categories:
-        raise ValueError(f"over {max_categories} categories")
-    flags = {
-        safe_column_name(label): (F.col(levels[i]) == label).cast("byte")
-        for i, label in sorted(tuple(row) for row in found)
-    }
+    flags = {c.flag: (F.col(c.level) == c.label).cast("byte") for c in categories}
     return df.withColumns(flags) if flags else df
 
 
-def fund_characteristics(registry: DataFrame, scope: DataFrame, one_hot: bool = True) -> DataFrame:
+def fund_characteristics(registry: DataFrame, scope: DataFrame) -> DataFrame:
     """Every fund in scope with its registry data, null where it has none."""
     wide = scope.select("cnpj").join(first_registration(registry), "cnpj", "left")
-    if one_hot:
-        wide = one_hot_categories(wide)
     return wide.withColumns(
         {
             "is_active": (F.col("status") == ACTIVE_STATUS).cast("byte"),

@@ -2,8 +2,7 @@
 
 The input is a table of lines: ``file``; ``block``, the piece of the file a line was
 read in; ``seq``, increasing by one per line within a block; ``is_header``; ``line``.
-Blocks are small (a file split), so per-block lists are bounded and line numbers come
-from adding up block sizes; no file has to fit in one task. Line numbers always refer
+Line numbers come from adding up block sizes, so no file has to fit in one task. Line numbers always refer
 to the file as it is stored. Nothing is rewritten in place: the repaired lines are a
 derived table.
 """
@@ -19,15 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fundsift.functions import quotes
-from fundsift.operators.keys import MAX_BROADCAST_KEYS, match_keys
 from fundsift.session import materialize
 
 FIX, IGNORE = "fix", "ignore"
 # A file may lose at most this share of its lines to one step.
 MAX_LOSS = 0.5
-# Longest list of line numbers shown as text in the report; the table of affected
-# lines has them all.
-MAX_LISTED = 100_000
 
 
 class Check(NamedTuple):
@@ -64,15 +59,17 @@ def flagged(lines: DataFrame, check: str) -> DataFrame:
 
 def flagged_line_numbers(lines: DataFrame, check: str) -> DataFrame:
     """(file, line_no) of the lines that fail the check, from one read of the lines."""
-    return affected_lines(_per_block(_mark(lines, {check: FIX}), 1)).select("file", "line_no")
+    marked = _mark(lines, {check: FIX})
+    return _line_numbers(marked, _per_block(marked, 1), 0)
 
 
 def _usable(steps: Mapping[str, str]) -> list[tuple[str, str]]:
-    """Known checks in order. A check without a repair drops its lines instead."""
+    """The steps in order. A check without a repair drops its lines instead."""
+    if unknown := [name for name in steps if name not in CHECKS]:
+        raise ValueError(f"unknown checks: {', '.join(unknown)}")
     return [
         (name, IGNORE if CHECKS[name].fix is None else strategy)
         for name, strategy in steps.items()
-        if name in CHECKS
     ]
 
 
@@ -98,8 +95,7 @@ def _mark(lines: DataFrame, steps: Mapping[str, str]) -> DataFrame:
                 }
             )
             continue
-        # Dropping lines also drops the blank lines of a file that loses any. Only
-        # lines that may go are looked up by file; all others stay where they are.
+        # Dropping lines also drops the blank lines of a file that loses any.
         dropped = F.col(f"hit_{i}") | (_blank() & ~F.col("is_header"))
         per_file = lines.groupBy("file").agg(
             F.bool_or(f"hit_{i}").alias("_any"),
@@ -107,33 +103,19 @@ def _mark(lines: DataFrame, steps: Mapping[str, str]) -> DataFrame:
                 "_much"
             ),
         )
-        losing = materialize(per_file.filter(F.col("_any") & ~F.col("_much")).select("file"))
-        size = losing.count()
+        losing = per_file.filter(F.col("_any") & ~F.col("_much")).select("file")
+        losing = materialize(losing.withColumn("_loses", F.lit(True)))
         going = F.col("alive") & dropped
-        if size <= MAX_BROADCAST_KEYS:
-            known = F.broadcast(losing.withColumn("_loses", F.lit(True)))
-            loses = F.coalesce("_loses", F.lit(False))
-            lines = (
-                lines.join(known, "file", "left")
-                .withColumns(
-                    {
-                        "alive": F.col("alive") & ~(going & loses),
-                        f"rejected_{i}": F.col(f"hit_{i}") & ~loses,
-                    }
-                )
-                .drop("_loses")
-            )
-            continue
-        candidates = lines.filter(going)
-        gone = match_keys(candidates, losing, ["file"], "left_semi", size)
-        spared = match_keys(candidates, losing, ["file"], "left_anti", size)
+        loses = F.coalesce("_loses", F.lit(False))
         lines = (
-            lines.filter(~going)
-            .withColumn(f"rejected_{i}", F.lit(False))
-            .unionByName(
-                gone.withColumns({"alive": F.lit(False), f"rejected_{i}": F.lit(False)})
+            lines.join(losing, "file", "left")
+            .withColumns(
+                {
+                    "alive": F.col("alive") & ~(going & loses),
+                    f"rejected_{i}": F.col(f"hit_{i}") & ~loses,
+                }
             )
-            .unionByName(spared.withColumn(f"rejected_{i}", F.col(f"hit_{i}")))
+            .drop("_loses")
         )
     return lines
 
@@ -167,40 +149,31 @@ def line_loss(lines: DataFrame, check: str) -> DataFrame:
 
 
 def _per_block(marked: DataFrame, n_steps: int) -> DataFrame:
-    """One row per block: its size, hits per step with their places, rejected steps."""
+    """One row per block: its first line number, and per step its hits and rejection."""
     columns = []
     for i in range(n_steps):
         columns += [
-            F.collect_list(F.when(F.col(f"hit_{i}"), F.col("seq"))).alias(f"seqs_{i}"),
+            F.count_if(f"hit_{i}").alias(f"hits_{i}"),
             F.bool_or(f"rejected_{i}").alias(f"rejected_{i}"),
         ]
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    # Stored, so that the lines are read once for the lists and the block sizes.
-    blocks = materialize(
-        marked.groupBy("file", "block").agg(
-            F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), *columns
-        )
+    blocks = marked.groupBy("file", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), *columns
     )
-    sizes = blocks.select("file", "block", "n")
-    starts = sizes.select(
-        "file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
-    )
-    # The lists stay out of the window over a file's blocks.
-    return blocks.join(starts, ["file", "block"]).withColumns(
-        {
-            f"lines_{i}": F.transform(
-                F.array_sort(f"seqs_{i}"),
-                lambda s: s - F.col("first") + F.col("before") + 1,
-            )
-            for i in range(n_steps)
-        }
+    return materialize(
+        blocks.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
     )
 
 
-def affected_lines(blocks: DataFrame, step: int = 0) -> DataFrame:
-    return blocks.select("file", F.explode(f"lines_{step}").alias("line_no"))
+def _line_numbers(marked: DataFrame, blocks: DataFrame, step: int) -> DataFrame:
+    """(file, line_no) of a step's hits: the place in the block plus the lines before it."""
+    hits = marked.filter(F.col(f"hit_{step}")).select("file", "block", "seq")
+    placed = hits.join(blocks.select("file", "block", "first", "before"), ["file", "block"])
+    return placed.select(
+        "file", (F.col("seq") - F.col("first") + F.col("before") + 1).alias("line_no")
+    )
 
 
 class RepairReport(NamedTuple):
@@ -209,15 +182,8 @@ class RepairReport(NamedTuple):
 
 
 def _step_report(blocks: DataFrame, step: int, dataset: str, name: str, strategy: str) -> DataFrame:
-    lines = F.col(f"lines_{step}")
-    totals = blocks.groupBy("file").agg(
-        F.sum(F.size(lines)).alias("total"), F.bool_or(f"rejected_{step}").alias("rejected")
-    )
-    listed = F.when((F.size(lines) > 0) & (F.col("total") <= MAX_LISTED), F.struct("block", lines))
-    per_file = (
-        blocks.join(totals, "file")
-        .groupBy("file", "total", "rejected")
-        .agg(F.array_sort(F.collect_list(listed)).alias("pieces"))
+    per_file = blocks.groupBy("file").agg(
+        F.sum(f"hits_{step}").alias("total"), F.bool_or(f"rejected_{step}").alias("rejected")
     )
     check = CHECKS[name]
     action = check.action if strategy == FIX else "dropped"
@@ -237,10 +203,6 @@ def _step_report(blocks: DataFrame, step: int, dataset: str, name: str, strategy
         .otherwise(F.lit(f"no {check.problem}"))
         .alias("details"),
         F.col("total").alias("affected_lines_count"),
-        F.when(
-            F.col("total") <= MAX_LISTED,
-            F.array_join(F.flatten(F.transform("pieces", lambda p: p[f"lines_{step}"])), ","),
-        ).alias("affected_lines"),
         F.when(F.col("rejected"), 0).otherwise(F.col("total")).alias("fixes_applied"),
     )
 
@@ -251,13 +213,14 @@ def raw_validation(
     steps: Mapping[str, str] = DEFAULT_STEPS,
     include_passed: bool = False,
 ) -> RepairReport:
-    """What the steps found and did, per file and check, from one read of the lines.
+    """What the steps found and did, per file and check.
 
-    ``affected`` has every affected line number; ``report`` shows them as text too
-    where a file has up to ``MAX_LISTED`` of them. A repair that was undone is failed.
+    ``report`` has counts; ``affected`` has one row per file, check and affected line. A
+    repair that was undone is failed.
     """
     usable = _usable(steps)
-    blocks = _per_block(_mark(lines, steps), len(usable))
+    marked = _mark(lines, steps)
+    blocks = _per_block(marked, len(usable))
     report = reduce(
         DataFrame.unionByName,
         [_step_report(blocks, i, dataset, *step) for i, step in enumerate(usable)],
@@ -265,13 +228,13 @@ def raw_validation(
     affected = reduce(
         DataFrame.unionByName,
         [
-            affected_lines(blocks, i).select("file", F.lit(name).alias("validation_name"), "line_no")
+            _line_numbers(marked, blocks, i).withColumn("validation_name", F.lit(name))
             for i, (name, _) in enumerate(usable)
         ],
     )
     if not include_passed:
         report = report.filter(F.col("status") != "passed")
-    return RepairReport(report, affected)
+    return RepairReport(report, affected.select("file", "validation_name", "line_no"))
 
 
 def summary(report: DataFrame) -> DataFrame:

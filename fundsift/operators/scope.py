@@ -71,33 +71,33 @@ def funds_in_scope(
     return _nav_ids(nav, latest_period, settings).join(registered, "cnpj", "left_semi")
 
 
-def normalize(table: DataFrame, scope: DataFrame, scope_size: int | None = None) -> DataFrame:
+def normalize(table: DataFrame, scope: DataFrame) -> DataFrame:
     """New column names, numeric ``cnpj``, rows of in-scope funds only."""
     table = unify_names(table).withColumn("cnpj", cnpj_to_numeric(RAW_ID))
-    return keep_keys(table, scope, "cnpj", scope_size)
+    return keep_keys(table, scope, "cnpj")
 
 
 def normalize_monthly_nav(
-    nav: DataFrame, scope: DataFrame, scope_size: int | None = None
+    nav: DataFrame, scope: DataFrame
 ) -> DataFrame:
-    return normalize(nav, scope, scope_size)
+    return normalize(nav, scope)
 
 
 def normalize_daily_quotas(
-    quotas: DataFrame, scope: DataFrame, scope_size: int | None = None
+    quotas: DataFrame, scope: DataFrame
 ) -> DataFrame:
-    return normalize(quotas, scope, scope_size)
+    return normalize(quotas, scope)
 
 
 def normalize_holdings(
-    families: dict[str, DataFrame], scope: DataFrame, scope_size: int | None = None
+    families: dict[str, DataFrame], scope: DataFrame
 ) -> DataFrame:
     """All holdings families in one table, marked by ``blc_type``."""
     marked = [
         unify_names(df).withColumn("blc_type", F.lit(family)) for family, df in families.items()
     ]
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
-    return normalize(together, scope, scope_size)
+    return normalize(together, scope)
 
 
 class FixedIncome(NamedTuple):
@@ -115,7 +115,6 @@ def filter_fixed_income(
     """
     nav = unify_names(recent_periods(nav, settings.num_period_months))
     scope = materialize(funds_in_scope(nav, registry, latest_period, settings))
-    size = scope.count()
     rows = filter_fund_types(nav, settings)
     if settings.remove_funds_w_negative_nav:
         rows = exclude_nonpositive_nav(rows, latest_period)
@@ -135,5 +134,5 @@ def filter_fixed_income(
         "cnpj", F.col("CNPJ do Fundo").cast("long")
     )
     return FixedIncome(
-        keep_keys(rows, scope, "cnpj", size), keep_keys(listed, scope, "cnpj", size), scope
+        keep_keys(rows, scope, "cnpj"), keep_keys(listed, scope, "cnpj"), scope
     )

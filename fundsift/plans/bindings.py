@@ -269,7 +269,7 @@ class Tables:
         return holdings.instrument_prices(self.instruments(), self.latest_period)
 
     def characteristics(self) -> DataFrame:
-        return registry.fund_characteristics(self.registry(), self.funds(), one_hot=False)
+        return registry.fund_characteristics(self.registry(), self.funds())
 
     @cached_property
     def stored_characteristics(self) -> DataFrame:

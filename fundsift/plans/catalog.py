@@ -177,7 +177,7 @@ def _(t):
 
 @query("max_period", f"SELECT max({_ORDER_PERIOD}) AS max_period FROM orders")
 def _(t):
-    return _one_row(t, max_period=files.max_period(t.spark, _order_files(t)))
+    return files.latest_period(t.spark, _order_files(t))
 
 
 @query(
@@ -281,22 +281,26 @@ def _(t):
     return _repaired(t, repair.DEFAULT_STEPS)
 
 
-_REPAIR_CHECKS = [("check_redundant_quotes", "hit_odd"), ("check_malformed_quotes", "hit_even")]
+_REPAIR_CHECKS = [
+    ("check_redundant_quotes", "hit_odd", "redundant quotes", "removed"),
+    ("check_malformed_quotes", "hit_even", "malformed quotes", "doubled"),
+]
 _RAW_REPORT_SQL = " UNION ALL ".join(
     f"""SELECT 'documents/' || file AS dataset_name, '{name}' AS validation_name,
         CASE WHEN count_if({hit}) > 0 THEN 'fixed' ELSE 'passed' END AS status,
-        'fix' AS strategy_applied, CAST(count_if({hit}) AS BIGINT) AS affected_lines_count,
-        coalesce(string_agg(CASE WHEN {hit} THEN CAST(line_no AS VARCHAR) END, ','
-                            ORDER BY line_no), '') AS affected_lines,
+        'fix' AS strategy_applied,
+        CASE WHEN count_if({hit}) > 0 THEN '{problem} {action} in ' || count_if({hit}) || ' lines'
+             ELSE 'no {problem}' END AS details,
+        CAST(count_if({hit}) AS BIGINT) AS affected_lines_count,
         CAST(count_if({hit}) AS BIGINT) AS fixes_applied
         FROM line_state GROUP BY file"""
-    for name, hit in _REPAIR_CHECKS
+    for name, hit, problem, action in _REPAIR_CHECKS
 )
 
 
 def _raw_report(t: Tables) -> DataFrame:
     result = repair.raw_validation(t.document_lines(), "documents", include_passed=True)
-    return result.report.drop("timestamp", "details")
+    return result.report.drop("timestamp")
 
 
 @query("raw_validation_report", _RAW_REPORT_SQL)
@@ -304,6 +308,17 @@ def _(t):
     return _raw_report(t)
 
 
+@query(
+    "affected_lines",
+    " UNION ALL ".join(
+        f"SELECT file, '{name}' AS validation_name, line_no FROM line_state WHERE {hit}"
+        for name, hit, *_ in _REPAIR_CHECKS
+    ),
+)
+def _(t):
+    return repair.raw_validation(t.document_lines(), "documents").affected
+
+
 @query(
     "raw_validation_summary",
     f"""SELECT 'status' AS kind, status AS name, count(*) AS n FROM ({_RAW_REPORT_SQL})
@@ -521,17 +536,13 @@ def _safe_name_sql(label: str) -> str:
 @query(
     "one_hot_categories",
     " UNION ALL ".join(
-        f"""SELECT cnpj, {_safe_name_sql('label')} AS flag, CAST({level} = label AS TINYINT) AS value
-        FROM characteristics, (SELECT DISTINCT {level} AS label FROM characteristics) l
-        WHERE label IS NOT NULL"""
+        f"""SELECT cnpj, '{level}' AS level, {level} AS label, {_safe_name_sql(level)} AS flag
+        FROM characteristics WHERE {level} IS NOT NULL"""
         for level in registry.LEVELS
     ),
 )
 def _(t):
-    narrow = registry.fund_characteristics(t.registry(), t.funds(), one_hot=False)
-    wide = registry.one_hot_categories(narrow)
-    flags = [c for c in wide.columns if c not in narrow.columns]
-    return wide.unpivot("cnpj", flags, "flag", "value")
+    return registry.category_flags(t.characteristics())
 
 
 @query(
@@ -1185,17 +1196,28 @@ def _(t):
 
 @query(
     "missing_column_check",
-    """SELECT 'customer' AS dataset_name, 'validate_bounds' AS validation_name,
-       n > 0 AND false AS passed, CAST(1 AS BIGINT) AS error_count, n AS n_rows
-       FROM (SELECT count(*) AS n FROM customer)""",
+    """SELECT 'customer' AS dataset_name, 'validate_bounds' AS validation_name, 'failed' AS status,
+       CAST(1 AS BIGINT) AS error_count, 'column not found: C_NO_SUCH' AS details,
+       CAST(0 AS BIGINT) AS affected_groups_count
+       UNION ALL
+       SELECT 'customer', 'validate_allowed_values', CASE WHEN n = 0 THEN 'passed' ELSE 'failed' END, n,
+       CASE WHEN n = 0 THEN 'all values of c_mktsegment are allowed'
+            ELSE n || ' rows have a value that is not allowed' END, v
+       FROM (SELECT count(c_mktsegment) AS n, count(DISTINCT c_mktsegment) AS v FROM customer
+             WHERE c_mktsegment <> 'BUILDING')
+       UNION ALL
+       SELECT 'customer', 'validate_uniqueness', CASE WHEN n = 0 THEN 'passed' ELSE 'failed' END, n,
+       CASE WHEN n = 0 THEN 'no group occurs twice' ELSE n || ' groups occur more than once' END, n
+       FROM (SELECT count(*) AS n FROM (SELECT c_custkey FROM customer GROUP BY c_custkey HAVING count(*) > 1))""",
 )
 def _(t):
-    customers = t.read("customer")
-    result = quality.validate_bounds(customers, "customer", "NO_SUCH_COLUMN", lower_bound=0)
-    n_rows = customers.agg(F.count(F.lit(1))).scalar()
-    return result.report.select(
-        "dataset_name", "validation_name", "passed", "error_count", n_rows.alias("n_rows")
-    )
+    checks = {
+        "validate_bounds": {"value_column": "C_NO_SUCH", "lower_bound": 0},
+        "validate_allowed_values": {"value_column": "c_mktsegment", "allowed_values": ["BUILDING"]},
+        "validate_uniqueness": {"group_columns": ["c_custkey"]},
+    }
+    results = quality.run_checks(t.read("customer"), "customer", checks)
+    return quality.validation_report(results, include_passed=True).drop("timestamp")
 
 
 @query(
@@ -1209,6 +1231,20 @@ def _(t):
     return quality.validation_report(results).drop("timestamp", "details")
 
 
+@query(
+    "affected_groups",
+    f"""SELECT 'orders' AS dataset_name, 'validate_allowed_values' AS validation_name,
+        '{{"o_orderpriority":"' || o_orderpriority || '"}}' AS affected, count(*) AS rows
+        FROM orders WHERE {_WRONG} GROUP BY ALL
+        UNION ALL
+        SELECT 'events', 'validate_time_completeness', '{{"user_id":' || user_id || '}}', missing
+        FROM ({_DAILY_SQL}) WHERE missing > 0""",
+)
+def _(t):
+    """Everything at fault, with the number of rows of each wrong value or missing days."""
+    return quality.affected_report([_allowed(t), _completeness(t)[1]])
+
+
 # -- whole runs -------------------------------------------------------------------------
 
 

@@ -94,7 +94,6 @@ class Raw:
 @dataclass(frozen=True)
 class Intermediate:
     scope: DataFrame
-    scope_size: int
     monthly_pl: DataFrame
     daily_quotas: DataFrame
     holdings: DataFrame
@@ -168,18 +167,16 @@ def with_reference_dates(raw: Raw, settings: Settings) -> Settings:
 def intermediate(raw: Raw, settings: Settings) -> Intermediate:
     """Funds in scope, and the raw tables cut down to them.
 
-    The scope is stored once; its size decides whether it is sent to all tasks.
+    The scope is stored once; adaptive execution decides whether it is sent to all tasks.
     """
     ids = materialize(
         scope.funds_in_scope(raw.monthly_nav, raw.registry, settings.max_period, settings)
     )
-    size = ids.count()
     return Intermediate(
         scope=ids,
-        scope_size=size,
-        monthly_pl=scope.normalize_monthly_nav(raw.monthly_nav, ids, size),
-        daily_quotas=scope.normalize_daily_quotas(raw.daily_quotas, ids, size),
-        holdings=scope.normalize_holdings(raw.holdings, ids, size),
+        monthly_pl=scope.normalize_monthly_nav(raw.monthly_nav, ids),
+        daily_quotas=scope.normalize_daily_quotas(raw.daily_quotas, ids),
+        holdings=scope.normalize_holdings(raw.holdings, ids),
     )
 
 

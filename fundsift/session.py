@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -53,18 +55,38 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_SCRATCH: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is ever overwritten there."""
-    return f"{shared_dir(spark)}/fundsift/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; nothing is ever overwritten there.
+
+    It is removed when this process ends.
+    """
+    path = f"{shared_dir(spark)}/fundsift/{name}-{uuid.uuid4().hex}"
+    _SCRATCH[path] = spark
+    return path
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Delete what this process wrote below ``scratch_path``, as far as it can be reached."""
+    while _SCRATCH:
+        path, spark = _SCRATCH.popitem()
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            conf = spark._jvm.org.apache.hadoop.conf.Configuration()
+            target.getFileSystem(conf).delete(target, True)
+        except (Py4JError, OSError):  # Spark has gone already
+            return
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back from there.
+    """Write ``df`` once as Parquet to the shared folder and read it back from there.
 
     For tables that are small beside the facts and read several times. The copy
-    outlives any executor, and later plans start from it.
+    outlives any executor, later plans start from it, and each reads only its columns.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

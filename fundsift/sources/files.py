@@ -22,9 +22,17 @@ SEPARATOR = ";"
 _PERIOD = r"(?:^|[/=])(\d{6})(?:\.csv)?(?:/part-[^/]*)?$"
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the files below ``path``; a listing only, nothing is read."""
-    return sorted(spark.read.option("recursiveFileLookup", "true").text(path).inputFiles())
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """Table of the files below ``path`` (column ``path``); their contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.load(path).select("path")
+
+
+def months(spark: SparkSession, path: str) -> list[str]:
+    """Months below ``path``: files, or folders with part files. One entry per month."""
+    month = F.regexp_replace("path", r"/part-[^/]*$", "")
+    found = listing(spark, path).select(month.alias("month")).distinct()
+    return sorted(row.month for row in found.collect())
 
 
 def file_period(path: str) -> int | None:
@@ -36,18 +44,22 @@ def path_period(path: Column) -> Column:
     return F.try_to_number(F.regexp_extract(path, _PERIOD, 1), F.lit("999999")).cast("int")
 
 
+def latest_period(spark: SparkSession, path: str) -> DataFrame:
+    """Latest month among the file names, as one row; names that are no month do not count."""
+    return listing(spark, path).agg(F.max(path_period(F.col("path"))).alias("max_period"))
+
+
 def max_period(spark: SparkSession, path: str) -> int:
-    """Latest month among the file names; names that are no month do not count."""
-    return max(p for p in map(file_period, list_files(spark, path)) if p is not None)
+    return latest_period(spark, path).first()[0]
 
 
-def recent_files(files: list[str], num_periods: int | None) -> list[str]:
-    """Files of the latest ``num_periods`` months (all when None)."""
+def recent_months(found: list[str], num_periods: int | None) -> list[str]:
+    """The latest ``num_periods`` months (all when None)."""
     if not num_periods:
-        return files
-    periods = sorted({p for p in map(file_period, files) if p is not None}, reverse=True)
+        return found
+    periods = sorted({p for p in map(file_period, found) if p is not None}, reverse=True)
     wanted = set(periods[:num_periods])
-    return [f for f in files if file_period(f) in wanted]
+    return [f for f in found if file_period(f) in wanted]
 
 
 def _decoded(encoding: str) -> Column:
@@ -55,35 +67,24 @@ def _decoded(encoding: str) -> Column:
     return F.decode(F.col("value").cast("binary"), encoding)
 
 
-def vintages(spark: SparkSession, files: list[str], encoding: str = ENCODING) -> dict[str, list[str]]:
-    """Files grouped by their header line.
+def vintages(spark: SparkSession, found: list[str], encoding: str = ENCODING) -> dict[str, list[str]]:
+    """Months grouped by their header line.
 
     Spark reads a delimited file by position, so files whose headers differ must not
-    share a scan. Part files of one folder are written together and share a header.
+    share a scan. Part files of one month share a header; the typed scan fails otherwise.
     """
 
-    def group_of(file: str) -> str:
-        folder, _, name = file.rpartition("/")
-        return folder if name.startswith("part-") else file
-
-    members: dict[str, list[str]] = {}
-    for f in files:
-        members.setdefault(group_of(f), []).append(f)
-
-    def header(parts: list[str]) -> str | None:
-        for file in parts:
-            row = spark.read.text(file).select(_decoded(encoding).alias("line")).head()
-            if row:
-                return row.line
-        return None
+    def header(month: str) -> str | None:
+        row = spark.read.text(month).select(_decoded(encoding).alias("line")).head()
+        return row.line if row else None
 
     with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(header, members.values()))
-    found: dict[str, list[str]] = {}
-    for line, parts in zip(headers, members.values()):
+        headers = list(pool.map(header, found))
+    groups: dict[str, list[str]] = {}
+    for line, month in zip(headers, found):
         if line:
-            found.setdefault(line, []).extend(parts)
-    return found
+            groups.setdefault(line, []).append(month)
+    return groups
 
 
 def header_columns(header: str) -> list[str]:
@@ -121,10 +122,10 @@ def scan_partitioned_csv(
     """All files of a folder as one typed table, plus ``period`` and ``file_name``.
 
     A value of the wrong type in a column that is read fails the read, and so does a
-    line with too few or too many fields; ``columnPruning`` is off because a pruned
-    parse would not see the latter.
+    line with too few or too many fields, or a file whose header differs from that of its
+    month; ``columnPruning`` is off because a pruned parse would not see wrong lines.
     """
-    files = recent_files(list_files(spark, path), num_periods)
+    files = recent_months(months(spark, path), num_periods)
     tables = []
     for header, members in vintages(spark, files, encoding).items():
         table = (
@@ -135,6 +136,8 @@ def scan_partitioned_csv(
             .option("escape", '"')
             .option("mode", "FAILFAST")
             .option("columnPruning", "false")
+            .option("enforceSchema", "false")
+            .option("recursiveFileLookup", "true")
             .csv(members)
         )
         tables.append(
@@ -156,7 +159,7 @@ def raw_lines(
     file); ``seq`` (increasing by one per line within a block); ``is_header``; ``line``.
     Files are split as usual, so one large file is read by many tasks.
     """
-    files = recent_files(list_files(spark, path), num_periods)
+    files = recent_months(months(spark, path), num_periods)
     return {
         header: spark.read.text(members).select(
             F.col("_metadata.file_path").alias("file"),
@@ -199,7 +202,11 @@ def registry_source(spark: SparkSession, path: str, declared: T.StructType) -> D
     reader = spark.read.option("header", "true").option("sep", SEPARATOR).option("escape", '"')
     header = reader.csv(path).columns
     return add_missing(
-        reader.schema(for_header(header, declared)).option("mode", "FAILFAST").csv(path), declared
+        reader.schema(for_header(header, declared))
+        .option("mode", "FAILFAST")
+        .option("enforceSchema", "false")
+        .csv(path),
+        declared,
     )
 
 

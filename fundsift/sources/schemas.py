@@ -13,71 +13,144 @@ OLD_NAMES = {
     "CNPJ_FUNDO": "CNPJ_FUNDO_CLASSE",
 }
 
-_TEXT, _NUMBER = "string", "double"
+_TEXT, _NUMBER = T.StringType(), T.DoubleType()
 
 
-def _schema(text: str, number: str = "") -> T.StructType:
-    kinds = {name: _TEXT for name in text.split()} | {name: _NUMBER for name in number.split()}
-    schema = T.StructType()
-    for name in kinds:
-        schema.add(name, kinds[name])
-    return schema
+def _schema(*columns: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns])
 
 
+# Columns and types of each kind of file, in file order.
 MONTHLY_NAV = _schema(
-    "TP_FUNDO_CLASSE CNPJ_FUNDO_CLASSE DENOM_SOCIAL DT_COMPTC",
-    "VL_PATRIM_LIQ",
+    ("TP_FUNDO_CLASSE", _TEXT),
+    ("CNPJ_FUNDO_CLASSE", _TEXT),
+    ("DENOM_SOCIAL", _TEXT),
+    ("DT_COMPTC", _TEXT),
+    ("VL_PATRIM_LIQ", _NUMBER),
 )
 
 DAILY_QUOTAS = _schema(
-    "TP_FUNDO_CLASSE CNPJ_FUNDO_CLASSE ID_SUBCLASSE DT_COMPTC",
-    "VL_QUOTA VL_PATRIM_LIQ",
+    ("TP_FUNDO_CLASSE", _TEXT),
+    ("CNPJ_FUNDO_CLASSE", _TEXT),
+    ("ID_SUBCLASSE", _TEXT),
+    ("DT_COMPTC", _TEXT),
+    ("VL_QUOTA", _NUMBER),
+    ("VL_PATRIM_LIQ", _NUMBER),
 )
 
-_HOLDINGS_TEXT = """
-    TP_FUNDO_CLASSE CNPJ_FUNDO_CLASSE DENOM_SOCIAL DT_COMPTC
-    TP_APLIC TP_ATIVO EMISSOR_LIGADO TP_NEGOC DT_CONFID_APLIC
-"""
-_HOLDINGS_NUMBER = """
-    QT_VENDA_NEGOC VL_VENDA_NEGOC QT_AQUIS_NEGOC VL_AQUIS_NEGOC
-    QT_POS_FINAL VL_MERC_POS_FINAL VL_CUSTO_POS_FINAL
-"""
-
-
-def _holdings(text: str, number: str = "") -> T.StructType:
-    return _schema(_HOLDINGS_TEXT + text, _HOLDINGS_NUMBER + number)
-
+# Every holdings family begins with these.
+_HOLDINGS = (
+    ("TP_FUNDO_CLASSE", _TEXT),
+    ("CNPJ_FUNDO_CLASSE", _TEXT),
+    ("DENOM_SOCIAL", _TEXT),
+    ("DT_COMPTC", _TEXT),
+    ("TP_APLIC", _TEXT),
+    ("TP_ATIVO", _TEXT),
+    ("EMISSOR_LIGADO", _TEXT),
+    ("TP_NEGOC", _TEXT),
+    ("QT_VENDA_NEGOC", _NUMBER),
+    ("VL_VENDA_NEGOC", _NUMBER),
+    ("QT_AQUIS_NEGOC", _NUMBER),
+    ("VL_AQUIS_NEGOC", _NUMBER),
+    ("QT_POS_FINAL", _NUMBER),
+    ("VL_MERC_POS_FINAL", _NUMBER),
+    ("VL_CUSTO_POS_FINAL", _NUMBER),
+    ("DT_CONFID_APLIC", _TEXT),
+)
 
 HOLDINGS = {
     # government bonds
-    "blc_1": _holdings("TP_TITPUB CD_ISIN CD_SELIC DT_EMISSAO DT_VENC"),
+    "blc_1": _schema(
+        *_HOLDINGS,
+        ("TP_TITPUB", _TEXT),
+        ("CD_ISIN", _TEXT),
+        ("CD_SELIC", _TEXT),
+        ("DT_EMISSAO", _TEXT),
+        ("DT_VENC", _TEXT),
+    ),
     # fund shares
-    "blc_2": _holdings("CNPJ_FUNDO_COTA NM_FUNDO_COTA"),
+    "blc_2": _schema(
+        *_HOLDINGS,
+        ("CNPJ_FUNDO_COTA", _TEXT),
+        ("NM_FUNDO_COTA", _TEXT),
+    ),
     # swaps
-    "blc_3": _holdings("CD_SWAP DS_SWAP"),
+    "blc_3": _schema(
+        *_HOLDINGS,
+        ("CD_SWAP", _TEXT),
+        ("DS_SWAP", _TEXT),
+    ),
     # coded assets
-    "blc_4": _holdings("CD_ATIVO DS_ATIVO CD_ISIN DT_INI_VIGENCIA DT_FIM_VIGENCIA"),
+    "blc_4": _schema(
+        *_HOLDINGS,
+        ("CD_ATIVO", _TEXT),
+        ("DS_ATIVO", _TEXT),
+        ("CD_ISIN", _TEXT),
+        ("DT_INI_VIGENCIA", _TEXT),
+        ("DT_FIM_VIGENCIA", _TEXT),
+    ),
     # rated credit instruments
-    "blc_5": _holdings(
-        """CNPJ_EMISSOR EMISSOR DT_VENC TITULO_POSFX CD_INDEXADOR_POSFX DS_INDEXADOR_POSFX
-        RISCO_EMISSOR AG_RISCO DT_RISCO GRAU_RISCO""",
-        "PR_INDEXADOR_POSFX PR_CUPOM_POSFX PR_TAXA_PREFX",
+    "blc_5": _schema(
+        *_HOLDINGS,
+        ("CNPJ_EMISSOR", _TEXT),
+        ("EMISSOR", _TEXT),
+        ("DT_VENC", _TEXT),
+        ("TITULO_POSFX", _TEXT),
+        ("CD_INDEXADOR_POSFX", _TEXT),
+        ("DS_INDEXADOR_POSFX", _TEXT),
+        ("PR_INDEXADOR_POSFX", _NUMBER),
+        ("PR_CUPOM_POSFX", _NUMBER),
+        ("PR_TAXA_PREFX", _NUMBER),
+        ("RISCO_EMISSOR", _TEXT),
+        ("AG_RISCO", _TEXT),
+        ("DT_RISCO", _TEXT),
+        ("GRAU_RISCO", _TEXT),
     ),
     # unrated credit
-    "blc_6": _holdings(
-        """PF_PJ_EMISSOR CPF_CNPJ_EMISSOR EMISSOR DT_VENC TITULO_POSFX CD_INDEXADOR_POSFX
-        DS_INDEXADOR_POSFX TITULO_CETIP TITULO_GARANTIA CNPJ_INSTITUICAO_FINANC_COOBR""",
-        "PR_INDEXADOR_POSFX PR_CUPOM_POSFX PR_TAXA_PREFX",
+    "blc_6": _schema(
+        *_HOLDINGS,
+        ("PF_PJ_EMISSOR", _TEXT),
+        ("CPF_CNPJ_EMISSOR", _TEXT),
+        ("EMISSOR", _TEXT),
+        ("DT_VENC", _TEXT),
+        ("TITULO_POSFX", _TEXT),
+        ("CD_INDEXADOR_POSFX", _TEXT),
+        ("DS_INDEXADOR_POSFX", _TEXT),
+        ("PR_INDEXADOR_POSFX", _NUMBER),
+        ("PR_CUPOM_POSFX", _NUMBER),
+        ("PR_TAXA_PREFX", _NUMBER),
+        ("TITULO_CETIP", _TEXT),
+        ("TITULO_GARANTIA", _TEXT),
+        ("CNPJ_INSTITUICAO_FINANC_COOBR", _TEXT),
     ),
     # foreign assets
-    "blc_7": _holdings(
-        """INVEST_COLETIVO INVEST_COLETIVO_GESTOR EMISSOR DT_VENC CD_PAIS PAIS CD_BV_MERC
-        BV_MERC CD_ATIVO_BV_MERC RISCO_EMISSOR AG_RISCO DT_RISCO GRAU_RISCO
-        DS_ATIVO_EXTERIOR""",
-        "QT_ATIVO_EXTERIOR VL_ATIVO_EXTERIOR",
+    "blc_7": _schema(
+        *_HOLDINGS,
+        ("INVEST_COLETIVO", _TEXT),
+        ("INVEST_COLETIVO_GESTOR", _TEXT),
+        ("EMISSOR", _TEXT),
+        ("DT_VENC", _TEXT),
+        ("CD_PAIS", _TEXT),
+        ("PAIS", _TEXT),
+        ("CD_BV_MERC", _TEXT),
+        ("BV_MERC", _TEXT),
+        ("CD_ATIVO_BV_MERC", _TEXT),
+        ("RISCO_EMISSOR", _TEXT),
+        ("AG_RISCO", _TEXT),
+        ("DT_RISCO", _TEXT),
+        ("GRAU_RISCO", _TEXT),
+        ("DS_ATIVO_EXTERIOR", _TEXT),
+        ("QT_ATIVO_EXTERIOR", _NUMBER),
+        ("VL_ATIVO_EXTERIOR", _NUMBER),
     ),
     # declared, but not part of the analysis
-    "blc_8": _holdings("DS_ATIVO PF_PJ_EMISSOR CPF_CNPJ_EMISSOR EMISSOR"),
+    "blc_8": _schema(
+        *_HOLDINGS,
+        ("DS_ATIVO", _TEXT),
+        ("PF_PJ_EMISSOR", _TEXT),
+        ("CPF_CNPJ_EMISSOR", _TEXT),
+        ("EMISSOR", _TEXT),
+    ),
 }
 
 # The families that make up a fund's portfolio.

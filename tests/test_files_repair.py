@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import random
 
 import pytest
@@ -12,9 +13,9 @@ from .conftest import rows
 
 OLD = "TP_FUNDO;CNPJ_FUNDO;DENOM_SOCIAL;DT_COMPTC;VL_PATRIM_LIQ"
 NEW = OLD.replace("TP_FUNDO", "TP_FUNDO_CLASSE").replace("CNPJ_FUNDO", "CNPJ_FUNDO_CLASSE")
-AMAZONIA = 'FACFIF;07.408.147/0001-64;FUNDO AMAZONIA... MIX "2";2023-04-30;22317.32'
-DECK = 'FI;50.095.878/0001-26;DECK FUNDO DE INVESTIMENTO FINANCEIRO",;2023-12-31;8171565.36'
-URCA = "FI;10.705.306/0001-05;URCA FUNDO DE INVESTIMENTO AÇÕES;2023-06-30;-184655.57"
+MIXED = 'FACFIF;07.408.147/0001-64;FUNDO DAS SERRAS PLUS "9";2023-04-30;22317.32'
+ODD = 'FI;50.095.878/0001-26;FUNDO DO PLANALTO RENDA",;2023-12-31;8171565.36'
+PLAIN = "FI;10.705.306/0001-05;FUNDO DO LITORAL AÇÕES;2023-06-30;-184655.57"
 
 
 def put(folder, name, lines, end="\n"):
@@ -25,17 +26,17 @@ def put(folder, name, lines, end="\n"):
 @pytest.fixture
 def nav_folder(tmp_path):
     folder = tmp_path / "pl"
-    put(folder, "202304.csv", [OLD, AMAZONIA, ""])
-    put(folder, "202306.csv", [OLD, URCA], end="\r\n")
-    put(folder, "202312.csv", [NEW, DECK])
+    put(folder, "202304.csv", [OLD, MIXED, ""])
+    put(folder, "202306.csv", [OLD, PLAIN], end="\r\n")
+    put(folder, "202312.csv", [NEW, ODD])
     put(folder, "notes.csv", [NEW])
     return str(folder)
 
 
 def test_periods_from_names(spark, nav_folder):
     assert files.max_period(spark, nav_folder) == 202312
-    names = files.list_files(spark, nav_folder)
-    assert [files.file_period(f) for f in files.recent_files(names, 2)] == [202306, 202312]
+    found = files.months(spark, nav_folder)
+    assert [files.file_period(f) for f in files.recent_months(found, 2)] == [202306, 202312]
     assert files.file_period("/x/period=202401/part-0.csv") == 202401
     assert files.file_period("/x/202401.csv/part-0.csv") == 202401
     assert files.file_period("/202401/other.csv") is None
@@ -43,19 +44,19 @@ def test_periods_from_names(spark, nav_folder):
 
 def test_scan(spark, tmp_path):
     folder = tmp_path / "pl"
-    put(folder, "202306.csv", [OLD, URCA])
-    put(folder, "202312.csv", [NEW, DECK.replace('"', "")])
+    put(folder, "202306.csv", [OLD, PLAIN])
+    put(folder, "202312.csv", [NEW, ODD.replace('"', "")])
     got = files.scan_partitioned_csv(spark, str(folder), schemas.MONTHLY_NAV)
     assert rows(got, "CNPJ_FUNDO_CLASSE", "DENOM_SOCIAL", "VL_PATRIM_LIQ", "period", "file_name") == [
-        ("10.705.306/0001-05", "URCA FUNDO DE INVESTIMENTO AÇÕES", -184655.57, 202306, "202306.csv"),
-        ("50.095.878/0001-26", "DECK FUNDO DE INVESTIMENTO FINANCEIRO,", 8171565.36, 202312, "202312.csv"),
+        ("10.705.306/0001-05", "FUNDO DO LITORAL AÇÕES", -184655.57, 202306, "202306.csv"),
+        ("50.095.878/0001-26", "FUNDO DO PLANALTO RENDA,", 8171565.36, 202312, "202312.csv"),
     ]
     assert files.scan_partitioned_csv(spark, str(folder), schemas.MONTHLY_NAV, 1).count() == 1
 
 
 @pytest.mark.parametrize("bad", ["FI;1;x;2023-06-30;notanumber", "FI;1;x;2023-06-30", "FI;1;x;2023-06-30;1.0;9"])
 def test_bad_rows_fail_the_scan(spark, tmp_path, bad):
-    put(tmp_path / "pl", "202306.csv", [OLD, URCA, bad])
+    put(tmp_path / "pl", "202306.csv", [OLD, PLAIN, bad])
     got = files.scan_partitioned_csv(spark, str(tmp_path / "pl"), schemas.MONTHLY_NAV)
     with pytest.raises(Exception, match="MALFORMED_RECORD|malformed"):
         got.collect()
@@ -81,20 +82,36 @@ def test_repair_then_parse(spark, nav_folder):
         ]
     )
     assert rows(parsed, "DENOM_SOCIAL", "VL_PATRIM_LIQ", "period") == [
-        ("DECK FUNDO DE INVESTIMENTO FINANCEIRO,", 8171565.36, 202312),
-        ('FUNDO AMAZONIA... MIX ""2""', 22317.32, 202304),
-        ("URCA FUNDO DE INVESTIMENTO AÇÕES", -184655.57, 202306),
+        ('FUNDO DAS SERRAS PLUS ""9""', 22317.32, 202304),
+        ("FUNDO DO LITORAL AÇÕES", -184655.57, 202306),
+        ("FUNDO DO PLANALTO RENDA,", 8171565.36, 202312),
     ]
 
 
 def test_empty_first_part_does_not_hide_the_rest(spark, tmp_path):
     folder = tmp_path / "pl" / "202306.csv"
-    put(folder, "part-00001.csv", [OLD, URCA])
+    put(folder, "part-00001.csv", [OLD, PLAIN])
     (folder / "part-00000.csv").write_bytes(b"")
     got = files.scan_partitioned_csv(spark, str(tmp_path / "pl"), schemas.MONTHLY_NAV)
     assert got.count() == 1
 
 
+def test_parts_with_other_headers_fail(spark, tmp_path):
+    folder = tmp_path / "pl" / "202306.csv"
+    put(folder, "part-00000.csv", [OLD, PLAIN])
+    swapped = ";".join([OLD.split(";")[1], OLD.split(";")[0], *OLD.split(";")[2:]])
+    put(folder, "part-00001.csv", [swapped, PLAIN])
+    got = files.scan_partitioned_csv(spark, str(tmp_path / "pl"), schemas.MONTHLY_NAV)
+    with pytest.raises(Exception, match="header|Header"):
+        got.collect()
+
+
+def test_unknown_checks_are_errors(spark):
+    lines = spark.createDataFrame([("f", 0, 0, False, "a")], "file string, block long, seq long, is_header boolean, line string")
+    with pytest.raises(ValueError, match="check_redundant"):
+        repair.repair(lines, {"check_redundant": repair.FIX})
+
+
 def test_line_numbers_across_splits(spark, tmp_path):
     """A file read in many pieces still gets the line numbers of the whole file."""
     random.seed(3)
@@ -119,15 +136,27 @@ def test_line_numbers_across_splits(spark, tmp_path):
             ("pl/202307.csv", "check_redundant_quotes"),
         }
         first = listed["pl/202306.csv", "check_redundant_quotes"]
-        assert first.affected_lines == ",".join(map(str, odd))
         assert (first.status, first.affected_lines_count, first.fixes_applied) == ("fixed", len(odd), len(odd))
-        assert listed["pl/202307.csv", "check_redundant_quotes"].affected_lines == "3"
-        got = rows(result.affected.filter("validation_name = 'check_malformed_quotes'"), "line_no")
-        assert [r[0] for r in got] == even
+        got = rows(result.affected, name(), "validation_name", "line_no")
+        assert got == sorted(
+            [("202306.csv", "check_redundant_quotes", n) for n in odd]
+            + [("202306.csv", "check_malformed_quotes", n) for n in even]
+            + [("202307.csv", "check_redundant_quotes", 3)]
+        )
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
 
 
+def test_line_numbers_of_a_compressed_file(spark, tmp_path):
+    lines = [OLD, *['a;b"c' if i % 7 == 0 else "a;b" for i in range(500)]]
+    (tmp_path / "pl").mkdir()
+    with gzip.open(tmp_path / "pl" / "202306.csv.gz", "wb") as f:
+        f.write(("\n".join(lines) + "\n").encode("latin1"))
+    [text] = files.raw_lines(spark, str(tmp_path / "pl")).values()
+    found = repair.flagged_line_numbers(text, "check_redundant_quotes")
+    assert [r[0] for r in rows(found, "line_no")] == [i + 1 for i, x in enumerate(lines) if '"' in x]
+
+
 def test_headers_and_blank_lines_are_left_alone(spark, tmp_path):
     put(tmp_path / "pl", "202306.csv", ['A;"B', "1;2", "", 'x";y'])
     [text] = files.raw_lines(spark, str(tmp_path / "pl")).values()
@@ -157,19 +186,21 @@ def test_a_step_that_loses_too_much_is_undone(lossy):
         ("202302.csv", 7, 4, True),
         ("202303.csv", 4, 4, True),
     ]
-    steps = {"check_redundant_quotes": "ignore", "check_malformed_quotes": "fix", "no_such": "fix"}
+    steps = {"check_redundant_quotes": "ignore", "check_malformed_quotes": "fix"}
     kept = repair.repair(lossy, steps).groupBy(name().alias("f")).count()
     assert rows(kept) == [("202301.csv", 5), ("202302.csv", 4), ("202303.csv", 4)]
     result = repair.raw_validation(lossy, "pl", steps, include_passed=True)
-    got = rows(result.report, "dataset_name", "validation_name", "status", "affected_lines", "fixes_applied")
+    got = rows(result.report, "dataset_name", "validation_name", "status", "affected_lines_count", "fixes_applied")
     assert got == [
-        ("pl/202301.csv", "check_malformed_quotes", "passed", "", 0),
-        ("pl/202301.csv", "check_redundant_quotes", "failed", "2,3,4", 0),
-        ("pl/202302.csv", "check_malformed_quotes", "passed", "", 0),
-        ("pl/202302.csv", "check_redundant_quotes", "fixed", "2,3,4", 3),
-        ("pl/202303.csv", "check_malformed_quotes", "passed", "", 0),
-        ("pl/202303.csv", "check_redundant_quotes", "passed", "", 0),
+        ("pl/202301.csv", "check_malformed_quotes", "passed", 0, 0),
+        ("pl/202301.csv", "check_redundant_quotes", "failed", 3, 0),
+        ("pl/202302.csv", "check_malformed_quotes", "passed", 0, 0),
+        ("pl/202302.csv", "check_redundant_quotes", "fixed", 3, 3),
+        ("pl/202303.csv", "check_malformed_quotes", "passed", 0, 0),
+        ("pl/202303.csv", "check_redundant_quotes", "passed", 0, 0),
     ]
+    affected = [(f"20230{i}.csv", "check_redundant_quotes", n) for i in (1, 2) for n in (2, 3, 4)]
+    assert rows(result.affected, name(), "validation_name", "line_no") == affected
     assert rows(repair.summary(result.report)) == [
         ("status", "failed", 1),
         ("status", "fixed", 1),
@@ -233,8 +264,8 @@ def test_registry_source(spark, tmp_path):
 
 def test_a_period_filter_leaves_other_files_unread(spark, tmp_path):
     for month in (202301, 202302, 202303):
-        put(tmp_path / "pl", f"{month}.csv", [OLD, URCA])
-    put(tmp_path / "pl", "202304.csv", [OLD, URCA.replace("-184655.57", "broken")])
+        put(tmp_path / "pl", f"{month}.csv", [OLD, PLAIN])
+    put(tmp_path / "pl", "202304.csv", [OLD, PLAIN.replace("-184655.57", "broken")])
     table = files.scan_partitioned_csv(spark, str(tmp_path / "pl"), schemas.MONTHLY_NAV)
     assert table.filter("period = 202302").collect()[0].VL_PATRIM_LIQ == -184655.57
     [(header, lines)] = files.raw_lines(spark, str(tmp_path / "pl")).items()

@@ -90,7 +90,6 @@ def test_report(table):
     checks = {
         "validate_uniqueness": {"group_columns": ["k"]},
         "validate_bounds": {"value_column": "x"},
-        "no_such_check": {},
     }
     results = q.run_checks(table, "t", checks)
     failed = rows(q.validation_report(results), "dataset_name", "validation_name", "status", "error_count")
@@ -98,3 +97,5 @@ def test_report(table):
     assert q.validation_report(results, include_passed=True).count() == 2
     assert q.validation_report(results[1:]).count() == 0
     assert q.affected_report(results).count() == 2
+    with pytest.raises(ValueError, match="validate_bound"):
+        q.run_checks(table, "t", {"validate_bound": {}})

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fundsift.operators.keys import frequent_keys, match_keys
+from fundsift.operators.keys import match_keys
 from fundsift.operators.ranking import rank_within, top_n
 
 from .conftest import rows
@@ -50,22 +50,11 @@ DATA = [("hot", i) for i in range(100)] + [(f"k{i}", i) for i in range(50)] + [(
 
 @pytest.mark.parametrize("how", ["left_semi", "left_anti"])
 @pytest.mark.parametrize("wanted", [["hot", "k3", "k9"], ["k3"], ["hot"], []])
-@pytest.mark.parametrize("path", ["broadcast", "frequent", "plain"])
-def test_match_keys(spark, how, wanted, path):
+def test_match_keys(spark, how, wanted):
     df = spark.createDataFrame(DATA, "k string, v int")
     keys = spark.createDataFrame([(w,) for w in wanted], "k string")
-    limits = {
-        "broadcast": {},
-        "frequent": {"max_broadcast": -1, "max_frequent": 10},
-        "plain": {"max_broadcast": -1, "max_frequent": 1},
-    }[path]
-    got = match_keys(df, keys, ["k"], how, **limits)
+    got = match_keys(df, keys, ["k"], how)
     keep = (lambda k: k in wanted) if how == "left_semi" else (lambda k: k not in wanted)
     assert rows(got) == sorted(
         ((k, v) for k, v in DATA if keep(k)), key=lambda t: (t[0] is not None, t)
     )
-
-
-def test_frequent_keys(spark):
-    df = spark.createDataFrame(DATA, "k string, v int")
-    assert rows(frequent_keys(df, ["k"], 10)) == [("hot",)]

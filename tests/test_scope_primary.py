@@ -225,8 +225,11 @@ def test_characteristics(spark, full_registry):
         (3, "2018-01-01", 1.0, 1),
         (4, None, 90.0, None),
     ]
+    long = registry.category_flags(got)
+    categories = [registry.Category(*r) for r in rows(long.select("level", "label", "flag").distinct())]
+    wide = registry.one_hot_categories(got, categories)
     # "Ativo" on level 1 and "ativo" on level 3 share a flag; level 3 wins.
-    assert rows(got, "cnpj", "is_ativo", "is_passivo", "is_duracao_alta", "is_livre") == [
+    assert rows(wide, "cnpj", "is_ativo", "is_passivo", "is_duracao_alta", "is_livre") == [
         (1, 0, 0, 1, 0),
         (2, 0, None, 0, 1),
         (3, 1, 1, 0, 0),
@@ -236,9 +239,29 @@ def test_characteristics(spark, full_registry):
     assert rows(managers) == [("M", 2, dt.date(2018, 1, 1), dt.date(2020, 5, 1))]
 
 
-def test_too_many_categories(full_registry):
-    with pytest.raises(ValueError, match="over 1 categories"):
-        registry.one_hot_categories(full_registry, ("nivel_1_categoria",), max_categories=1)
+def test_months_with_several_prices(spark):
+    nav = [(1, 202301, 10.0), (1, 202301, 20.0), (1, 202302, 30.0), (1, 202304, 5.0)]
+    got = primary.monthly_returns(spark.createDataFrame(nav, "cnpj long, period int, price double"))
+    assert rows(got, "period", "price", "price_previous", "monthly_return", "period_rank") == [
+        (202302, 30.0, 10.0, 2.0, 2),
+        (202302, 30.0, 20.0, 0.5, 3),
+    ]
+
+
+def test_daily_nav_needs_one_scan_and_two_exchanges(spark, tmp_path):
+    path = str(tmp_path / "quotas")
+    data = [(k % 5, f"2024-01-0{1 + k % 9}", 1.0 + k, 2.0, "A" if k % 2 else None) for k in range(90)]
+    spark.createDataFrame(data, QUOTA).write.parquet(path)
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = primary.daily_nav(spark.read.parquet(path))
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") == 1
+        assert plan.count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
 
 
 def test_assert_unique(spark):
