@@ -1,16 +1,19 @@
 """Byte-level BPE encoding and decoding with a rank queue.
 
-All pre-tokens that are not yet known are laid end to end and merged together. Adjacent
-pairs wait in one bucket per merge rank; a two-level bitmap marks the buckets that are not
-empty, so the next rank is two find-first-set steps away whatever the length of a
-pre-token. Merging relinks neighbours in a doubly linked list of positions; an entry whose
-position has meanwhile been merged or has got another rank is stale and skipped.
+All pre-tokens of some texts that are not yet known are laid end to end and merged
+together. Adjacent pairs wait, by merge rank, in buckets of linked-list positions; a bitmap
+marks the buckets that are not empty, so the lowest ranks are one find-first-set away
+whatever the length of a pre-token. Pre-tokens do not touch each other, so a bucket spans
+a few neighbouring ranks and each of its pre-tokens takes its own lowest one, all of them
+at once in numpy. Merging relinks the neighbours in the doubly linked list of positions; an
+entry whose position has meanwhile been merged or has got another rank is stale and skipped.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain, islice
 
@@ -23,8 +26,11 @@ from pyspark.sql import functions as F
 #: Rank file and pattern of the tokenizer used unless another one is named.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
-#: Bits in one word of the bitmap's lower level.
-WORD_BITS = 256
+#: Neighbouring merge ranks that share a bucket, as a power of two.
+BUCKET_BITS = 6
+
+#: Buckets that share a word of the bitmap's lower level, as a power of two.
+WORD_BITS = 5
 
 #: Pre-tokens remembered per Python worker; twice as many at most are held.
 CACHED = 200_000
@@ -32,42 +38,47 @@ CACHED = 200_000
 #: Bits of a token id in the key of a pair.
 SHIFT = 20
 
-#: Matches handled at a time, which bounds memory for very long texts.
+#: Characters of texts, or matches of one very long text, that are handled together.
+GROUP = 1 << 21
 MATCHES = 200_000
 
 
 class RankQueue:
-    """Positions by merge rank; ``lowest`` is the smallest rank that has any."""
+    """Positions by merge rank, in buckets; a two-level bitmap finds the lowest bucket."""
 
     def __init__(self, ranks: int):
-        self.buckets: list[list[int] | None] = [None] * ranks
-        self.words = [0] * (ranks // WORD_BITS + 1)
+        buckets = (ranks >> BUCKET_BITS) + 1
+        self.buckets: list[list[np.ndarray]] = [[] for _ in range(buckets)]
+        self.words = [0] * ((buckets >> WORD_BITS) + 1)
         self.summary = 0
 
-    def put(self, rank: int, positions: list[int]) -> None:
-        self.buckets[rank] = positions
-        high, low = divmod(rank, WORD_BITS)
-        self.words[high] |= 1 << low
-        self.summary |= 1 << high
-
-    def lowest(self) -> int:
-        """The smallest rank in the queue, or -1."""
+    def push(self, ranks: np.ndarray, positions: np.ndarray) -> None:
+        which = (ranks >> BUCKET_BITS).astype(np.uint16)
+        order = np.argsort(which, kind="stable")
+        which, positions = which[order], positions[order]
+        cuts = np.flatnonzero(which[1:] != which[:-1]) + 1
+        starts = [0, *cuts.tolist(), len(which)]
+        for bucket, start, stop in zip(which[starts[:-1]].tolist(), starts, starts[1:], strict=False):
+            self.put(bucket, positions[start:stop])
+
+    def put(self, bucket: int, positions: np.ndarray) -> None:
+        self.buckets[bucket].append(positions)
+        word = bucket >> WORD_BITS
+        self.words[word] |= 1 << (bucket & (1 << WORD_BITS) - 1)
+        self.summary |= 1 << word
+
+    def take(self) -> tuple[int, np.ndarray] | None:
+        """Remove and return the lowest bucket that has positions."""
         if not self.summary:
-            return -1
-        high = (self.summary & -self.summary).bit_length() - 1
-        word = self.words[high]
-        return high * WORD_BITS + (word & -word).bit_length() - 1
-
-    def take(self, rank: int) -> list[int]:
-        """Remove and return all positions of a rank, leftmost first."""
-        positions = self.buckets[rank]
-        self.buckets[rank] = None
-        high, low = divmod(rank, WORD_BITS)
-        self.words[high] &= ~(1 << low)
-        if not self.words[high]:
-            self.summary &= ~(1 << high)
-        positions.sort()
-        return positions
+            return None
+        word = (self.summary & -self.summary).bit_length() - 1
+        bits = self.words[word]
+        bucket = (word << WORD_BITS) + (bits & -bits).bit_length() - 1
+        self.words[word] = bits & bits - 1
+        if not self.words[word]:
+            self.summary &= self.summary - 1
+        held, self.buckets[bucket] = self.buckets[bucket], []
+        return bucket, held[0] if len(held) == 1 else np.concatenate(held)
 
 
 class ByteBpe:
@@ -75,91 +86,119 @@ class ByteBpe:
 
     def __init__(self, rank_of: dict[bytes, int], pattern: str):
         self.rank_of = rank_of
-        self.bytes_of = [b""] * (max(rank_of.values()) + 1)
+        ranks = max(rank_of.values()) + 1
+        self.bytes_of = [b""] * ranks
+        self.ids = list(range(ranks))  # one object per id, which all known pieces share
         for token, rank in rank_of.items():
             self.bytes_of[rank] = token
-        self.pair_rank: dict[int, int] = {}
+        pair_rank: dict[int, int] = {}
         #: Ranks whose merge may bring about a pair of lower rank.
-        self.falling: set[int] = set()
+        self.falling = np.zeros(ranks, bool)
         for token, rank in rank_of.items():
             for cut in range(1, len(token)):
                 left, right = rank_of.get(token[:cut]), rank_of.get(token[cut:])
                 if left is not None and right is not None:
-                    self.pair_rank[left << SHIFT | right] = rank
-                    self.falling.update(r for r in (left, right) if r > rank)
+                    pair_rank[left << SHIFT | right] = rank
+                    for part in (left, right):
+                        self.falling[part] |= part > rank
+        keys = np.fromiter(pair_rank.keys(), np.int64, len(pair_rank))
+        order = np.argsort(keys)
+        last = np.iinfo(np.int64).max
+        self.pairs = np.append(keys[order], last)
+        self.pair_ranks = np.append(np.fromiter(pair_rank.values(), np.int64, len(pair_rank))[order], -1)
         self.byte_rank = np.array([rank_of[bytes([b])] for b in range(256)])
-        pairs = (self.pair_rank.get(int(x) << SHIFT | int(y), -1) for x in self.byte_rank for y in self.byte_rank)
-        self.first_rank = np.fromiter(pairs, np.int64, 1 << 16)
+        two = np.arange(1 << 16)
+        self.first_rank = self.rank_of_pairs(self.byte_rank[two >> 8], self.byte_rank[two & 255])
         self.pattern = regex.compile(pattern)
-        self.queue = RankQueue(len(self.bytes_of))
+        plain = pattern.replace(r"\p{L}\p{N}", "A-Za-z0-9").replace(r"\p{L}+", "[A-Za-z]+").replace(r"\p{N}+", "[0-9]+")
+        #: The same pattern for texts in ASCII only.
+        self.plain = self.pattern if r"\p" in plain else re.compile(plain, re.ASCII)
+        self.queue = RankQueue(ranks)
         self.known = Pieces()
 
+    def rank_of_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of token ids, -1 where they do not merge."""
+        keys = left << SHIFT | right
+        at = np.searchsorted(self.pairs, keys)
+        return np.where(self.pairs[at] == keys, self.pair_ranks[at], -1)
+
+    def _chosen(self, positions: np.ndarray, waiting: np.ndarray, piece: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Which of the sorted positions merge now: of each piece the lowest rank.
+
+        All places with that rank merge at once, of overlapping ones every other from the
+        left; only the leftmost merges where a lower rank may follow from it.
+        """
+        ranks, pieces = waiting[positions], piece[positions]
+        starts = np.flatnonzero(np.concatenate([[True], pieces[1:] != pieces[:-1]]))
+        lowest = np.minimum.reduceat(ranks, starts)
+        sizes = np.diff(np.append(starts, len(positions)))
+        found = np.flatnonzero(ranks == np.repeat(lowest, sizes))
+        at, owner = positions[found], pieces[found]
+        fresh = np.concatenate([[True], owner[1:] != owner[:-1]])
+        touching = np.concatenate([[False], after[at[:-1]] == at[1:]])
+        if touching.any():
+            run = np.maximum.accumulate(np.where(touching, 0, np.arange(len(at))))
+            even = (np.arange(len(at)) - run) % 2 == 0
+        else:
+            even = ~touching
+        now = np.zeros(len(positions), bool)
+        now[found[np.where(self.falling[ranks[found]], fresh, even)]] = True
+        return now
+
     def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Token ids of each piece, every piece merged on its own."""
-        pair_rank, queue = self.pair_rank.get, self.queue
-        buckets, put = queue.buckets, queue.put
+        queue = self.queue
         raw = np.frombuffer(b"".join(pieces), np.uint8)
-        stops = np.cumsum([len(piece) for piece in pieces])
-        starts = np.concatenate([[0], stops[:-1]])
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        stops = np.cumsum(sizes)
+        piece = np.repeat(np.arange(len(pieces)), sizes)
         links = np.arange(len(raw))
-        right, left = links + 1, links - 1
-        right[stops - 1] = -1
-        left[starts] = -1
-        ranks = np.full(len(raw), -1)
-        ranks[:-1] = self.first_rank[raw[:-1].astype(np.int64) << 8 | raw[1:]]
-        ranks[stops - 1] = -1
-        order = np.argsort(ranks, kind="stable")
-        order = order[np.searchsorted(ranks[order], 0) :]
-        cuts = np.flatnonzero(np.diff(ranks[order])) + 1
-        for group in np.split(order, cuts) if len(order) else ():
-            put(int(ranks[group[0]]), group.tolist())
-        token = self.byte_rank[raw].tolist()  # of the token that starts here
-        after, before = right.tolist(), left.tolist()  # where its neighbours start, or -1
-        waiting = ranks.tolist()  # rank of the pair that starts here, or -1
-        while (rank := queue.lowest()) >= 0:
-            todo = iter(queue.take(rank))
-            careful, first = rank in self.falling, rank << SHIFT
-            for i in todo:
-                if waiting[i] != rank:
-                    continue  # stale
-                gone = after[i]
-                waiting[gone] = -1
-                token[i] = rank
-                after[i] = beyond = after[gone]
-                ahead = behind = -1
-                if beyond >= 0:
-                    before[beyond] = i
-                    ahead = pair_rank(first | token[beyond], -1)
-                    if ahead >= 0:
-                        if (bucket := buckets[ahead]) is None:
-                            put(ahead, [i])
-                        else:
-                            bucket.append(i)
-                waiting[i] = ahead
-                if (back := before[i]) >= 0:
-                    behind = pair_rank(token[back] << SHIFT | rank, -1)
-                    if behind >= 0:
-                        if (bucket := buckets[behind]) is None:
-                            put(behind, [back])
-                        else:
-                            bucket.append(back)
-                    waiting[back] = behind
-                if careful and (0 <= ahead < rank or 0 <= behind < rank):  # the lower rank goes first
-                    if rest := list(todo):
-                        put(rank, rest)
-                    break
-        found = []
-        for start in starts.tolist():
-            ids = []
-            while start >= 0:
-                ids.append(token[start])
-                start = after[start]
-            found.append(tuple(ids))
-        return found
+        after, before = links + 1, links - 1  # where the neighbours start, or -1
+        after[stops - 1] = -1
+        before[stops - sizes] = -1
+        token = self.byte_rank[raw]  # of the token that starts here
+        alive = np.ones(len(raw), bool)
+        waiting = np.full(len(raw), -1)  # rank of the pair that starts here, or -1
+        waiting[:-1] = self.first_rank[raw[:-1].astype(np.int64) << 8 | raw[1:]]
+        waiting[stops - 1] = -1
+        pairs = np.flatnonzero(waiting >= 0)
+        if len(pairs):
+            queue.push(waiting[pairs], pairs)
+        while (taken := queue.take()) is not None:
+            bucket, positions = taken
+            positions = np.sort(positions[waiting[positions] >> BUCKET_BITS == bucket])  # the others are stale
+            if not len(positions):
+                continue
+            positions = positions[np.concatenate([[True], positions[1:] != positions[:-1]])]
+            now = self._chosen(positions, waiting, piece, after)
+            if not now.all():
+                queue.put(bucket, positions[~now])
+            here = positions[now]
+            gone = after[here]
+            token[here] = waiting[here]
+            waiting[gone], alive[gone] = -1, False
+            beyond = after[gone]
+            after[here] = beyond
+            waiting[here] = -1
+            left, right = here[beyond >= 0], beyond[beyond >= 0]
+            before[right] = left
+            back = before[here]
+            left = np.concatenate([left, back[back >= 0]])
+            right = np.concatenate([right, here[back >= 0]])
+            ranks = self.rank_of_pairs(token[left], token[right])
+            waiting[left] = ranks
+            merging = ranks >= 0
+            if merging.any():
+                queue.push(ranks[merging], left[merging])
+        found = list(map(self.ids.__getitem__, token[alive].tolist()))
+        ends = np.cumsum(np.bincount(piece[alive], minlength=len(pieces))).tolist()
+        return [tuple(found[start:stop]) for start, stop in zip([0, *ends], ends, strict=False)]
+
+    def split(self, text: str) -> list[str]:
+        return (self.plain if text.isascii() else self.pattern).findall(text)
 
     def learn(self, pieces: set[str]) -> None:
         """Put the ids of pieces into the cache."""
-        self.known.turn()
         rest = []
         for piece in pieces:
             if not self.known.revive(piece):
@@ -171,22 +210,38 @@ class ByteBpe:
         if rest:
             self.known.update(zip((p for p, _ in rest), self.merge([r for _, r in rest]), strict=True))
 
-    def ids(self, pieces: list[str]) -> list[int]:
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            self.learn({p for p, ids in zip(pieces, found, strict=True) if ids is None})
-            older = self.known.older
-            found = [self.known.get(p) or older[p] for p in pieces]
-        return list(chain.from_iterable(found))
-
-    def encode(self, text: str) -> Iterator[list[int]]:
-        """Ids of a whole text, in parts."""
-        if len(text) <= MATCHES:
-            yield self.ids(self.pattern.findall(text))
-            return
-        matches = (m.group() for m in self.pattern.finditer(text))
-        while part := list(islice(matches, MATCHES)):
-            yield self.ids(part)
+    def ids_of(self, texts: list[list[str]]) -> Iterator[list[int]]:
+        """Ids of texts given as lists of pieces."""
+        self.known.turn()
+        missing: set[str] = set()
+        for pieces in texts:
+            missing.update(pieces)
+        missing.difference_update(self.known)
+        self.learn(missing)
+        for pieces in texts:
+            yield list(chain.from_iterable(map(self.known.__getitem__, pieces)))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of each text; short texts are handled together, very long ones in parts."""
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            if len(text) > GROUP:
+                yield from self.ids_of(held)
+                held, size = [], 0
+                matches = (m.group() for m in self.pattern.finditer(text))
+                parts = iter(lambda matches=matches: list(islice(matches, MATCHES)), [])
+                yield list(chain.from_iterable(ids for part in parts for ids in self.ids_of([part])))
+                continue
+            held.append(self.split(text))
+            size += len(text)
+            if size >= GROUP:
+                yield from self.ids_of(held)
+                held, size = [], 0
+        yield from self.ids_of(held)
+
+    def encode(self, text: str) -> list[int]:
+        return next(self.encode_all([text]))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -235,12 +290,9 @@ def encode(text: Column, vocabulary: str = VOCABULARY) -> Column:
         bpe = load(vocabulary)
         for batch in batches:
             offsets, parts = [0], []
-            for value in batch:
-                n = 0
-                for ids in bpe.encode(value.as_py() or ""):
-                    parts.append(pa.array(ids, pa.int32()))
-                    n += len(ids)
-                offsets.append(offsets[-1] + n)
+            for ids in bpe.encode_all(value.as_py() or "" for value in batch):
+                parts.append(pa.array(ids, pa.int32()))
+                offsets.append(offsets[-1] + len(ids))
             values = pa.concat_arrays(parts) if parts else pa.array([], pa.int32())
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 

@@ -60,7 +60,16 @@ def test_bpe_on_long_and_random_pieces():
     parts = ["a", "aa", "the", " ", "  ", "\n", "\x85", "é", "ß", "日本", "١٢", "²", "'s", "_", "!!", "ing", "\U0001f600"]
     texts = ["".join(dice.choices(parts, k=dice.randint(0, 60))) for _ in range(500)]
     for text in [*texts, "a" * 20_000, "abcab" * 5000, " " * 3000, "the" * 5000]:
-        assert list(itertools.chain(*bpe.encode(text))) == expected.encode_ordinary(text)
+        assert bpe.encode(text) == expected.encode_ordinary(text)
+
+
+def test_very_long_texts_are_encoded_in_parts(monkeypatch):
+    expected, bpe = tiktoken_encoding(), byte_bpe.load(byte_bpe.VOCABULARY)
+    monkeypatch.setattr(byte_bpe, "GROUP", 50)
+    monkeypatch.setattr(byte_bpe, "MATCHES", 7)
+    monkeypatch.setattr(byte_bpe, "CACHED", 20)
+    texts = ["short one", "", "é" * 30 + " and so on, " * 20, "x", "a  b\n\n c" * 15, "end"]
+    assert list(bpe.encode_all(texts)) == list(map(expected.encode_ordinary, texts))
 
 
 def test_lower_rank_goes_first():
@@ -70,7 +79,7 @@ def test_lower_rank_goes_first():
     expected = tiktoken.Encoding("x", pat_str=r"[a-c]+", mergeable_ranks=ranks, special_tokens={})
     for k in range(1, 8):
         for text in map("".join, itertools.product("abc", repeat=k)):
-            assert list(itertools.chain(*own.encode(text))) == expected.encode_ordinary(text)
+            assert own.encode(text) == expected.encode_ordinary(text)
 
 
 def greedy(word, starting, continuing):
