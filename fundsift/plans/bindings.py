@@ -70,11 +70,20 @@ class Tables:
     # -- facts ---------------------------------------------------------------
 
     def quotas(self) -> DataFrame:
-        """Daily quotas with numeric fund ids; no share class on open line items."""
+        """Daily quotas with numeric fund ids; no share class on open line items.
+
+        Some quotas are missing, zero or negative, and some funds have few usable days.
+        """
+        order = F.col("l_orderkey")
+        unusable = (order % 23 == 0) | ((F.col("l_suppkey") % 9 == 4) & (order % 40 != 1))
         return self.read("lineitem").select(
             F.col("l_suppkey").alias("cnpj"),
             ship_date().alias("DT_COMPTC"),
-            (F.lit(100) + F.col("l_extendedprice") / 10000).alias("VL_QUOTA"),
+            F.when(unusable, None)
+            .when(order % 29 == 0, 0.0)
+            .when(order % 31 == 0, -F.col("l_extendedprice"))
+            .otherwise(F.lit(100) + F.col("l_extendedprice") / 10000)
+            .alias("VL_QUOTA"),
             F.col("l_extendedprice").alias("VL_PATRIM_LIQ"),
             F.when(F.col("l_linestatus") == "F", F.col("l_returnflag")).alias("ID_SUBCLASSE"),
         )
@@ -132,12 +141,20 @@ class Tables:
         )
 
     def monthly_prices(self) -> DataFrame:
-        """(cnpj, DT_COMPTC, VL_PATRIM_LIQ), one row per fund and month."""
-        return (
+        """(cnpj, DT_COMPTC, VL_PATRIM_LIQ); some rows occur twice, some months have two prices."""
+        monthly = (
             self.read("lineitem")
             .groupBy(F.col("l_suppkey").alias("cnpj"), F.last_day(ship_date()).alias("DT_COMPTC"))
             .agg(F.round(F.sum("l_extendedprice"), 2).alias("VL_PATRIM_LIQ"))
         )
+        added = (
+            F.when(F.col("cnpj") % 7 == 0, F.array(F.lit(0.0), F.lit(0.0)))
+            .when(F.col("cnpj") % 11 == 0, F.array(F.lit(0.0), F.lit(1000.0)))
+            .otherwise(F.array(F.lit(0.0)))
+        )
+        return monthly.withColumn("_added", F.explode(added)).select(
+            "cnpj", "DT_COMPTC", F.round(F.col("VL_PATRIM_LIQ") + F.col("_added"), 2).alias("VL_PATRIM_LIQ")
+        )
 
     def _rating(self) -> Column:
         """Brands in order take the ratings in order; brands beyond them are unrated."""
@@ -151,6 +168,9 @@ class Tables:
             F.col("l_partkey") == F.col("p_partkey"),
         )
         rated = F.col("l_linenumber") == 5
+        # Some positions occur twice.
+        copies = F.when(F.col("l_orderkey") % 13 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        priced = priced.withColumn("_copy", F.explode(copies))
         return priced.select(
             fund_id.alias(fund_id_name),
             "l_linenumber",

@@ -494,13 +494,14 @@ def _(t):
 
 @query(
     "monthly_returns",
-    f"""SELECT n.cnpj, n.period, {r6('n.price', 2)} AS price, {r6('p.price', 2)} AS price_previous,
-        {r6('(n.price - p.price) / p.price')} AS monthly_return,
-        CAST(n.period_rank AS INTEGER) AS period_rank
-        FROM (SELECT *, row_number() OVER (PARTITION BY cnpj ORDER BY period DESC) AS period_rank
-              FROM monthly_prices) n
-        JOIN monthly_prices p ON p.cnpj = n.cnpj AND p.period =
-            CASE WHEN n.period % 100 = 1 THEN n.period - 89 ELSE n.period - 1 END""",
+    f"""SELECT cnpj, period, {r6('price', 2)} AS price, {r6('previous', 2)} AS price_previous,
+        {r6('(price - previous) / previous')} AS monthly_return,
+        CAST(period_rank AS INTEGER) AS period_rank
+        FROM (SELECT n.*, p.price AS previous, row_number() OVER (PARTITION BY n.cnpj
+                  ORDER BY n.period DESC, n.price, p.price NULLS FIRST) AS period_rank
+              FROM monthly_prices n LEFT JOIN monthly_prices p ON p.cnpj = n.cnpj AND p.period =
+                  CASE WHEN n.period % 100 = 1 THEN n.period - 89 ELSE n.period - 1 END)
+        WHERE previous IS NOT NULL""",
 )
 def _(t):
     return primary.monthly_returns(primary.monthly_nav(t.monthly_prices()))

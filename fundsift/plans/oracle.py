@@ -65,10 +65,15 @@ FROM (SELECT CAST(max(l_shipdate) AS DATE) AS max_ref_date,
 
 CTES["quotas"] = """
 SELECT l_suppkey AS cnpj, CAST(l_shipdate AS DATE) AS dt,
-       100 + l_extendedprice / 10000 AS quota, l_extendedprice AS nav,
+       CASE WHEN l_orderkey % 23 = 0 OR (l_suppkey % 9 = 4 AND l_orderkey % 40 <> 1) THEN NULL
+            WHEN l_orderkey % 29 = 0 THEN 0e0
+            WHEN l_orderkey % 31 = 0 THEN -l_extendedprice
+            ELSE 100 + l_extendedprice / 10000 END AS quota, l_extendedprice AS nav,
        CASE WHEN l_linestatus = 'F' THEN l_returnflag END AS subclass
 FROM lineitem"""
 
+CTES["usable"] = "SELECT * FROM quotas WHERE quota > 0"
+
 CTES["primary_class"] = """
 SELECT cnpj, subclass FROM quotas WHERE subclass IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY cnpj
@@ -80,9 +85,15 @@ CTES["unclassed"] = """
 SELECT * FROM quotas WHERE subclass IS NULL
 QUALIFY row_number() OVER (PARTITION BY cnpj, dt ORDER BY nav DESC NULLS FIRST, quota DESC) = 1"""
 
+CTES["usable_class"] = """
+SELECT cnpj, subclass FROM usable WHERE subclass IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY cnpj
+    ORDER BY dt DESC, nav DESC NULLS FIRST, quota DESC, subclass) = 1"""
+
 CTES["daily_nav"] = f"""
 SELECT cnpj, dt AS date, {yyyymm('dt')} AS period, quota AS quota_value
-FROM (SELECT * FROM classed UNION ALL SELECT * FROM unclassed)
+FROM (SELECT usable.* FROM usable JOIN usable_class USING (cnpj, subclass)
+      UNION ALL SELECT * FROM usable WHERE subclass IS NULL)
 QUALIFY row_number() OVER (PARTITION BY cnpj, dt
     ORDER BY subclass IS NOT NULL DESC, nav DESC, quota DESC) = 1"""
 
@@ -143,9 +154,10 @@ FROM (SELECT l_suppkey, last_day(l_shipdate) AS dt, round(sum(l_extendedprice),
       FROM lineitem GROUP BY ALL) JOIN suppliers ON l_suppkey = s_suppkey"""
 
 CTES["monthly_prices"] = f"""
-SELECT l_suppkey AS cnpj, {yyyymm('l_shipdate')} AS period,
-       round(sum(l_extendedprice), 2) AS price
-FROM lineitem GROUP BY ALL"""
+SELECT cnpj, period, round(price + added, 2) AS price
+FROM (SELECT l_suppkey AS cnpj, {yyyymm('l_shipdate')} AS period,
+             round(sum(l_extendedprice), 2) AS price FROM lineitem GROUP BY ALL)
+JOIN (VALUES (0e0), (1000e0)) v(added) ON added = 0 OR (cnpj % 11 = 0 AND cnpj % 7 <> 0)"""
 
 CTES["registry"] = """
 SELECT s_suppkey AS cnpj,
@@ -214,6 +226,7 @@ SELECT l_suppkey AS cnpj, 'blc_' || l_linenumber AS blc_type, {yyyymm('l_shipdat
        CASE WHEN l_linenumber = 5 THEN p_brand END AS agency,
        CASE WHEN l_linenumber = 5 THEN coalesce({_RATINGS}[{_BRAND_NO}], 'F') END AS rating
 FROM lineitem JOIN part ON l_partkey = p_partkey
+JOIN (VALUES (1), (2)) c(copy) ON copy = 1 OR l_orderkey % 13 = 0
 WHERE l_suppkey IN (SELECT cnpj FROM chosen)"""
 
 CTES["active"] = "SELECT positions.* FROM positions, ref WHERE period = latest_period"
