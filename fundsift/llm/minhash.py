@@ -1,13 +1,17 @@
 """Near-duplicate documents: universal-hash minima, banding, verified links, components.
 
 Documents with equal shingle sets are one node. Every node gets 128 minima, cut into 32
-bands. Nodes that share a band are compared in two steps. First with the band's hub, the
-member that shares its bands with most others: that joins a large group of copies with one
-comparison each. Only bands that still hold several components are then searched for
-links between these, in blocks of bounded size. In both steps the signatures decide which
-pairs to look at, and the full shingle sets which of them are links. The second step leaves
-out pairs that cannot be links: a pair has no more shingles in common than either node
-shares with any other at all, and that bound is exact.
+bands. Nodes that share a band are compared in three steps; in each, signatures decide which
+pairs to look at, and full shingle sets which of them are links.
+
+1. With the band's hub, the member that shares its bands with most others. That joins a
+   large group of copies with one comparison each. Nodes whose signatures are like those of
+   their hubs, linked or not, form clusters.
+2. Within a cluster that is not yet one component: all pairs between its components, in
+   blocks of bounded size that hold the sets; a pair meets once, whatever bands it shares,
+   and only links leave the task.
+3. Between clusters that meet in a band: blocks of signatures give candidates, which are then
+   verified like those of the first step.
 """
 
 from __future__ import annotations
@@ -35,8 +39,9 @@ PERCENT = 80
 #: Signatures that agree in fewer rows are not looked at: five standard deviations below 0.8.
 LEAST_AGREEMENT = 79
 
-#: Nodes of one block when a band is searched for further links.
+#: Nodes of one block when a group is searched for further links, and shingles it may hold.
 BLOCK = 64
+BLOCK_SIZE = 1 << 18
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = _RANDOM.integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -109,11 +114,15 @@ def _agreement(a: Column, b: Column) -> Column:
     return count(a, b)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links by their full sets."""
+def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) with like signatures."""
     for side in ("a", "b"):
         pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("signature").alias(f"s{side}")), side)
-    near = pairs.filter(_agreement(F.col("sa"), F.col("sb")) >= LEAST_AGREEMENT).select("a", "b")
+    return pairs.filter(_agreement(F.col("sa"), F.col("sb")) >= LEAST_AGREEMENT).select("a", "b")
+
+
+def _verified(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links by their full sets."""
     for side in ("a", "b"):
         near = near.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}")), side)
     common = F.size(F.array_intersect("sa", "sb"))
@@ -121,65 +130,107 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return counted.filter(100 * F.col("i") >= PERCENT * F.col("u")).select("a", "b")
 
 
-def _near_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of two blocks that lie in different components and have like signatures."""
-    for batch in batches:
-        for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
-            node, part, size, shared = (
-                [np.array([m[name] for m in side], np.int64) for side in (x, y)]
-                for name in ("node", "component", "size", "shared")
-            )
-            rows = [np.frombuffer(b"".join(m["signature"] for m in side), np.uint32).reshape(-1, HASHES) for side in (x, y)]
-            most = np.minimum(shared[0][:, None], shared[1][None, :])
-            sizes = size[0][:, None] + size[1][None, :]
-            wanted = ((100 + PERCENT) * most >= PERCENT * sizes) & (part[0][:, None] != part[1][None, :])
-            i, j = np.nonzero(wanted)
-            alike = np.concatenate(
-                [(rows[0][i[k : k + 4096]] == rows[1][j[k : k + 4096]]).sum(axis=1) for k in range(0, len(i), 4096)] or [i]
-            )
-            near = alike >= LEAST_AGREEMENT
-            a, b = node[0][i[near]], node[1][j[near]]
-            ends = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
-            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
-
-
-def _shared_sizes(sets: DataFrame) -> DataFrame:
-    """Per node the size of its set, and how many of its shingles another set has too."""
-    single = sets.select("node", F.explode("shingles").alias("shingle"))
-    common = single.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle")
-    common = stage(common, "common-shingles")
-    counted = single.join(common, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
-    sizes = sets.select("node", F.size("shingles").cast("long").alias("size"))
-    return sizes.join(counted, "node").filter(100 * F.col("shared") >= PERCENT * F.col("size"))
-
-
-def _across(crowded: DataFrame, nodes: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
-    """Candidate pairs between components that meet in a band."""
-    members = crowded.join(found, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component")
-    )
-    several = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    several = stage(several.filter("low < high").select("band"), "mixed-bands")
-    members = stage(members.join(several, "band"), "members")
-    sizes = stage(_shared_sizes(sets.join(members.select("node").distinct(), "node", "left_semi")), "sizes")
-    members = members.join(sizes.select("node"), "node", "left_semi")
-    parts = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k"))
-    mixed = parts.groupBy("band").agg(F.sum("k").alias("m"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    sized = stage(parts.join(mixed.select("band", "m"), "band"), "parts")
-    placed = members.join(sized, ["band", "component"]).select(
-        "band",
+def _block_pairs(members: DataFrame, payload: DataFrame) -> DataFrame:
+    """Pairs of blocks (x, y) of a group whose members may lie in different parts.
+
+    ``members`` has group, node, part and size (of what the payload holds for the node). A
+    part that fills a block has blocks of its own, and two blocks of one part never meet.
+    """
+    units = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_SIZE)
+    parts = members.groupBy("group", "part").agg(units.alias("k"))
+    mixed = parts.groupBy("group").agg(F.sum("k").alias("m"), F.count(F.lit(1)).alias("parts"))
+    mixed = mixed.filter("parts > 1").select("group", "m")
+    sized = stage(parts.join(mixed, "group"), "parts")
+    own = F.col("k") >= 1
+    placed = members.join(sized, ["group", "part"]).select(
+        "group",
         "node",
-        "component",
-        F.when(F.col("k") >= BLOCK, F.col("component")).otherwise(-1).alias("own"),
-        F.pmod(F.xxhash64("node"), F.ceil(F.when(F.col("k") >= BLOCK, F.col("k")).otherwise(F.col("m")) / BLOCK)).alias("cut"),
+        "part",
+        F.when(own, F.col("part")).otherwise(-1).alias("own"),
+        F.pmod(F.xxhash64("node"), F.ceil(F.when(own, F.col("k")).otherwise(F.col("m")))).alias("cut"),
     )
-    member = F.struct("node", "component", "size", "shared", "signature")
-    blocks = placed.join(sizes, "node").join(nodes.select("node", "signature"), "node").groupBy("band", "own", "cut")
-    blocks = blocks.agg(F.collect_list(member).alias("members"))
-    x, y = (blocks.select("band", *[F.col(c).alias(f"{s}{c}") for c in ("own", "cut")], F.col("members").alias(s)) for s in "xy")
+    blocks = placed.join(payload, "node").groupBy("group", "own", "cut")
+    blocks = blocks.agg(F.collect_list(F.struct("node", "part", *[c for c in payload.columns if c != "node"])).alias("block"))
+    x, y = (blocks.select("group", *[F.col(c).alias(f"{s}{c}") for c in ("own", "cut")], F.col("block").alias(s)) for s in "xy")
     order = "(xown < yown OR xown = yown AND xcut <= ycut) AND NOT (xown >= 0 AND xown = yown)"
-    pairs = x.join(y, "band").filter(order).select("x", "y")
-    return pairs.mapInArrow(_near_across, "a long, b long").distinct()
+    return x.join(y, "group").filter(order).select("x", "y")
+
+
+class _Block:
+    def __init__(self, members: pa.StructArray):
+        self.node, self.part = (members.field(c).to_numpy() for c in ("node", "part"))
+        self.signatures = np.frombuffer(b"".join(members.field("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
+
+    def candidates(self, other: _Block) -> tuple[np.ndarray, np.ndarray]:
+        """Members of both blocks in different parts with like signatures."""
+        i, j = np.nonzero(self.part[:, None] != other.part[None, :])
+        step = 4096
+        near = [
+            (self.signatures[i[k : k + step]] == other.signatures[j[k : k + step]]).sum(axis=1) >= LEAST_AGREEMENT
+            for k in range(0, len(i), step)
+        ]
+        keep = np.concatenate(near) if near else np.empty(0, bool)
+        return i[keep], j[keep]
+
+
+def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.StructArray, pa.StructArray]]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch["x"][k].values, batch["y"][k].values
+
+
+def _ends(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _candidates_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for x, y in _blocks_of(batches):
+        one, two = _Block(x), _Block(y)
+        i, j = one.candidates(two)
+        yield _ends(one.node[i], two.node[j])
+
+
+def _links_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between parts of two blocks, one for each two parts."""
+    for x, y in _blocks_of(batches):
+        one, two = _Block(x), _Block(y)
+        i, j = one.candidates(two)
+        left, right = ([s.values.to_numpy().view(np.uint64) for s in m.field("shingles")] for m in (x, y))
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        for k in np.unique(i):
+            others = [o for o in j[i == k] if (one.part[k], two.part[o]) not in found]
+            if not others:
+                continue
+            sizes = np.array([len(right[o]) for o in others])
+            every = np.concatenate([right[o] for o in others])
+            at = np.minimum(np.searchsorted(left[k], every), len(left[k]) - 1)
+            common = np.add.reduceat(left[k][at] == every, np.cumsum(sizes) - sizes, dtype=np.int64)
+            for o in np.flatnonzero(100 * common >= PERCENT * (len(left[k]) + sizes - common)):
+                found.setdefault((one.part[k], two.part[others[o]]), (one.node[k], two.node[others[o]]))
+        ends = np.array(list(found.values()), np.int64).reshape(-1, 2)
+        yield _ends(ends[:, 0], ends[:, 1])
+
+
+def _links_in_clusters(clusters: DataFrame, found: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Step 2: ``clusters`` and ``found`` have the cluster and the component of each node."""
+    members = clusters.select("node", F.col("component").alias("group")).join(found, "node", "left")
+    members = members.select("group", "node", F.coalesce("component", "node").alias("part"))
+    several = members.groupBy("group").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    several = stage(several.filter("low < high").select("group"), "clusters")
+    members = stage(members.join(several, "group").join(sets.select("node", F.size("shingles").alias("size")), "node"), "members")
+    wanted = members.select("node").distinct()
+    payload = nodes.select("node", "signature").join(wanted, "node", "left_semi").join(sets, "node")
+    return _block_pairs(members, payload).mapInArrow(_links_in_blocks, "a long, b long")
+
+
+def _candidates_across(crowded: DataFrame, clusters: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Step 3: like signatures in different clusters that meet in a band."""
+    members = crowded.select("node", F.col("band").alias("group")).join(clusters, "node", "left")
+    members = members.select("group", "node", F.coalesce("component", "node").alias("part"), F.lit(1).alias("size"))
+    several = members.groupBy("group").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    several = stage(several.filter("low < high").select("group"), "mixed-bands")
+    members = stage(members.join(several, "group"), "members")
+    return _block_pairs(members, nodes.select("node", "signature")).mapInArrow(_candidates_in_blocks, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -220,16 +271,21 @@ def near_duplicates(
 
     central = crowded.groupBy("node").agg(F.sum("members").alias("weight"))
     hubs = crowded.join(central, "node").groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub"))
+    hubs = stage(hubs, "hubs")
     stars = crowded.join(hubs.select("band", F.col("hub.node").alias("hub")), "band").filter("node != hub")
     pairs = stars.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    links = stage(_verified(pairs, nodes, sets), "links")
+    near = stage(_near(pairs, nodes), "near-pairs")
+    clusters = stage(components(near), "clusters")
+    links = stage(_verified(near, sets), "links")
     found = stage(components(links), "components")
-    further = stage(_verified(_across(crowded, nodes, sets, found), nodes, sets), "links")
-    found = stage(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(further)), "components")
+    inside = stage(_links_in_clusters(clusters, found, nodes, sets), "links")
+    across = stage(_candidates_across(crowded, clusters, nodes), "near-pairs")
+    joined = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = stage(components(joined.union(inside).union(_verified(across, sets))), "components")
 
     real = features.filter("digest IS NOT NULL").join(nodes.select("digest", "node"), "digest")
     real = real.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = real.groupBy("component").agg(F.min("key").alias("least"))
+    least = stage(real.groupBy("component").agg(F.min("key").alias("least")), "least")
     real = real.join(least, "component").select("key", "n_shingles", F.col("least").alias("component_id"))
     alone = features.filter("digest IS NULL").select("key", "n_shingles", F.col("key").alias("component_id"))
     return real.union(alone).select(
