@@ -8,13 +8,24 @@ is materialized at that size.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
+from functools import reduce
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundsift.config import RATING_ORDER, Settings
-from fundsift.operators import features, guardrails, normalize, primary, quality, scope, scoring
+from fundsift.operators import (
+    features,
+    guardrails,
+    holdings,
+    normalize,
+    primary,
+    quality,
+    scope,
+    scoring,
+)
 from fundsift.operators import registry as reg
 from fundsift.operators import repair
 from fundsift.session import materialize
@@ -106,6 +117,8 @@ class Primary:
     nav_per_period: DataFrame
     characteristics: DataFrame
     managers: DataFrame
+    instrument_prices: DataFrame
+    instrument_rating: DataFrame
 
 
 @dataclass(frozen=True)
@@ -180,8 +193,9 @@ def intermediate(raw: Raw, settings: Settings) -> Intermediate:
     )
 
 
-def primary_tables(inter: Intermediate, registry: DataFrame) -> Primary:
+def primary_tables(inter: Intermediate, registry: DataFrame, settings: Settings) -> Primary:
     daily = primary.daily_nav(inter.daily_quotas)
+    instruments = holdings.instrument_registry(inter.holdings)
     characteristics = materialize(
         reg.assert_unique(reg.fund_characteristics(registry, inter.scope))
     )
@@ -191,12 +205,14 @@ def primary_tables(inter: Intermediate, registry: DataFrame) -> Primary:
         nav_per_period=primary.monthly_nav(inter.monthly_pl),
         characteristics=characteristics,
         managers=reg.fund_managers(characteristics),
+        instrument_prices=holdings.instrument_prices(instruments, settings.max_period),
+        instrument_rating=holdings.instrument_rating(instruments),
     )
 
 
 def evidence_per_fund(
     returns: DataFrame,
-    holdings: DataFrame,
+    positions: DataFrame,
     characteristics: DataFrame,
     managers: DataFrame,
     settings: Settings,
@@ -212,7 +228,7 @@ def evidence_per_fund(
             returns, settings.max_period, settings.max_ref_date, settings
         ),
         features.liquidity(characteristics),
-        features.portfolio_features(holdings, settings.max_period, settings.credit_rating),
+        features.portfolio_features(positions, settings.max_period, settings.credit_rating),
         features.fund_age(characteristics, settings.fund_age_cap_years, settings.as_of),
         known,
     )
@@ -237,7 +253,7 @@ def run(raw: Raw, settings: Settings) -> Ranking:
     """From raw tables to rankings."""
     settings = with_reference_dates(raw, settings)
     inter = intermediate(raw, settings)
-    prim = primary_tables(inter, raw.registry)
+    prim = primary_tables(inter, raw.registry, settings)
     evidence = materialize(
         evidence_per_fund(
             prim.daily_returns, inter.holdings, prim.characteristics, prim.managers, settings
@@ -246,9 +262,7 @@ def run(raw: Raw, settings: Settings) -> Ranking:
     return rank_funds(evidence, prim.characteristics, settings)
 
 
-def check_tables(
-    raw: Raw, inter: Intermediate, prim: Primary, prices: DataFrame | None = None
-) -> list[quality.Validation]:
+def check_tables(raw: Raw, inter: Intermediate, prim: Primary) -> list[quality.Validation]:
     """The configured checks of input and output tables, input ones per file."""
     tables = {
         "funds_in_scope": inter.scope,
@@ -257,9 +271,8 @@ def check_tables(
         "daily_nav": prim.daily_nav,
         "daily_returns": prim.daily_returns,
         "nav_per_period": prim.nav_per_period,
+        "instrument_prices": prim.instrument_prices,
     }
-    if prices is not None:
-        tables["instrument_prices"] = prices
     incoming = {"monthly_nav": files.unify_names(raw.monthly_nav), "blc_5": raw.holdings["blc_5"]}
     results = []
     for name, table in incoming.items():
@@ -276,3 +289,53 @@ def write_results(ranking: Ranking, root: str) -> None:
     sinks.write_table(ranking.guardrail_mark, f"{root}/guardrail_mark")
     sinks.write_report(ranking.shortlist, f"{root}/shortlist")
     sinks.write_report(ranking.complete_ranking, f"{root}/complete_ranking")
+
+
+Stage = TypeVar("Stage", Intermediate, Primary)
+
+
+def store(stage: Stage, root: str) -> Stage:
+    """Write every table of a stage below ``root``; the same stage, read back from there."""
+    stored = {
+        f.name: sinks.write_table(getattr(stage, f.name), f"{root}/{f.name}") for f in fields(stage)
+    }
+    return type(stage)(**stored)
+
+
+def load(kind: type[Stage], spark: SparkSession, root: str) -> Stage:
+    """A stage as ``store`` has written it, to start the next one from."""
+    return kind(**{f.name: sinks.read_table(spark, f"{root}/{f.name}") for f in fields(kind)})
+
+
+def run_and_store(
+    raw: Raw, settings: Settings, root: str, lines: Mapping[str, DataFrame] | None = None
+) -> Ranking:
+    """A whole run that keeps the tables of each stage, the rankings and all reports.
+
+    Below ``root``: ``intermediate``, ``primary``, ``evidence``, ``ranking``, and in
+    ``reports`` the results of all configured checks (``quality``), everything at fault
+    (``quality_affected``) and, where text ``lines`` are given by dataset, what the quote
+    repair does to them (``repair``, ``repair_affected``). Each stage starts from the stored
+    tables of the one before.
+    """
+    settings = with_reference_dates(raw, settings)
+    inter = store(intermediate(raw, settings), f"{root}/intermediate")
+    prim = store(primary_tables(inter, raw.registry, settings), f"{root}/primary")
+    evidence = sinks.write_table(
+        evidence_per_fund(
+            prim.daily_returns, inter.holdings, prim.characteristics, prim.managers, settings
+        ),
+        f"{root}/evidence",
+    )
+    ranking = rank_funds(evidence, prim.characteristics, settings)
+    write_results(ranking, f"{root}/ranking")
+    results = check_tables(raw, inter, prim)
+    reports = f"{root}/reports"
+    sinks.write_table(quality.validation_report(results, include_passed=True), f"{reports}/quality")
+    sinks.write_table(quality.affected_report(results), f"{reports}/quality_affected")
+    if lines:
+        found = [repair.raw_validation(table, name, include_passed=True) for name, table in lines.items()]
+        for name in ("report", "affected"):
+            together = reduce(DataFrame.unionByName, [getattr(f, name) for f in found])
+            sinks.write_table(together, f"{reports}/repair" + "_affected" * (name == "affected"))
+    return ranking

@@ -1,13 +1,16 @@
 """The whole run over files on disk, and its independence from partitioning."""
 
 import datetime as dt
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 
 from fundsift.config import Profile, Settings
-from fundsift.operators import holdings, quality
+from fundsift.operators import quality
 from fundsift.plans import pipeline
 from fundsift.session import materialize
+from fundsift.sources import files
 
 from .conftest import rows
 from .test_files_repair import NEW, OLD, put
@@ -103,9 +106,8 @@ def test_run(result, tmp_path):
 def test_checks(tables):
     raw, settings = tables
     inter = pipeline.intermediate(raw, settings)
-    prim = pipeline.primary_tables(inter, raw.registry)
-    prices = holdings.instrument_prices(holdings.instrument_registry(inter.holdings), settings.max_period)
-    results = pipeline.check_tables(raw, inter, prim, prices)
+    prim = pipeline.primary_tables(inter, raw.registry, settings)
+    results = pipeline.check_tables(raw, inter, prim)
     failed = rows(quality.validation_report(results), "dataset_name", "validation_name", "error_count")
     assert failed == [
         ("monthly_nav/202401.csv", "validate_bounds", 1),
@@ -115,6 +117,24 @@ def test_checks(tables):
     ]
 
 
+def test_stored_run(spark, tables, result, raw_root, tmp_path):
+    raw, settings = tables
+    lines = files.raw_lines(spark, f"{raw_root}/monthly/pl")
+    together = reduce(DataFrame.unionByName, lines.values())
+    root = str(tmp_path / "run")
+    ranking = pipeline.run_and_store(raw, SETTINGS, root, {"pl": together})
+    assert rows(ranking.complete_ranking) == rows(result.complete_ranking)
+    report = spark.read.parquet(f"{root}/reports/quality")
+    failed = rows(report.filter("status = 'failed'"), "dataset_name", "validation_name", "error_count")
+    assert len(failed) == 4 and report.count() > 10
+    assert spark.read.parquet(f"{root}/reports/quality_affected").count() >= 4
+    assert spark.read.parquet(f"{root}/reports/repair").count() == 2 * together.select("file").distinct().count()
+    assert spark.read.parquet(f"{root}/reports/repair_affected").columns == ["file", "validation_name", "line_no"]
+    inter = pipeline.load(pipeline.Intermediate, spark, f"{root}/intermediate")
+    again = pipeline.primary_tables(inter, raw.registry, settings)
+    assert rows(again.daily_nav) == rows(pipeline.load(pipeline.Primary, spark, f"{root}/primary").daily_nav)
+
+
 @pytest.mark.parametrize("partitions", ["1", "7"])
 def test_any_number_of_partitions_gives_the_same(spark, tables, result, partitions):
     raw, _ = tables
