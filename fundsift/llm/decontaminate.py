@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundsift.llm.common import stage
-from fundsift.llm.words import WordIds, shingles
+from fundsift.llm.words import PLAIN, WordIds, shingles, words
 
 #: Words of a seed; an item with fewer words is one seed as a whole.
 WIDTH = 3
@@ -33,32 +32,9 @@ THRESHOLD = 0.6
 #: benchmark fills it more, which lets more n-grams through to the exact join.
 MAX_SLOTS = 1 << 26
 
-#: Characters split into words at a time.
-CHUNK = 1 << 20
-
-_WORD = re.compile(r"\w+")
-_OTHER = re.compile(r"\W")
-
-
-def words(text: str | None) -> Iterator[list[str]]:
-    """Lower-cased words (letters, digits, underscores) of a whole text, some at a time."""
-    text = (text or "").lower()
-    start = 0
-    while start < len(text):
-        gap = _OTHER.search(text, start + CHUNK)
-        stop = gap.start() if gap else len(text)
-        if found := _WORD.findall(text, start, stop):
-            yield found
-        start = stop
-
-
-class _Ids(WordIds):
-    def __missing__(self, word: str) -> int:
-        return super().__missing__(word.encode("utf-8", "surrogatepass"))
-
-
 def numbers(text: str | None, ids: WordIds) -> np.ndarray:
-    parts = [ids.of(chunk) for chunk in words(text)]
+    """Numbers of the words of a whole text, in order."""
+    parts = [ids.of(chunk) for chunk in words(text, PLAIN)]
     return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
 
@@ -67,7 +43,7 @@ def _hashes(n: np.ndarray, width: int) -> np.ndarray:
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    ids = _Ids()
+    ids = WordIds()
     for batch in batches:
         for item, text in zip(batch["item"], batch["text"].to_pylist(), strict=True):
             n = numbers(text, ids)
@@ -105,7 +81,7 @@ class Slots:
 
 def _document_counts(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _Ids()
+        ids = WordIds()
         for batch in batches:
             parts = [np.unique(shared.value.hits(numbers(t.as_py(), ids))[1]) for t in batch["text"]]
             hashes, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.uint64),) * 2
@@ -118,7 +94,7 @@ def _passages(shared, reach: int):
     """Runs of hits, widened by ``reach`` words to both sides."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _Ids()
+        ids = WordIds()
         for batch in batches:
             for key, text in zip(batch["key"], batch["text"], strict=True):
                 n = numbers(text.as_py(), ids)
@@ -170,7 +146,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
 def _aligned(text: Column, passage: Column) -> Column:
     @F.arrow_udf("struct<score: double, start: long, stop: long>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        ids = _Ids()
+        ids = WordIds()
         for texts, passages in batches:
             found = [align(numbers(t.as_py(), ids), p.values.to_numpy().view(np.uint64)) for t, p in zip(texts, passages, strict=True)]
             columns = list(zip(*found, strict=True)) or [(), (), ()]
@@ -185,7 +161,8 @@ def contaminated(
 ) -> DataFrame:
     """One row per document and item it contains: ``key``, ``item``, score, start_word, end_word.
 
-    Words are runs of letters, digits and underscores, compared in lower case. A document
+    Words are runs of ASCII letters, digits and underscores and of all other characters beyond
+    ASCII, with A-Z in lower case. A document
     contains an item when a local alignment of some passage reaches ``THRESHOLD`` of the
     score of a full copy; the best passage counts. Null and empty texts and items without
     words match nothing, repeated rows and equal items are one, null keys are a key like

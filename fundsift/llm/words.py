@@ -14,10 +14,14 @@ REMEMBERED = 300_000
 
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
+#: Bytes of words: A-Z in lower case, all else as it is, or ASCII punctuation and controls as spaces.
+LOWER = bytes(range(256)).lower()
+PLAIN = bytes(b if b >= 128 or chr(b).isalnum() or b == ord("_") else ord(" ") for b in LOWER)
 
-def words(text: str | None) -> Iterator[list[bytes]]:
-    """Lower-cased (A-Z) words of a whole text in UTF-8, some at a time; no chunk is empty."""
-    raw = (text or "").encode("utf-8", "surrogatepass").lower()
+
+def words(text: str | None, letters: bytes = LOWER) -> Iterator[list[bytes]]:
+    """Words of a whole text in UTF-8, translated by ``letters``, some at a time; no chunk is empty."""
+    raw = (text or "").encode("utf-8", "surrogatepass").translate(letters)
     start = 0
     while start < len(raw):
         gap = _SPACE.search(raw, start + CHUNK)
