@@ -17,9 +17,9 @@ from fundsift.llm.words import PLAIN, WordIds, shingles, words
 #: Words of a seed; an item with fewer words is one seed as a whole.
 WIDTH = 3
 
-#: A seed of an item occurs in at most TIMES as many documents as the item's rarest n-gram,
-#: plus SHARE of all documents. An item therefore never loses its rarest n-grams, however
-#: often it has been copied.
+#: A seed of an item occurs in at most TIMES as many documents as the median of the item's
+#: n-grams that occur at all, plus SHARE of all documents. So only the common ones among an
+#: item's n-grams are left out, and most stay seeds however often the item has been copied.
 TIMES = 10
 SHARE = 0.001
 
@@ -176,10 +176,10 @@ def contaminated(
     everything = spark.sparkContext.broadcast(Slots(grams))
     counts = rows.select("text").mapInArrow(_document_counts(everything), "hash long, n long")
     counts = counts.groupBy("hash").agg(F.sum("n").alias("n"))
-    counted = grams.join(counts, "hash", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    rarest = counted.groupBy(F.col("item").alias("_item")).agg(F.min("n").alias("least"))
-    known = counted.join(rarest, F.col("item").eqNullSafe(F.col("_item")))
-    rare = known.filter(F.col("n") <= TIMES * F.col("least") + SHARE * rows.count())
+    counted = stage(grams.join(counts, "hash"), "counted-grams")
+    usual = counted.groupBy(F.col("item").alias("_item")).agg(F.median("n").alias("usual"))
+    known = counted.join(usual, F.col("item").eqNullSafe(F.col("_item")))
+    rare = known.filter(F.col("n") <= TIMES * F.col("usual") + SHARE * rows.count())
     seeds = stage(rare.select("item", "hash", "width", "n_words").distinct(), "seeds")
 
     longest = seeds.agg(F.max("n_words")).first()[0] or 0
