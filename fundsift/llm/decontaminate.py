@@ -18,10 +18,9 @@ from fundsift.llm.words import PLAIN, WordIds, shingles, words
 WIDTH = 3
 
 #: A seed of an item occurs in at most TIMES as many documents as the median of the item's
-#: n-grams that occur at all, plus SHARE of all documents. So only the common ones among an
-#: item's n-grams are left out, and most stay seeds however often the item has been copied.
+#: n-grams that occur at all. So only the common ones among an item's n-grams are left out,
+#: and at least half stay seeds however often the item has been copied.
 TIMES = 10
-SHARE = 0.001
 
 #: Alignment: a match, a mismatch or a gap of one word, and the share of a perfect
 #: alignment's score from which a document counts as contaminated.
@@ -96,30 +95,33 @@ def _passages(shared, reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds()
         for batch in batches:
-            for key, text in zip(batch["key"], batch["text"], strict=True):
+            rows, starts, inside, found = [], [], [], []
+            for row, text in enumerate(batch["text"]):
                 n = numbers(text.as_py(), ids)
                 at, hashes = shared.value.hits(n)
                 if not len(at):
                     continue
                 order = np.argsort(at, kind="stable")
                 at, hashes = at[order], hashes[order]
-                cuts = np.flatnonzero(np.diff(at) > reach) + 1
-                for a, h in zip(np.split(at, cuts), np.split(hashes, cuts), strict=True):
-                    start = max(0, int(a[0]) - reach)
-                    inside = n[start : int(a[-1]) + WIDTH + reach].view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([key.as_py()], key.type),
-                            pa.array([start], pa.int64()),
-                            pa.array([inside], pa.list_(pa.int64())),
-                            pa.array([np.unique(h).view(np.int64)], pa.list_(pa.int64())),
-                        ],
-                        ["key", "start", "words", "hashes"],
-                    )
+                cuts = [0, *(np.flatnonzero(np.diff(at) > reach) + 1).tolist(), len(at)]
+                for first, stop in zip(cuts, cuts[1:], strict=False):
+                    start = max(0, int(at[first]) - reach)
+                    rows.append(row)
+                    starts.append(start)
+                    inside.append(n[start : int(at[stop - 1]) + WIDTH + reach])
+                    found.append(np.unique(hashes[first:stop]))
+            arrays = [batch["key"].take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), _lists(inside), _lists(found)]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "start", "words", "hashes"])
 
     return run
 
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, parts)])
+    values = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))
+
+
 def _best(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     """Best local alignment score, and the passage word after its end."""
     steps = np.arange(len(passage) + 1) * GAP
@@ -179,7 +181,7 @@ def contaminated(
     counted = stage(grams.join(counts, "hash"), "counted-grams")
     usual = counted.groupBy(F.col("item").alias("_item")).agg(F.median("n").alias("usual"))
     known = counted.join(usual, F.col("item").eqNullSafe(F.col("_item")))
-    rare = known.filter(F.col("n") <= TIMES * F.col("usual") + SHARE * rows.count())
+    rare = known.filter(F.col("n") <= TIMES * F.col("usual"))
     seeds = stage(rare.select("item", "hash", "width", "n_words").distinct(), "seeds")
 
     longest = seeds.agg(F.max("n_words")).first()[0] or 0
