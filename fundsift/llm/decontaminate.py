@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words."""
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words."""
 
 from __future__ import annotations
 
@@ -17,19 +17,21 @@ from fundsift.llm.words import PLAIN, WordIds, shingles, words
 #: Words of a seed; an item with fewer words is one seed as a whole.
 WIDTH = 3
 
-#: A seed of an item occurs in at most TIMES as many documents as the median of the item's
-#: n-grams that occur at all. So only the common ones among an item's n-grams are left out,
-#: and at least half stay seeds however often the item has been copied.
-TIMES = 10
-
 #: Alignment: a match, a mismatch or a gap of one word, and the share of a perfect
 #: alignment's score from which a document counts as contaminated.
 MATCH, MISMATCH, GAP = 2, -1, 1
 THRESHOLD = 0.6
 
-#: Largest map of seed slots, in bytes: the proven bound of what is broadcast. A larger
-#: benchmark fills it more, which lets more n-grams through to the exact join.
+#: Words of a passage that an alignment from ``THRESHOLD`` on has at most, as a share of the
+#: item's length: a full copy and as many edits as its score can pay for.
+MOST_WORDS = 1 + MATCH * (1 - THRESHOLD) / min(-MISMATCH, GAP)
+
+#: Largest map of seed slots, in bytes, and most seeds that are broadcast themselves: the
+#: proven bound of what is broadcast. A larger benchmark fills the map more, which lets more
+#: n-grams through to the exact join.
 MAX_SLOTS = 1 << 26
+MAX_EXACT = 1 << 20
+
 
 def numbers(text: str | None, ids: WordIds) -> np.ndarray:
     """Numbers of the words of a whole text, in order."""
@@ -55,15 +57,20 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Slots:
-    """Which hashes may be seeds: a map of fixed size, and the widths that occur."""
+    """Which hashes may be seeds: a map of fixed size, few seeds themselves, and the widths that occur."""
 
     def __init__(self, grams: DataFrame):
         count, widths = grams.agg(F.count_distinct("hash"), F.collect_set("width")).first()
         self.widths = sorted(widths)
         self.bits = min(int(math.log2(MAX_SLOTS)), max(16, math.ceil(math.log2(64 * max(count, 1)))))
-        slot = F.shiftrightunsigned("hash", 64 - self.bits).alias("slot")
         self.map = np.zeros(1 << self.bits, bool)
-        self.map[grams.select(slot).distinct().toPandas()["slot"].to_numpy(np.int64)] = True
+        self.exact = None
+        if count <= MAX_EXACT:
+            self.exact = np.sort(grams.select("hash").distinct().toPandas()["hash"].to_numpy(np.int64).view(np.uint64))
+            self.map[self.exact >> np.uint64(64 - self.bits)] = True
+        else:
+            slot = F.shiftrightunsigned("hash", 64 - self.bits).alias("slot")
+            self.map[grams.select(slot).distinct().toPandas()["slot"].to_numpy(np.int64)] = True
 
     def hits(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions and hashes of n-grams that may be seeds."""
@@ -71,6 +78,9 @@ class Slots:
         for width in self.widths:
             hashes = _hashes(n, width)
             here = np.flatnonzero(self.map[hashes >> np.uint64(64 - self.bits)])
+            if self.exact is not None and len(here):
+                place = np.minimum(np.searchsorted(self.exact, hashes[here]), len(self.exact) - 1)
+                here = here[self.exact[place] == hashes[here]]
             at.append(here)
             found.append(hashes[here])
         if not at:
@@ -78,17 +88,6 @@ class Slots:
         return np.concatenate(at), np.concatenate(found)
 
 
-def _document_counts(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds()
-        for batch in batches:
-            parts = [np.unique(shared.value.hits(numbers(t.as_py(), ids))[1]) for t in batch["text"]]
-            hashes, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.uint64),) * 2
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], ["hash", "n"])
-
-    return run
-
-
 def _passages(shared, reach: int):
     """Runs of hits, widened by ``reach`` words to both sides."""
 
@@ -145,12 +144,23 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best / (MATCH * len(item)), end - back, end
 
 
+def _may_align(item: np.ndarray, passage: np.ndarray) -> bool:
+    """Whether some part of the passage has enough words of the item to reach ``THRESHOLD``."""
+    inside = np.cumsum(np.concatenate([[0], np.isin(passage, item)]))
+    width = min(len(passage), math.ceil(MOST_WORDS * len(item)))
+    return int((inside[width:] - inside[: len(inside) - width]).max()) / len(item) >= THRESHOLD
+
+
+def _found(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
+    return align(item, passage) if _may_align(item, passage) else (0.0, 0, 0)
+
+
 def _aligned(text: Column, passage: Column) -> Column:
     @F.arrow_udf("struct<score: double, start: long, stop: long>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         ids = WordIds()
         for texts, passages in batches:
-            found = [align(numbers(t.as_py(), ids), p.values.to_numpy().view(np.uint64)) for t, p in zip(texts, passages, strict=True)]
+            found = [_found(numbers(t.as_py(), ids), p.values.to_numpy().view(np.uint64)) for t, p in zip(texts, passages, strict=True)]
             columns = list(zip(*found, strict=True)) or [(), (), ()]
             arrays = [pa.array(c, k) for c, k in zip(columns, (pa.float64(), pa.int64(), pa.int64()), strict=True)]
             yield pa.StructArray.from_arrays(arrays, ["score", "start", "stop"])
@@ -166,28 +176,21 @@ def contaminated(
     Words are runs of ASCII letters, digits and underscores and of all other characters beyond
     ASCII, with A-Z in lower case. A document
     contains an item when a local alignment of some passage reaches ``THRESHOLD`` of the
-    score of a full copy; the best passage counts. Null and empty texts and items without
-    words match nothing, repeated rows and equal items are one, null keys are a key like
-    others. Empty tables give no rows; other columns are ignored.
+    score of a full copy; the best passage counts. Every n-gram of an item is a seed, however
+    many documents have it: an alignment is found if it has one of them. Null and empty texts
+    and items without words match nothing, repeated rows and equal items are one, null keys
+    are a key like others. Empty tables give no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text")).distinct()
     schema = items.select("item").schema.add("width", "integer").add("n_words", "long").add("hash", "long")
-    grams = stage(items.mapInArrow(_grams, schema), "grams")
-    everything = spark.sparkContext.broadcast(Slots(grams))
-    counts = rows.select("text").mapInArrow(_document_counts(everything), "hash long, n long")
-    counts = counts.groupBy("hash").agg(F.sum("n").alias("n"))
-    counted = stage(grams.join(counts, "hash"), "counted-grams")
-    usual = counted.groupBy(F.col("item").alias("_item")).agg(F.median("n").alias("usual"))
-    known = counted.join(usual, F.col("item").eqNullSafe(F.col("_item")))
-    rare = known.filter(F.col("n") <= TIMES * F.col("usual"))
-    seeds = stage(rare.select("item", "hash", "width", "n_words").distinct(), "seeds")
+    seeds = stage(items.mapInArrow(_grams, schema).distinct(), "seeds")
 
     longest = seeds.agg(F.max("n_words")).first()[0] or 0
     seeded = spark.sparkContext.broadcast(Slots(seeds))
     schema = rows.select("key").schema.add("start", "long").add("words", T.ArrayType(T.LongType())).add("hashes", T.ArrayType(T.LongType()))
-    made = rows.mapInArrow(_passages(seeded, longest + longest // 4 + 1), schema)
+    made = rows.mapInArrow(_passages(seeded, math.ceil(MOST_WORDS * longest)), schema)
     passages = stage(made.withColumn("passage", F.monotonically_increasing_id()), "passages")
 
     hits = passages.select("passage", F.explode("hashes").alias("hash"))

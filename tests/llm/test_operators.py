@@ -436,6 +436,29 @@ def test_decontamination(spark, no_docs):
     assert decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [11, 300])
+def test_edited_copies_are_found_however_many_there_are(spark, copies, monkeypatch):
+    """One exact copy, and edited copies that all keep the same few n-grams."""
+    item = [f"w{k}" for k in range(20)]
+    docs = [(0, " ".join(item))]
+    docs += [(1 + c, " ".join(["before"] * 9 + [f"c{c}x{k}" if k % 4 == 3 else w for k, w in enumerate(item)] + ["after"] * 9)) for c in range(copies)]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    for most in (decontaminate.MAX_EXACT, 0):
+        monkeypatch.setattr(decontaminate, "MAX_EXACT", most)
+        found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+        assert {(r.doc_id, r.item_id) for r in found} == {(k, 7) for k in range(copies + 1)}
+
+
+def test_skipped_alignments_are_below_the_threshold():
+    dice = np.random.default_rng(2)
+    for _ in range(400):
+        a = dice.integers(0, 30, dice.integers(1, 20)).astype(np.uint64)
+        b = np.concatenate([dice.integers(0, 60, dice.integers(1, 30)).astype(np.uint64), np.repeat(a, dice.integers(1, 3))])
+        b = b[dice.random(len(b)) < dice.choice([0.6, 0.9])]
+        if len(b) and not decontaminate._may_align(a, b):
+            assert decontaminate.align(a, b)[0] < decontaminate.THRESHOLD
+
+
 def test_alignment_equals_brute_force():
     dice = np.random.default_rng(1)
     for _ in range(60):
