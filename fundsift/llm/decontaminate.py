@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundsift.llm.common import stage
-from fundsift.llm.words import PLAIN, WordIds, shingles, words
+from fundsift.llm.words import WordIds, plain_words, shingles
 
 #: Words of a seed; an item with fewer words is one seed as a whole.
 WIDTH = 3
@@ -35,7 +35,7 @@ MAX_EXACT = 1 << 20
 
 def numbers(text: str | None, ids: WordIds) -> np.ndarray:
     """Numbers of the words of a whole text, in order."""
-    parts = [ids.of(chunk) for chunk in words(text, PLAIN)]
+    parts = [ids.of(chunk) for chunk in plain_words(text)]
     return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
 
@@ -173,8 +173,8 @@ def contaminated(
 ) -> DataFrame:
     """One row per document and item it contains: ``key``, ``item``, score, start_word, end_word.
 
-    Words are runs of ASCII letters, digits and underscores and of all other characters beyond
-    ASCII, with A-Z in lower case. A document
+    Words are runs of letters, digits and underscores of any script, compared without regard to
+    case; of scripts without spaces each character is a word. A document
     contains an item when a local alignment of some passage reaches ``THRESHOLD`` of the
     score of a full copy; the best passage counts. Every n-gram of an item is a seed, however
     many documents have it: an alignment is found if it has one of them. Null and empty texts

@@ -4,24 +4,54 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import xxhash
 
-#: Bytes split into words at a time, and words remembered per Python worker.
+#: Bytes or characters split into words at a time, and words remembered per Python worker.
 CHUNK = 1 << 20
 REMEMBERED = 300_000
 
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
+_OTHER = re.compile(r"\W")
 
-#: Bytes of words: A-Z in lower case, all else as it is, or ASCII punctuation and controls as spaces.
+#: Bytes in lower case: A-Z only.
 LOWER = bytes(range(256)).lower()
-PLAIN = bytes(b if b >= 128 or chr(b).isalnum() or b == ord("_") else ord(" ") for b in LOWER)
 
+#: The same for texts that are ASCII only, with all but letters, digits and underscores as spaces.
+_PLAIN = bytes(b if chr(b).isalnum() or b == ord("_") else ord(" ") for b in LOWER[:128]) + b" " * 128
 
-def words(text: str | None, letters: bytes = LOWER) -> Iterator[list[bytes]]:
-    """Words of a whole text in UTF-8, translated by ``letters``, some at a time; no chunk is empty."""
-    raw = (text or "").encode("utf-8", "surrogatepass").translate(letters)
+#: Code points of scripts written without spaces, where each character is a word: Thai to
+#: Lao, Myanmar, Khmer, kana, and Han with its extensions.
+_ALONE = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+          (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D), (0x1B000, 0x1B16F), (0x20000, 0x323AF)]
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """By code point: 0 between words, 1 in a word, 2 a word of its own."""
+    kinds = np.fromiter((chr(c).isalnum() or c == ord("_") for c in range(0x110000)), np.uint8, 0x110000)
+    for first, last in _ALONE:
+        kinds[first : last + 1] *= 2
+    return kinds
+
+
+def _spaced(text: str) -> bytes:
+    """Words of any script in lower case, with spaces between them."""
+    if text.isascii():
+        return text.encode().translate(_PLAIN)
+    points = np.frombuffer(text.casefold().encode("utf-32-le", "surrogatepass"), "<u4")
+    kinds = _kinds()[points]
+    points = np.where(kinds > 0, points, np.uint32(ord(" ")))
+    alone = kinds == 2
+    if alone.any():
+        at = np.flatnonzero(alone)
+        points = np.insert(points, np.concatenate([at, at + 1]), ord(" "))
+    return points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+
+
+def _split(raw: bytes) -> Iterator[list[bytes]]:
     start = 0
     while start < len(raw):
         gap = _SPACE.search(raw, start + CHUNK)
@@ -31,6 +61,25 @@ def words(text: str | None, letters: bytes = LOWER) -> Iterator[list[bytes]]:
         start = stop
 
 
+def words(text: str | None) -> Iterator[list[bytes]]:
+    """Lower-cased (A-Z) words of a whole text in UTF-8, some at a time; no chunk is empty."""
+    return _split((text or "").encode("utf-8", "surrogatepass").translate(LOWER))
+
+
+def plain_words(text: str | None) -> Iterator[list[bytes]]:
+    r"""Words (``\w+``) of a whole text without regard to case, some at a time; no chunk is empty.
+
+    Of scripts without spaces each character is a word.
+    """
+    text = text or ""
+    start = 0
+    while start < len(text):
+        gap = _OTHER.search(text, start + CHUNK)
+        stop = gap.start() if gap else len(text)
+        yield from _split(_spaced(text[start:stop]))
+        start = stop
+
+
 class WordIds(dict):
     """64-bit numbers of words, remembered up to a bound."""
 

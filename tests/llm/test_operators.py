@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -25,6 +26,7 @@ from fundsift.llm import (
     substrings,
     token_counts,
 )
+from fundsift.llm import words as word_splitter
 from fundsift.llm.components import components
 from fundsift.llm.html_blocks import Page
 
@@ -449,6 +451,32 @@ def test_edited_copies_are_found_however_many_there_are(spark, copies, monkeypat
         assert {(r.doc_id, r.item_id) for r in found} == {(k, 7) for k in range(copies + 1)}
 
 
+def test_decontamination_of_any_script(spark):
+    latin = "Según él, la canción ñandú está aquí: über große Straßen fährt Ödön, où l’été naît; ΟΔΟΣ ΣΟΦΙΑΣ и Жёлтый дом"
+    chinese = "数据工程师需要在训练语言模型之前清除基准测试的内容否则结果不可信"
+    spaced = "one two three four five six seven eight nine ten"
+    items = [(1, latin), (2, chinese), (3, spaced)]
+    docs = [
+        (1, f"avant {latin.upper()} après"),
+        (2, f"我们今天读到{chinese}这一段文字"),
+        (3, "say “one two—three\u00a0four\u3000five… six» seven–eight‘nine’\u2003ten”"),
+        (4, f"before {latin.lower()}"),
+        (5, "否则我们今天不需要读文字"),
+    ]
+    schema = "{} long, text string"
+    found = decontaminate.contaminated(spark.createDataFrame(docs, schema.format("doc_id")), spark.createDataFrame(items, schema.format("item_id")))
+    assert {(r.doc_id, r.item_id, r.score) for r in found.collect()} == {(1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0), (4, 1, 1.0)}
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 20])
+def test_plain_words_equal_the_pattern(odd_rows, chunk, monkeypatch):
+    monkeypatch.setattr(word_splitter, "CHUNK", chunk)
+    for text in [*(r[1] for r in odd_rows if len(r[1] or "") < 5000), "a\u00a0Ça_1—ǅ x\x1fy ñ\ud800", "日本語のテキスト and ไทย1"]:
+        expected = re.findall("[\u0e00-\u0eff\u3040-\u30ff\u4e00-\u9fff]|[^\\W\u0e00-\u0eff\u3040-\u30ff\u4e00-\u9fff]+", (text or "").casefold())
+        expected = [w for w in expected if w.isalnum() or "_" in w]
+        assert [w.decode() for c in word_splitter.plain_words(text) for w in c] == expected
+
+
 def test_skipped_alignments_are_below_the_threshold():
     dice = np.random.default_rng(2)
     for _ in range(400):
