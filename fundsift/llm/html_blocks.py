@@ -10,13 +10,16 @@ import numpy as np
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)
-      |<(?P<raw>script|style|noscript|template|svg|iframe|object|textarea|select|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
+      |<svg(?=[\s/>])(?:[^>"']++|"[^"]*"|'[^']*')*+(?<=/)>
+      |<(?P<raw>script|style|noscript|template|svg|iframe|object|textarea|select|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
       |<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)>
       |<[!?/][^>]*>""",
     re.DOTALL | re.IGNORECASE | re.VERBOSE,
 )
 _MARK = re.compile(r"""(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""\shidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_MAY_HIDE = re.compile("hidden|display", re.IGNORECASE)
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -59,6 +62,18 @@ class Element(NamedTuple):
     hidden: bool
 
 
+def _hides(attrs: str) -> bool:
+    """Whether an element's attributes, not words in their values, hide it."""
+    if not _MAY_HIDE.search(attrs):
+        return False
+    for name, *values in _ATTRIBUTE.findall(attrs):
+        name, value = name.lower(), "".join(values)
+        shown = _DISPLAY.findall(value) if name == "style" else []
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (shown and shown[-1].lower() == "none"):
+            return True
+    return False
+
+
 class Page:
     """Blocks in page order; ``elements`` by number."""
 
@@ -117,7 +132,7 @@ class Page:
             if name not in VOID and not m["attrs"].endswith("/"):
                 attrs = m["attrs"]
                 marks = frozenset(w for v in _MARK.findall(attrs) for w in _WORDS.findall("".join(v).lower())) if attrs else frozenset()
-                element = Element(len(self.elements), name, marks, bool(attrs and _HIDDEN.search(attrs)))
+                element = Element(len(self.elements), name, marks, _hides(attrs))
                 self.elements.append(element)
                 stack.append(element)
         if at < len(source):

@@ -305,6 +305,22 @@ def test_extract(spark):
     assert html_extract.train(pages.limit(0)).shape == weights.shape
 
 
+@pytest.mark.parametrize("before", [
+    '<nav><svg class="i"/></nav>', "<svg/>", '<nav><svg data-x="a>b" /><svg><path d="M0"/></svg></nav>', '<svg><use href="#a"/></svg>', "<svg-icon></svg-icon><title-bar></title-bar>",
+])
+def test_self_closing_images_take_no_text_along(before):
+    assert [b.text for b in Page(f"{before}<article><p>Main text.</article><footer><svg><title>no</title></svg></footer>").blocks] == ["Main text."]
+
+
+@pytest.mark.parametrize(("attrs", "hidden"), [
+    ('data-title="The hidden truth"', False), ('class="flex hidden md:block"', False), ("title='aria-hidden=true display:none'", False), ('aria-hidden="false"', False),
+    ('data-style="display:none"', False), ('style="display:none;display:block"', False), ('style="--display:none"', False), ("hidden", True), ('class="a" HIDDEN=""', True), ("aria-hidden=true", True),
+    ("aria-hidden='true' data-x='1'", True), ('style="color:red; Display : none !important"', True), ("style=display:none", True),
+])
+def test_only_attributes_hide(attrs, hidden):
+    assert [b.text for b in Page(f"<body><article {attrs}><p>Main text.</article>").blocks] == ([] if hidden else ["Main text."])
+
+
 def test_blocks_of_articles():
     source = "<body><nav>Menu</nav><article><header><h2>Name</h2></header><p>One.<p>Two.<aside>Aside</aside></article></body>"
     weights = np.array([html_extract.PRIOR[f] for f in html_extract.FEATURES])
