@@ -519,6 +519,15 @@ def test_alignment_equals_brute_force():
 # -- pipeline
 
 
+def test_texts_without_letters_go_with_or_without_labels(spark):
+    texts = [None, "", " \t\n", "12 ²!", "_", "\u0301", "\U0001f600", "a", "1 é", "東", "\U00020000", "ʰ", "ǅ", "½ ª", "7\nж"]
+    for lang in (None, "en"):
+        docs = spark.createDataFrame([(k, t, lang) for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+        kept = corpus_pipeline.keep_known_languages(spark, docs, "")
+        assert kept.columns == docs.columns
+        assert sorted(ids(kept.collect())) == [k for k, t in enumerate(texts) if any(map(str.isalpha, t or ""))]
+
+
 def test_pipeline(spark, odd_docs, odd_rows, no_docs, tmp_path):
     bench = str(tmp_path / "benchmark.parquet")
     spark.createDataFrame([(1, " ".join((odd_rows[60][1] or "").split()[:40]))], "item_id long, text string").write.parquet(bench)
