@@ -16,6 +16,7 @@ from fundsift.llm import (
     maxent,
     minhash,
     sharding,
+    simhash,
     substrings,
     token_counts,
 )
@@ -158,3 +159,8 @@ def op8_maxent(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("held_out", held_out).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))

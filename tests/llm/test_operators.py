@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -23,6 +24,7 @@ from fundsift.llm import (
     merge_sort,
     minhash,
     sharding,
+    simhash,
     substrings,
     token_counts,
 )
@@ -551,3 +553,65 @@ def test_pipeline(spark, odd_docs, odd_rows, no_docs, tmp_path):
     for _, step in corpus_pipeline.STAGES:
         empty = step(spark, empty, str(tmp_path))
     assert empty.count() == 0
+
+
+# -- SimHash
+
+
+def plain_fingerprint(text, width=4):
+    w = words(text)
+    runs = [b" ".join(w[k : k + width]) for k in range(len(w) - width + 1)] or ([b" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(r, 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def least_reachable(keys, values, radius):
+    parent = list(range(len(keys)))
+
+    def root(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a, b in itertools.combinations(range(len(keys)), 2):
+        if (values[a] ^ values[b]).bit_count() <= radius:
+            parent[root(a)] = root(b)
+    roots = [root(a) for a in range(len(keys))]
+    return [min((k for k, r in zip(keys, roots, strict=True) if r == own and k is not None), default=None) for own in roots]
+
+
+def test_simhash_equals_brute_force(odd_docs, odd_rows, no_docs):
+    prints = [plain_fingerprint(r[1]) for r in odd_rows]
+    least = least_reachable([r[0] for r in odd_rows], prints, 4)
+    expected = Counter((r[0], f"{p:016x}", c) for r, p, c in zip(odd_rows, prints, least, strict=True))
+    assert Counter(tuple(r) for r in simhash.near_duplicates(odd_docs).collect()) == expected
+    assert simhash.near_duplicates(no_docs).count() == 0
+
+
+def test_tiles_find_all_links(spark, monkeypatch):
+    """Chains and balls of fingerprints, over many tiles of a cell, at the sign bit too."""
+    monkeypatch.setattr(simhash, "TILE", 16)
+    monkeypatch.setattr(simhash, "STRIP", 5)
+    dice = random.Random(5)
+    values = {0, (1 << 64) - 1, 1 << 63, (1 << 63) | 0b111}
+    for _ in range(30):
+        start = dice.getrandbits(64)
+        for _ in range(25):
+            values.add(start)
+            for bit in dice.sample(range(64), dice.randint(1, 6)):
+                start ^= 1 << bit
+    values.update(sum(1 << b for b in dice.sample(range(64), 32)) for _ in range(500))
+    values = sorted(values)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    edges = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long")).collect()
+    assert all(((e.a ^ e.b) & (1 << 64) - 1).bit_count() <= 64 for e in edges)
+    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert [found.get(v, v) for v in signed] == least_reachable(signed, values, 4)
+
+
+def test_fingerprint_of_a_long_text_in_chunks(monkeypatch):
+    text = " ".join(f"w{k % 997}" for k in range(5000))
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(word_splitter, "CHUNK", 100)
+    assert simhash.fingerprint(text) == whole
+    assert whole % (1 << 64) == plain_fingerprint(text)
