@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundsift.llm import (
@@ -15,6 +15,7 @@ from fundsift.llm import (
     language,
     maxent,
     minhash,
+    prefix_trie,
     sharding,
     simhash,
     substrings,
@@ -164,3 +165,62 @@ def op8_maxent(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def _crc32(column: str) -> Column:
+    return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"), _crc32("conv_id") % 9)
+
+
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t
+)"""
+
+
+def _sql_crc32(text: str) -> str:
+    """CRC-32 of a text, beside ``crc_table``."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+      lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295::BIGINT)"""
+
+
+SQL["op12_prefix_trie"] = f"""
+WITH {_CRC_TABLE}, turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_sql_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS head
+  FROM (SELECT DISTINCT conv_id FROM turns), crc_table
+), rebuilt AS (
+  SELECT i.conv_id, pos, role, text FROM ids i JOIN turns t ON t.conv_id = i.base AND pos <= head
+  UNION ALL
+  SELECT i.conv_id, pos, role, text FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND pos > head
+), paths AS (
+  SELECT i.conv_id, count(pos) AS n,
+    coalesce(list(md5(role || ':' || md5(text)) ORDER BY pos) FILTER (pos IS NOT NULL), []) AS path,
+    list(strlen(text) ORDER BY pos) AS sizes
+  FROM ids i LEFT JOIN rebuilt r ON r.conv_id = i.conv_id GROUP BY i.conv_id
+), prefixes AS (
+  SELECT conv_id, d AS depth, array_to_string(path[1:d], '') AS prefix, CASE WHEN d = 0 THEN 0 ELSE sizes[d] END AS last_bytes,
+    d = n AS ending
+  FROM (SELECT *, unnest(range(n + 1)) AS d FROM paths)
+), nodes AS (
+  SELECT depth, prefix, left(prefix, 32 * (depth - 1)) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(last_bytes) AS last_bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ending), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, prefix
+), children AS (
+  SELECT above AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above
+), counted AS (
+  SELECT nodes.*, coalesce(c.n, 0) AS n_children FROM nodes LEFT JOIN children c ON c.prefix = nodes.prefix
+), sums AS (
+  SELECT left(prefix, 32 * d) AS prefix, CAST(count_if(n_children = 0) AS BIGINT) AS n_leaves, CAST(sum((n_convs - 1) * last_bytes) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM counted) GROUP BY 1
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+FROM counted c JOIN sums s ON s.prefix = c.prefix LEFT JOIN nodes p ON c.depth > 0 AND p.prefix = c.above"""
