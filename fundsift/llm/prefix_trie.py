@@ -286,6 +286,7 @@ def _rolled_up(spark: SparkSession, partials: DataFrame, skeleton: Skeleton) ->
         row, above = found[k], skeleton.parent[k]
         own[k] += (row["n_convs"] - 1) * row["last_bytes"]
         row["saved_tokens"] += own[k]
+        row["n_leaves"] += row["n_children"] == 0  # a root that is the only node
         if above >= 0:
             own[above] += own[k]
             found[above]["n_children"] += 1

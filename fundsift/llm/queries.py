@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fundsift.llm import (
     byte_bpe,
+    conversation_repair,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -224,3 +225,85 @@ WITH {_CRC_TABLE}, turns AS (
 )
 SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
 FROM counted c JOIN sums s ON s.prefix = c.prefix LEFT JOIN nodes p ON c.depth > 0 AND p.prefix = c.above"""
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conv_id, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    name = F.concat(conv_id, F.lit(":"), turn)
+    return conversation_repair.repair_conversations(table(spark, folder, "conversations"), F.crc32(name.cast("binary")) % 20)
+
+
+def _sql_step(state: str, cost: str, letter: str, line: str | None = None) -> str:
+    """A state of the repair in SQL (k: padded cost and audit, t: repaired lines) after one edit."""
+    added = f"{state}.t || chr(10) || {line}" if line else f"{state}.t"
+    return f"{{k: lpad(CAST(CAST(left({state}.k, 8) AS BIGINT) + {cost} AS VARCHAR), 8, '0') || substr({state}.k, 9) || '{letter}', t: {added}}}"
+
+
+def _sql_least(*states: str) -> str:
+    return f"list_min(list_filter([{', '.join(states)}], lambda x: x.k IS NOT NULL))"
+
+
+def _sql_row(to: str, role: str | None) -> str:
+    """The state ``to`` after row r: it was deleted, kept, or its role was changed."""
+    sound, more = "r.fault IN ('k', 't')", "CASE r.fault WHEN 't' THEN 5 ELSE 0 END"
+    before = {"s": ["e"], "u": ["e", "s", "a"], "a": ["u"]}.get(to, [])
+    ways = [_sql_step(f"d.{to}", "2", "D")]
+    for b in before:
+        ways.append(f"CASE WHEN {sound} AND r.initial = '{to}' THEN {_sql_step(f'd.{b}', more, 'K', 'r.line')} END")
+        if role:
+            changed = f"'{role}:' || r.text"
+            ways.append(f"CASE WHEN {sound} THEN {_sql_step(f'd.{b}', f'1 + {more}', 'R', changed)} END")
+    return _sql_least(*ways)
+
+
+_INSERT_USER = _sql_least("u", *[_sql_step(b, "5", "I", "'user:'") for b in ("e", "s", "a")])
+_INSERT_ASSISTANT = _sql_least("a", _sql_step("u", "5", "I", "'assistant:'"))
+_NONE = "{k: CAST(NULL AS VARCHAR), t: CAST(NULL AS VARCHAR)}"
+
+SQL["op13_conversation_repair"] = rf"""
+WITH RECURSIVE {_CRC_TABLE}, filled AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations
+), coded AS (
+  SELECT *, {_sql_crc32("name")} % 20 AS f FROM filled, crc_table
+), damaged AS (
+  SELECT conv_id, turn, role AS first_role, sha256(text) AS first_text, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE f WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM coded WHERE f <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, first_role, first_text, copy) AS pos FROM damaged
+), seen AS (
+  SELECT *, left(role, 1) AS initial, role || ':' || text AS line,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again
+  FROM placed
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN again THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE 'k' END AS fault
+  FROM seen
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), ids AS (
+  SELECT i.conv_id, row_number() OVER () AS nr, c.* EXCLUDE (conv_id)
+  FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+), steps AS (
+  SELECT ids.nr, j.pos, j.initial, j.text, j.line, j.fault FROM judged j JOIN ids ON ids.conv_id IS NOT DISTINCT FROM j.conv_id
+), states(nr, pos, e, s, u, a) AS (
+  SELECT nr, 0::BIGINT, {{k: '00000000', t: ''}}, {_NONE}, {_NONE}, {_NONE} FROM ids
+  UNION ALL
+  SELECT r.nr, r.pos, {_sql_row("e", None)}, {_sql_row("s", None)}, {_sql_row("u", "user")}, {_sql_row("a", "assistant")}
+  FROM (SELECT nr, pos, e, s, {_INSERT_USER} AS u, {_INSERT_ASSISTANT} AS a FROM states) d
+  JOIN steps r ON r.nr = d.nr AND r.pos = d.pos + 1
+), ends AS (
+  SELECT nr, {_sql_least("e", "inserted")} AS x, pos FROM (SELECT nr, pos, e, {_INSERT_ASSISTANT} AS inserted FROM states)
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(left(x.k, 8) AS BIGINT) AS cost, substr(x.k, 9) AS audit,
+  sha256(substr(x.t, 2)) AS repaired_sha256
+FROM ids JOIN ends ON ends.nr = ids.nr AND ends.pos = coalesce(n, 0)"""
