@@ -3,10 +3,11 @@
 All pre-tokens of some texts that are not yet known are laid end to end and merged
 together. Adjacent pairs wait, by merge rank, in buckets of linked-list positions; a bitmap
 marks the buckets that are not empty, so the lowest ranks are one find-first-set away
-whatever the length of a pre-token. Pre-tokens do not touch each other, so a bucket spans
-a few neighbouring ranks and each of its pre-tokens takes its own lowest one, all of them
-at once in numpy. Merging relinks the neighbours in the doubly linked list of positions; an
-entry whose position has meanwhile been merged or has got another rank is stale and skipped.
+whatever the length of a pre-token. Long pre-tokens have a bucket for every rank, and all its
+positions merge at once in numpy. Short ones do not touch each other, so their buckets span
+a few neighbouring ranks and each pre-token takes its own lowest one. Merging relinks the
+neighbours in the doubly linked list of positions; an entry whose position has meanwhile been
+merged or has got another rank is stale and skipped.
 """
 
 from __future__ import annotations
@@ -26,14 +27,18 @@ from pyspark.sql import functions as F
 #: Rank file and pattern of the tokenizer used unless another one is named.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
-#: Neighbouring merge ranks that share a bucket, as a power of two.
+#: Neighbouring merge ranks that share a bucket for short pre-tokens, as a power of two.
 BUCKET_BITS = 6
 
+#: Bytes from which a pre-token is long: its ranks have a bucket each.
+LONG = 1 << 10
+
 #: Buckets that share a word of the bitmap's lower level, as a power of two.
 WORD_BITS = 5
 
-#: Pre-tokens remembered per Python worker; twice as many at most are held.
-CACHED = 200_000
+#: Pre-tokens remembered per Python worker, and their longest; twice as many at most are held.
+CACHED = 100_000
+LONGEST_CACHED = 64
 
 #: Bits of a token id in the key of a pair.
 SHIFT = 20
@@ -46,14 +51,15 @@ MATCHES = 200_000
 class RankQueue:
     """Positions by merge rank, in buckets; a two-level bitmap finds the lowest bucket."""
 
-    def __init__(self, ranks: int):
-        buckets = (ranks >> BUCKET_BITS) + 1
+    def __init__(self, ranks: int, bits: int):
+        self.bits = bits
+        buckets = (ranks >> bits) + 1
         self.buckets: list[list[np.ndarray]] = [[] for _ in range(buckets)]
         self.words = [0] * ((buckets >> WORD_BITS) + 1)
         self.summary = 0
 
     def push(self, ranks: np.ndarray, positions: np.ndarray) -> None:
-        which = (ranks >> BUCKET_BITS).astype(np.uint16)
+        which = (ranks >> self.bits).astype(np.uint32)
         order = np.argsort(which, kind="stable")
         which, positions = which[order], positions[order]
         cuts = np.flatnonzero(which[1:] != which[:-1]) + 1
@@ -113,7 +119,7 @@ class ByteBpe:
         plain = pattern.replace(r"\p{L}\p{N}", "A-Za-z0-9").replace(r"\p{L}+", "[A-Za-z]+").replace(r"\p{N}+", "[0-9]+")
         #: The same pattern for texts in ASCII only.
         self.plain = self.pattern if r"\p" in plain else re.compile(plain, re.ASCII)
-        self.queue = RankQueue(ranks)
+        self.few, self.each = RankQueue(ranks, BUCKET_BITS), RankQueue(ranks, 0)
         self.known = Pieces()
 
     def rank_of_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -145,9 +151,45 @@ class ByteBpe:
         now[found[np.where(self.falling[ranks[found]], fresh, even)]] = True
         return now
 
+    def _leading(self, at: np.ndarray, rank: int, piece: np.ndarray, token: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Which of the sorted places of one rank merge now: every other one of overlapping ones.
+
+        A place after which a lower rank may follow in its piece is the last that merges there now.
+        """
+        touching = np.concatenate([[False], after[at[:-1]] == at[1:]])
+        run = np.maximum.accumulate(np.where(touching, 0, np.arange(len(at))))
+        now = (np.arange(len(at)) - run) % 2 == 0
+        if not self.falling[rank]:
+            return now
+        here = at[now]
+        back, beyond = before[here], after[after[here]]
+        # The neighbour on the left has just been merged where it ends the place before.
+        merged = np.concatenate([[False], after[here[:-1]] == back[1:]]) & (back >= 0)
+        left = np.where(merged, rank, token[back])
+        low = (back >= 0) & self._falls(left, rank, rank)
+        low |= (beyond >= 0) & self._falls(rank, token[beyond], rank)
+        if low.any():
+            owner = piece[here]
+            fresh = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            seen = np.cumsum(low) - low
+            keep = seen == np.repeat(seen[fresh], np.diff(np.append(fresh, len(here))))
+            now[np.flatnonzero(now)[~keep]] = False
+        return now
+
+    def _falls(self, left: np.ndarray | int, right: np.ndarray | int, rank: int) -> np.ndarray:
+        found = self.rank_of_pairs(*np.broadcast_arrays(left, right))
+        return (found >= 0) & (found < rank)
+
     def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Token ids of each piece, every piece merged on its own."""
-        queue = self.queue
+        long = [k for k, piece in enumerate(pieces) if len(piece) >= LONG]
+        if not long or len(long) == len(pieces):
+            return self._merge(pieces, self.each if long else self.few)
+        found = dict(zip(long, self._merge([pieces[k] for k in long], self.each), strict=True))
+        rest = iter(self._merge([piece for piece in pieces if len(piece) < LONG], self.few))
+        return [found[k] if k in found else next(rest) for k in range(len(pieces))]
+
+    def _merge(self, pieces: list[bytes], queue: RankQueue) -> list[tuple[int, ...]]:
         raw = np.frombuffer(b"".join(pieces), np.uint8)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         stops = np.cumsum(sizes)
@@ -166,11 +208,14 @@ class ByteBpe:
             queue.push(waiting[pairs], pairs)
         while (taken := queue.take()) is not None:
             bucket, positions = taken
-            positions = np.sort(positions[waiting[positions] >> BUCKET_BITS == bucket])  # the others are stale
+            positions = np.sort(positions[waiting[positions] >> queue.bits == bucket])  # the others are stale
             if not len(positions):
                 continue
             positions = positions[np.concatenate([[True], positions[1:] != positions[:-1]])]
-            now = self._chosen(positions, waiting, piece, after)
+            if queue.bits:
+                now = self._chosen(positions, waiting, piece, after)
+            else:
+                now = self._leading(positions, bucket, piece, token, before, after)
             if not now.all():
                 queue.put(bucket, positions[~now])
             here = positions[now]
@@ -197,31 +242,34 @@ class ByteBpe:
     def split(self, text: str) -> list[str]:
         return (self.plain if text.isascii() else self.pattern).findall(text)
 
-    def learn(self, pieces: set[str]) -> None:
-        """Put the ids of pieces into the cache."""
-        rest = []
+    def learn(self, pieces: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of pieces that are not in the cache; those of long ones are not put there."""
+        rest, found = [], {}
         for piece in pieces:
             if not self.known.revive(piece):
                 raw = piece.encode("utf-8")
                 if (whole := self.rank_of.get(raw)) is not None:
-                    self.known[piece] = (whole,)
+                    found[piece] = (whole,)
                 else:
                     rest.append((piece, raw))
         if rest:
-            self.known.update(zip((p for p, _ in rest), self.merge([r for _, r in rest]), strict=True))
+            found.update(zip((p for p, _ in rest), self.merge([r for _, r in rest]), strict=True))
+        self.known.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_CACHED)
+        return {p: ids for p, ids in found.items() if len(p) > LONGEST_CACHED}
 
-    def ids_of(self, texts: list[list[str]]) -> Iterator[list[int]]:
+    def ids_of(self, texts: list[list[str]]) -> Iterator[np.ndarray]:
         """Ids of texts given as lists of pieces."""
         self.known.turn()
         missing: set[str] = set()
         for pieces in texts:
             missing.update(pieces)
         missing.difference_update(self.known)
-        self.learn(missing)
+        long = self.learn(missing)
+        ids = self.known.__getitem__ if not long else lambda piece: long[piece] if piece in long else self.known[piece]
         for pieces in texts:
-            yield list(chain.from_iterable(map(self.known.__getitem__, pieces)))
+            yield np.fromiter(chain.from_iterable(map(ids, pieces)), np.int32)
 
-    def encode_all(self, texts: Iterable[str]) -> Iterator[list[int]]:
+    def encode_arrays(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of each text; short texts are handled together, very long ones in parts."""
         held: list[list[str]] = []
         size = 0
@@ -231,7 +279,7 @@ class ByteBpe:
                 held, size = [], 0
                 matches = (m.group() for m in self.pattern.finditer(text))
                 parts = iter(lambda matches=matches: list(islice(matches, MATCHES)), [])
-                yield list(chain.from_iterable(ids for part in parts for ids in self.ids_of([part])))
+                yield np.concatenate([ids for part in parts for ids in self.ids_of([part])])
                 continue
             held.append(self.split(text))
             size += len(text)
@@ -240,11 +288,15 @@ class ByteBpe:
                 held, size = [], 0
         yield from self.ids_of(held)
 
+    def encode_all(self, texts: Iterable[str]) -> Iterator[list[int]]:
+        return (ids.tolist() for ids in self.encode_arrays(texts))
+
     def encode(self, text: str) -> list[int]:
         return next(self.encode_all([text]))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray | list[int]) -> bytes:
+        some = (ids[k : k + MATCHES] for k in range(0, len(ids), MATCHES))
+        return b"".join(b"".join(map(self.bytes_of.__getitem__, part)) for part in some)
 
 
 class Pieces(dict):
@@ -289,12 +341,7 @@ def encode(text: Column, vocabulary: str = VOCABULARY) -> Column:
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(vocabulary)
         for batch in batches:
-            offsets, parts = [0], []
-            for ids in bpe.encode_all(value.as_py() or "" for value in batch):
-                parts.append(pa.array(ids, pa.int32()))
-                offsets.append(offsets[-1] + len(ids))
-            values = pa.concat_arrays(parts) if parts else pa.array([], pa.int32())
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+            yield _lists(list(bpe.encode_arrays(value.as_py() or "" for value in batch)))
 
     return ids_of(text)
 
@@ -306,6 +353,29 @@ def decode(ids: Column, vocabulary: str = VOCABULARY) -> Column:
     def bytes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(vocabulary)
         for batch in batches:
-            yield pa.array([bpe.decode(v.values.tolist() if v.is_valid else ()) for v in batch], pa.binary())
+            yield pa.array([bpe.decode(v.values.to_numpy() if v.is_valid else ()) for v in batch], pa.binary())
 
     return bytes_of(ids)
+
+
+def round_trip(text: Column, vocabulary: str = VOCABULARY) -> Column:
+    """Struct of ``ids``, as by ``encode``, and ``decoded``, the bytes they stand for.
+
+    Both ways in one pass, so that a worker holds one vocabulary and one cache.
+    """
+
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = load(vocabulary)
+        for batch in batches:
+            ids = list(bpe.encode_arrays(value.as_py() or "" for value in batch))
+            decoded = pa.array((bpe.decode(one) for one in ids), pa.binary())
+            yield pa.StructArray.from_arrays([_lists(ids), decoded], ["ids", "decoded"])
+
+    return there_and_back(text)
+
+
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    values = np.concatenate(ids) if ids else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))

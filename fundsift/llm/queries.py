@@ -36,9 +36,8 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
 @query
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = docs.select("doc_id", byte_bpe.encode(F.col("text")).alias("ids"))
-    decoded = encoded.withColumn("decoded", byte_bpe.decode(F.col("ids")))
-    return decoded.select(
+    coded = docs.select("doc_id", byte_bpe.round_trip(F.col("text")).alias("found")).select("doc_id", "found.*")
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
