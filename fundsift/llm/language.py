@@ -34,7 +34,8 @@ class Model(NamedTuple):
 def buckets_of(text: str) -> Iterator[np.ndarray]:
     """Buckets of all character n-grams of the lower-cased text, chunk by chunk."""
     for start in range(0, len(text), CHUNK):
-        part = text[max(0, start - LONGEST + 1) : start + CHUNK].lower()
+        lead = text[max(0, start - LONGEST + 1) : start].lower()
+        part = lead + text[start : start + CHUNK].lower()
         codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
         mixed, found = np.zeros(len(codes) + 1, np.uint32), []
         for n in range(1, LONGEST + 1):
@@ -42,7 +43,8 @@ def buckets_of(text: str) -> Iterator[np.ndarray]:
                 break
             mixed = (mixed[: len(codes) - n + 1] * np.uint32(0x01000193)) ^ codes[n - 1 :]
             spread = (mixed + np.uint32(n)) * np.uint32(2654435761)
-            found.append(spread >> np.uint32(32 - BUCKETS.bit_length() + 1))
+            # Those that end in the lead belong to the chunk before.
+            found.append(spread[max(0, len(lead) - n + 1) :] >> np.uint32(32 - BUCKETS.bit_length() + 1))
         if found:
             yield np.concatenate(found)
 
