@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundsift.llm import byte_bpe, decontaminate, exact_dedup, minhash
+from fundsift.llm import byte_bpe, decontaminate, exact_dedup, language, minhash
 from fundsift.llm.common import stage, table, whole
 
 #: Words of a shingle in the search for near copies.
@@ -16,12 +16,19 @@ LAST_ID = (1 << 63) - 1
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without any language: null texts and texts without a letter.
+    """Predict every document's language: ``und`` goes, and a missing ``lang`` is filled in.
 
-    That needs no model, and it holds whether or not any row has a ``lang``. A predicted
-    language never rejects a document, so none is predicted here; ``op6_language`` does that.
+    The model learns from all rows with a ``lang``. Null texts and texts without a letter are
+    ``und``; a document with letters stays whatever its language. Where no row has a ``lang``,
+    nothing can be predicted: letters alone decide, and ``lang`` stays null.
     """
-    return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    model = language.train(docs)
+    if not model.languages:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    rows = docs.select(F.struct("*").alias("row"), language.predict(spark, F.col("text"), model).alias("found"))
+    known = rows.filter(F.col("found.lang_pred") != language.UNKNOWN)
+    filled = F.coalesce("row.lang", "found.lang_pred").alias("lang")
+    return known.select(*[filled if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +55,14 @@ def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add token ids and their number, and check that they decode to the text."""
-    encoded = docs.withColumn("token_ids", byte_bpe.encode(F.col("text")))
-    decoded = encoded.withColumn("_decoded", byte_bpe.decode(F.col("token_ids")))
-    same = F.col("_decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return decoded.withColumn("n_tokens", F.size("token_ids")).withColumn("round_trip", same).drop("_decoded")
+    """Add token_ids, n_tokens, and round_trip: whether the ids decode to the text's bytes.
+
+    Null text counts as empty and has no ids. Columns of these names are replaced.
+    """
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("token_ids", "n_tokens", "round_trip")]
+    rows = docs.select(F.struct("*").alias("row"), byte_bpe.round_trip(F.col("text")).alias("found"))
+    same = F.col("found.decoded") == whole(F.col("row.text")).cast("binary")
+    return rows.select(*kept, F.col("found.ids").alias("token_ids"), F.size("found.ids").alias("n_tokens"), same.alias("round_trip"))
 
 
 STAGES = [
