@@ -29,6 +29,9 @@ SAMPLED = 20
 #: Most turns that a conversation takes from its base conversation.
 LONGEST_HEAD = 8
 
+#: Ids of a path that are joined to one text: those that agree but for so many low bits.
+ID_BITS = 10
+
 #: Rows of an output batch.
 ROWS = 8192
 
@@ -84,18 +87,18 @@ def with_shared_heads(rows: DataFrame, head: Column) -> tuple[DataFrame, DataFra
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (path_id, conv_id) in order: for each path its number of ids, the least, and their digest."""
-    now, n, least, digest = None, 0, 0, hashlib.sha256()
+    """Rows (path_id, n, least, ids) in order: for each path its number of ids, the least, and their digest."""
     names = ["path_id", "n", "least", "ends_sha256"]
+    now, n, least, digest = None, 0, 0, hashlib.sha256()
     for batch in batches:
         done: list[tuple] = []
-        for path_id, conv_id in zip(batch["path_id"].to_pylist(), batch["conv_id"].to_pylist(), strict=True):
+        for path_id, some, first, ids in zip(*(batch[c].to_pylist() for c in ("path_id", "n", "least", "ids")), strict=True):
             if path_id != now:
                 if n:
                     done.append((now, n, least, digest.hexdigest()))
-                now, n, least, digest = path_id, 0, conv_id, hashlib.sha256()
-            digest.update(b",%d" % conv_id if n else b"%d" % conv_id)
-            n += 1
+                now, n, least, digest = path_id, 0, first, hashlib.sha256()
+            digest.update(("," + ids if n else ids).encode())
+            n += some
         yield _record(done, names)
     if n:
         yield _record([(now, n, least, digest.hexdigest())], names)
@@ -110,11 +113,16 @@ def _record(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 def distinct_paths(paths: DataFrame) -> DataFrame:
     """One row per path: path, sizes, n (conversations that end there), least id, ends_sha256.
 
-    A path's ids, 24 bytes each, are sorted by Spark and digested as they stream by, however many
-    they are.
+    Neighbouring ids of a path are first joined to one text, in parallel however many end there. Only
+    the digest, which takes bytes in order, is left to one task a path; the texts stream by it.
     """
-    named = paths.select(F.unhex(F.substring(F.sha2("path", 256), 1, 32)).alias("path_id"), "conv_id")
-    dealt = named.repartition("path_id").sortWithinPartitions("path_id", "conv_id")
+    path_id = F.unhex(F.substring(F.sha2("path", 256), 1, 32))
+    named = paths.select(path_id.alias("path_id"), F.shiftright("conv_id", ID_BITS).alias("cell"), "conv_id")
+    ordered = F.array_sort(F.collect_list("conv_id")).cast("array<string>")
+    cells = named.groupBy("path_id", "cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("least"), F.array_join(ordered, ",").alias("ids")
+    )
+    dealt = cells.repartition("path_id").sortWithinPartitions("path_id", "cell")
     ends = dealt.mapInArrow(_ends, "path_id binary, n long, least long, ends_sha256 string")
     return ends.join(paths, ends["least"] == paths["conv_id"]).select("path", "sizes", "n", "least", "ends_sha256")
 

@@ -530,6 +530,21 @@ def test_texts_without_letters_go_with_or_without_labels(spark):
         assert sorted(ids(kept.collect())) == [k for k, t in enumerate(texts) if any(map(str.isalpha, t or ""))]
 
 
+def test_missing_languages_are_filled_in(spark):
+    rows = [(k, text, lang, 7) for k, (text, lang) in enumerate([("le chat et la souris", "fr"), ("the cat and the mouse", "en"), ("the mouse", None), ("la souris", None), ("the cat", "fr"), (None, "en")])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, found long")
+    kept = corpus_pipeline.keep_known_languages(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.lang, r.found) for r in kept.collect()) == [(0, "fr", 7), (1, "en", 7), (2, "en", 7), (3, "fr", 7), (4, "fr", 7)]
+
+
+def test_columns_of_the_last_stage_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "one two", "x", 2.0, "y"), (2, None, None, None, None)], "doc_id long, text string, token_ids string, n_tokens double, found string")
+    coded = corpus_pipeline.encode_and_decode(spark, docs, "").orderBy("doc_id").collect()
+    bpe = byte_bpe.load(byte_bpe.VOCABULARY)
+    assert [(r.text, r.found, r.token_ids, r.n_tokens, r.round_trip) for r in coded] == [("one two", "y", bpe.encode("one two"), 2, True), (None, None, [], 0, True)]
+
+
 def test_pipeline(spark, odd_docs, odd_rows, no_docs, tmp_path):
     bench = str(tmp_path / "benchmark.parquet")
     spark.createDataFrame([(1, " ".join((odd_rows[60][1] or "").split()[:40]))], "item_id long, text string").write.parquet(bench)
