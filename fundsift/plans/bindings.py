@@ -7,6 +7,8 @@ deterministic. Columns carry the names that the operators expect.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import cached_property
 
@@ -34,6 +36,20 @@ def fund_type(region: str = "r_name") -> Column:
     )
 
 
+@contextmanager
+def small_splits(spark: SparkSession, size: int) -> Iterator[None]:
+    """Files are read in parts of ``size`` bytes by the jobs that run inside."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, str(size))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 @dataclass(frozen=True)
 class Tables:
     """Roles over one folder of the star schema."""

@@ -55,6 +55,23 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder in any file system that Spark reads; none if it is not there."""
+    files, target = _file_system(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
 _SCRATCH: dict[str, SparkSession] = {}
 
 
