@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 from typing import NamedTuple
 
@@ -90,9 +91,11 @@ def normalize_daily_quotas(
 
 
 def normalize_holdings(
-    families: dict[str, DataFrame], scope: DataFrame
+    families: Mapping[str, DataFrame] | DataFrame, scope: DataFrame
 ) -> DataFrame:
-    """All holdings families in one table, marked by ``blc_type``."""
+    """All holdings families in one table, marked by ``blc_type``; or such a table as it is."""
+    if isinstance(families, DataFrame):
+        return normalize(families, scope)
     marked = [
         unify_names(df).withColumn("blc_type", F.lit(family)) for family, df in families.items()
     ]

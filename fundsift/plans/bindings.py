@@ -226,6 +226,11 @@ class Tables:
             for i in range(1, 8)
         }
 
+    def raw_holdings(self) -> DataFrame:
+        """Holdings of all families as one table, read once."""
+        rows = self._positions(cnpj_to_formatted("l_suppkey"), "CNPJ_FUNDO")
+        return rows.withColumn("blc_type", F.concat(F.lit("blc_"), "l_linenumber")).drop("l_linenumber")
+
     def registry(self) -> DataFrame:
         """One registry row per supplier and return flag seen, as share classes are."""
         seen = (
@@ -269,7 +274,7 @@ class Tables:
         return Raw(
             monthly_nav=self.raw_monthly_nav(),
             daily_quotas=self.raw_quotas(),
-            holdings=self.raw_families(),
+            holdings=self.raw_holdings(),
             registry=self.registry(),
         )
 

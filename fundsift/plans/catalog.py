@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,13 +98,19 @@ _ORDER_PERIOD = o.yyyymm("o_orderdate")
 @query(
     "scan_partitioned_csv",
     f"""SELECT {_ORDER_PERIOD} AS period, 'Ação ' || o_orderstatus AS fund_type,
-        count(*) AS n, {r6('sum(o_totalprice)', 2)} AS total
-        FROM orders GROUP BY ALL""",
+        {o.formatted('o_custkey')} AS raw_id,
+        CASE WHEN year(o_orderdate) >= 1999 THEN o_orderpriority END AS name,
+        strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS day, {r6('o_totalprice')} AS nav FROM orders""",
 )
 def _(t):
     table = files.scan_partitioned_csv(t.spark, _order_files(t), schemas.MONTHLY_NAV)
-    return table.groupBy("period", F.col("TP_FUNDO_CLASSE").alias("fund_type")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("VL_PATRIM_LIQ"), 2).alias("total")
+    return table.select(
+        "period",
+        F.col("TP_FUNDO_CLASSE").alias("fund_type"),
+        F.col("CNPJ_FUNDO_CLASSE").alias("raw_id"),
+        F.col("DENOM_SOCIAL").alias("name"),
+        F.col("DT_COMPTC").alias("day"),
+        F.col("VL_PATRIM_LIQ").alias("nav"),
     )
 
 
@@ -119,23 +125,30 @@ def _family_files(t: Tables, family: str) -> str:
     return path
 
 
+_HOLDING_COLUMNS = {
+    "asset_type": "TP_ATIVO",
+    "value": "VL_MERC_POS_FINAL",
+    "quantity": "QT_POS_FINAL",
+    "issuer": "CNPJ_EMISSOR",
+    "agency": "AG_RISCO",
+    "rating": "GRAU_RISCO",
+}
+_HOLDING_SQL = f"period, asset_type, {r6('value')} AS value, {r6('quantity')} AS quantity, issuer, agency, rating"
+
+
+def _holding_columns() -> list[Column]:
+    return [F.col(old).alias(new) for new, old in _HOLDING_COLUMNS.items()]
+
+
 @query(
     "declared_schema",
-    f"""SELECT asset_type, rating, count(*) AS n, {r6('sum(value)', 2)} AS total,
-        {r6('sum(quantity)', 2)} AS quantity
-        FROM positions WHERE blc_type = 'blc_5' GROUP BY ALL""",
+    f"""SELECT {o.formatted('cnpj')} AS raw_id, {_HOLDING_SQL} FROM positions WHERE blc_type = 'blc_5'""",
 )
 def _(t):
     table = files.scan_partitioned_csv(
         t.spark, _family_files(t, "blc_5"), schemas.HOLDINGS["blc_5"]
     )
-    return table.groupBy(
-        F.col("TP_ATIVO").alias("asset_type"), F.col("GRAU_RISCO").alias("rating")
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.sum("VL_MERC_POS_FINAL"), 2).alias("total"),
-        F.round(F.sum("QT_POS_FINAL"), 2).alias("quantity"),
-    )
+    return table.select(F.col("CNPJ_FUNDO_CLASSE").alias("raw_id"), "period", *_holding_columns())
 
 
 @query(
@@ -162,17 +175,13 @@ def _(t):
 
 @query(
     "table_sink",
-    f"""SELECT {_ORDER_PERIOD} AS period, count(*) AS n,
-        {r6('sum(o_totalprice)', 2)} AS total FROM orders GROUP BY ALL""",
+    f"SELECT o_orderkey, {_ORDER_PERIOD} AS period, {r6('o_totalprice')} AS o_totalprice FROM orders",
 )
 def _(t):
     orders = t.read("orders").select(
         "o_orderkey", "o_totalprice", fc.period_of("o_orderdate").alias("period")
     )
-    stored = sinks.write_table(orders, scratch_path(t.spark, "table"), "period", rebalance=True)
-    return stored.groupBy("period").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
-    )
+    return sinks.write_table(orders, scratch_path(t.spark, "table"), "period", rebalance=True)
 
 
 @query("max_period", f"SELECT max({_ORDER_PERIOD}) AS max_period FROM orders")
@@ -413,32 +422,45 @@ def _(t):
 
 @query(
     "normalize_holdings",
-    f"""SELECT blc_type, period, count(*) AS n, count(rating) AS n_rated,
-        {r6('sum(value)', 2)} AS total FROM positions
-        WHERE cnpj IN (SELECT cnpj FROM funds_in_scope) GROUP BY ALL""",
+    f"""SELECT cnpj, blc_type, {_HOLDING_SQL} FROM positions WHERE cnpj IN (SELECT cnpj FROM funds_in_scope)""",
 )
 def _(t):
     table = scope.normalize_holdings(t.raw_families(), _scope(t))
-    return table.groupBy("blc_type", "period").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("GRAU_RISCO").alias("n_rated"),
-        F.round(F.sum("VL_MERC_POS_FINAL"), 2).alias("total"),
-    )
+    return table.select("cnpj", "blc_type", "period", *_holding_columns())
 
 
 @query(
     "filter_fixed_income",
-    """SELECT cnpj, count(*) AS n_months, (SELECT count(*) FROM registry_kept r
-              WHERE r.cnpj = n.cnpj) AS n_registered
-       FROM nav_kept n WHERE cnpj IN (SELECT cnpj FROM funds_in_scope) GROUP BY cnpj""",
+    f"""SELECT 'nav' AS kind, cnpj, s_name AS name, fund_type AS type, dt AS day, {r6('nav', 2)} AS nav
+        FROM nav_kept WHERE cnpj IN (SELECT cnpj FROM funds_in_scope)
+        UNION ALL
+        SELECT 'registry', cnpj, commercial_name, anbima_category_main, CAST(inception_date AS DATE), NULL
+        FROM registry_kept WHERE cnpj IN (SELECT cnpj FROM funds_in_scope)
+        UNION ALL
+        SELECT 'scope', cnpj, NULL, NULL, NULL, NULL FROM funds_in_scope""",
 )
 def _(t):
     kept = scope.filter_fixed_income(
         t.raw_monthly_nav(), t.registry(), t.latest_period, t.settings
     )
-    months = kept.nav.groupBy("cnpj").agg(F.count(F.lit(1)).alias("n_months"))
-    listed = kept.registry.groupBy("cnpj").agg(F.count(F.lit(1)).alias("n_registered"))
-    return kept.scope.join(months, "cnpj").join(listed, "cnpj")
+    nav = kept.nav.select(
+        F.lit("nav").alias("kind"),
+        "cnpj",
+        F.col("DENOM_SOCIAL").alias("name"),
+        F.col("TP_FUNDO_CLASSE").alias("type"),
+        F.col("DT_COMPTC").alias("day"),
+        F.col("VL_PATRIM_LIQ").alias("nav"),
+    )
+    listed = kept.registry.select(
+        F.lit("registry").alias("kind"),
+        "cnpj",
+        F.col("Nome Comercial").alias("name"),
+        F.col("Categoria ANBIMA").alias("type"),
+        F.to_date("Data de Início de Atividade").alias("day"),
+    )
+    scoped = kept.scope.withColumn("kind", F.lit("scope"))
+    both = nav.unionByName(listed, allowMissingColumns=True)
+    return both.unionByName(scoped, allowMissingColumns=True)
 
 
 # -- primary tables ---------------------------------------------------------------
@@ -669,6 +691,20 @@ def _(t):
     return t.sharpe()
 
 
+_STEADY = "CASE WHEN cnpj % 7 = 3 THEN 0.001e0 * (1 - 2 * (cnpj % 2)) + daily_return / 1e5 ELSE daily_return END"
+
+
+@query(
+    "sharpe_cap",
+    f"SELECT cnpj, {_SHARPE_SQL} FROM sharpe",
+    returns=f"SELECT * REPLACE ({_STEADY} AS daily_return) FROM ({o.CTES['returns']})",
+)
+def _(t):
+    """Some funds have nearly the same return every day, so that their ratios reach the cap on either side."""
+    returns = t.returns().withColumn("daily_return", F.expr(_STEADY))
+    return features.sharpe_ratio(returns, t.latest_period, t.settings)
+
+
 @query(
     "liquidity",
     f"""SELECT cnpj, {r6('redemption_days')} AS redemption_days, is_active,
@@ -825,10 +861,14 @@ def _(t):
 
 @query(
     "sharpe_fallback",
-    f"SELECT cnpj, {r6('coalesce(sharpe_12m, sharpe_3m)')} AS sharpe_selected FROM sharpe",
+    f"""SELECT cnpj, {r6('CASE WHEN cnpj % 5 = 1 OR sharpe_12m IS NULL THEN sharpe_3m ELSE sharpe_12m END')} AS sharpe_selected
+        FROM sharpe""",
 )
 def _(t):
-    return t.sharpe().select("cnpj", normalize.sharpe_fallback().alias("sharpe_selected"))
+    """Every fifth fund has no ratio of twelve months."""
+    known = F.when(F.col("cnpj") % 5 != 1, F.col("sharpe_12m"))
+    sharpe = t.sharpe().withColumn("sharpe_12m", known)
+    return sharpe.select("cnpj", normalize.sharpe_fallback().alias("sharpe_selected"))
 
 
 def _scoring_input(t: Tables) -> DataFrame:
@@ -1027,15 +1067,18 @@ def _(t):
 _REPORT = ["dataset_name", "validation_name", "passed", "error_count", "affected_groups_count"]
 
 
-def _report_sql(name: str, check: str, errors: str, groups: str, source: str) -> str:
+def _report_sql(name: str, check: str, errors: str, groups: str, source: str, wrong: str = "NULL") -> str:
+    """``wrong`` tells in SQL what a failed result says."""
     return f"""SELECT '{name}' AS dataset_name, '{check}' AS validation_name,
         {errors} = 0 AS passed, CAST({errors} AS BIGINT) AS error_count,
-        CAST({groups} AS BIGINT) AS affected_groups_count FROM {source}"""
+        CAST({groups} AS BIGINT) AS affected_groups_count, {wrong} AS details FROM {source}"""
 
 
 _DUPLICATES = """(SELECT count(*) AS n FROM (SELECT 1 FROM lineitem
     GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))"""
-_UNIQUENESS_SQL = _report_sql("lineitem", "validate_uniqueness", "n", "n", _DUPLICATES)
+_UNIQUENESS_SQL = _report_sql(
+    "lineitem", "validate_uniqueness", "n", "n", _DUPLICATES, "n || ' groups occur more than once'"
+)
 
 
 def _uniqueness(t: Tables) -> quality.Validation:
@@ -1062,7 +1105,12 @@ def _(t):
 
 
 _BOUNDS_SQL = _report_sql(
-    "customer", "validate_bounds", "count_if(c_acctbal < 0)", "count_if(c_acctbal < 0)", "customer"
+    "customer",
+    "validate_bounds",
+    "count_if(c_acctbal < 0)",
+    "count_if(c_acctbal < 0)",
+    "customer",
+    "count_if(c_acctbal < 0) || ' values of c_acctbal are out of bounds (lower 0)'",
 )
 
 
@@ -1096,6 +1144,7 @@ _ALLOWED_SQL = _report_sql(
     f"count_if({_WRONG})",
     f"count(DISTINCT CASE WHEN {_WRONG} THEN o_orderpriority END)",
     "orders",
+    f"count_if({_WRONG}) || ' rows have a value that is not allowed'",
 )
 
 
@@ -1105,7 +1154,7 @@ def _allowed(t: Tables) -> quality.Validation:
     )
 
 
-@query("validate_allowed_values", _ALLOWED_SQL)
+@query("validate_allowed_values", f"SELECT {', '.join(_REPORT)} FROM ({_ALLOWED_SQL})")
 def _(t):
     return _allowed(t).report.select(*_REPORT)
 
@@ -1142,6 +1191,7 @@ _COMPLETENESS_SQL = (
         "sum(missing)",
         "count_if(missing > 0)",
         f"({_MONTHLY_SQL})",
+        "count_if(missing > 0) || ' groups have gaps (' || sum(missing) || ' missing months)'",
     )
     + " UNION ALL "
     + _report_sql(
@@ -1150,6 +1200,7 @@ _COMPLETENESS_SQL = (
         "sum(missing)",
         "count_if(missing > 0)",
         f"({_DAILY_SQL})",
+        "count_if(missing > 0) || ' groups have gaps (' || sum(missing) || ' missing days)'",
     )
 )
 
@@ -1164,7 +1215,7 @@ def _completeness(t: Tables) -> list[quality.Validation]:
     ]
 
 
-@query("validate_time_completeness", _COMPLETENESS_SQL)
+@query("validate_time_completeness", f"SELECT {', '.join(_REPORT)} FROM ({_COMPLETENESS_SQL})")
 def _(t):
     monthly, daily = _completeness(t)
     return monthly.report.unionByName(daily.report).select(*_REPORT)
@@ -1223,13 +1274,13 @@ def _(t):
 
 @query(
     "dataframe_validation_report",
-    f"""SELECT dataset_name, validation_name, 'failed' AS status, error_count,
+    f"""SELECT dataset_name, validation_name, 'failed' AS status, error_count, details,
         affected_groups_count FROM ({_UNIQUENESS_SQL} UNION ALL {_BOUNDS_SQL} UNION ALL
         {_ALLOWED_SQL} UNION ALL {_COMPLETENESS_SQL}) WHERE NOT passed""",
 )
 def _(t):
     results = [_uniqueness(t), _bounds(t), _allowed(t), *_completeness(t)]
-    return quality.validation_report(results).drop("timestamp", "details")
+    return quality.validation_report(results).drop("timestamp")
 
 
 @query(

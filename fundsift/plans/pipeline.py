@@ -94,12 +94,22 @@ OUTPUT_CHECKS = {
 
 @dataclass(frozen=True)
 class Raw:
-    """The input tables, new column names or old ones."""
+    """The input tables, new column names or old ones.
+
+    Holdings are a table per family, or one table with the family as ``blc_type``.
+    """
 
     monthly_nav: DataFrame
     daily_quotas: DataFrame
-    holdings: Mapping[str, DataFrame]
+    holdings: Mapping[str, DataFrame] | DataFrame
     registry: DataFrame
+    #: Latest period of the quotas, where the names of their files tell it.
+    latest_period: int | None = None
+
+    def family(self, name: str) -> DataFrame:
+        if isinstance(self.holdings, DataFrame):
+            return self.holdings.filter(F.col("blc_type") == name)
+        return self.holdings[name]
 
 
 @dataclass(frozen=True)
@@ -158,18 +168,17 @@ def read_raw(
             for family in schemas.PORTFOLIO_FAMILIES
         },
         registry=files.registry_source(spark, registry_path, schemas.REGISTRY),
+        latest_period=files.max_period(spark, f"{root}/daily/quotas"),
     )
 
 
 def with_reference_dates(raw: Raw, settings: Settings) -> Settings:
     """Settings with the latest period and date, taken from the quotas where not given.
 
-    File names tell the latest period without reading; only its files are read for the
-    latest date.
+    Where file names have told the latest period, only its files are read for the latest date.
     """
     if settings.max_period is None:
-        named = [p for p in map(files.file_period, raw.daily_quotas.inputFiles()) if p]
-        latest = max(named) if named else raw.daily_quotas.agg(F.max("period")).first()[0]
+        latest = raw.latest_period or raw.daily_quotas.agg(F.max("period")).first()[0]
         settings = replace(settings, max_period=latest)
     if settings.max_ref_date is None:
         ref = files.max_ref_date(raw.daily_quotas, settings.max_period).first()[0]
@@ -273,7 +282,7 @@ def check_tables(raw: Raw, inter: Intermediate, prim: Primary) -> list[quality.V
         "nav_per_period": prim.nav_per_period,
         "instrument_prices": prim.instrument_prices,
     }
-    incoming = {"monthly_nav": files.unify_names(raw.monthly_nav), "blc_5": raw.holdings["blc_5"]}
+    incoming = {"monthly_nav": files.unify_names(raw.monthly_nav), "blc_5": raw.family("blc_5")}
     results = []
     for name, table in incoming.items():
         by = "file_name" if "file_name" in table.columns else None
