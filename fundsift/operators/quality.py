@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from functools import reduce
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -99,6 +99,22 @@ def validate_uniqueness(
     )
 
 
+def _outside(value_column: str, lower_bound: float | None, upper_bound: float | None) -> Column:
+    outside = F.lit(False)
+    if lower_bound is not None:
+        outside = outside | (F.col(value_column) < lower_bound)
+    if upper_bound is not None:
+        outside = outside | (F.col(value_column) > upper_bound)
+    return outside
+
+
+def _bounds_texts(value_column: str, lower_bound: float | None, upper_bound: float | None) -> tuple[str, str]:
+    """What a result says that has passed, and one with %d values at fault."""
+    limits = [f"{end} {bound}" for end, bound in (("lower", lower_bound), ("upper", upper_bound)) if bound is not None]
+    fine = f"all values of {value_column} are within bounds" if limits else "no bounds given"
+    return fine, f"%d values of {value_column} are out of bounds ({', '.join(limits)})"
+
+
 def validate_bounds(
     df: DataFrame,
     dataset: str,
@@ -113,35 +129,22 @@ def validate_bounds(
     named = [value_column] + ([identifier_column] if identifier_column else [])
     if absent := _absent(df, dataset, check, named):
         return absent
-    outside = F.lit(False)
-    limits = []
-    if lower_bound is not None:
-        outside = outside | (F.col(value_column) < lower_bound)
-        limits.append(f"lower {lower_bound}")
-    if upper_bound is not None:
-        outside = outside | (F.col(value_column) > upper_bound)
-        limits.append(f"upper {upper_bound}")
+    outside = _outside(value_column, lower_bound, upper_bound)
+    fine, wrong = _bounds_texts(value_column, lower_bound, upper_bound)
     counted = df.groupBy(*_keys(by)).agg(
         F.count_if(outside).alias("error_count"),
         F.count_if(outside).alias("affected_groups_count"),
     )
-    fine = f"all values of {value_column} are within bounds" if limits else "no bounds given"
     return Validation(
-        _report(
-            counted,
-            dataset,
-            check,
-            by,
-            fine,
-            F.format_string(
-                f"%d values of {value_column} are out of bounds ({', '.join(limits)})",
-                "error_count",
-            ),
-        ),
+        _report(counted, dataset, check, by, fine, F.format_string(wrong, "error_count")),
         _affected(df.filter(outside), dataset, check, by, list(reversed(named)), F.lit(1)),
     )
 
 
+def _not_allowed(value_column: str, allowed_values: list[Any]) -> Column:
+    return F.col(value_column).isNotNull() & ~F.col(value_column).isin(*allowed_values)
+
+
 def validate_allowed_values(
     df: DataFrame,
     dataset: str,
@@ -154,7 +157,7 @@ def validate_allowed_values(
     if absent := _absent(df, dataset, check, [value_column]):
         return absent
     value = F.col(value_column)
-    wrong = value.isNotNull() & ~value.isin(*allowed_values)
+    wrong = _not_allowed(value_column, allowed_values)
     # All allowed values share one group (null), so only wrong values are spread out.
     per_value = df.groupBy(*_keys(by), F.when(wrong, value).alias(value_column)).agg(
         F.count_if(wrong).alias("_n")
@@ -305,6 +308,54 @@ def run_checks(
     return [CHECKS[name](df, dataset, by=by, **params) for name, params in checks.items()]
 
 
+class Watched:
+    """Row-by-row checks of a table that are counted by the job that writes it.
+
+    Write ``table`` once, without a shuffle in between, so that a task that runs again is counted
+    once; then ``results`` has what ``run_checks`` would have, from the counts where rows decide one by
+    one, and from the stored table for checks of groups and where something is at fault.
+    """
+
+    def __init__(self, df: DataFrame, dataset: str, checks: Mapping[str, Mapping[str, Any]]):
+        if unknown := [name for name in checks if name not in CHECKS]:
+            raise ValueError(f"unknown checks: {', '.join(unknown)}")
+        self.dataset, self.checks = dataset, checks
+        self.faults: dict[str, Column] = {}
+        for name, params in checks.items():
+            column = params.get("value_column")
+            named = [column, params.get("identifier_column") or column]
+            if name == "validate_bounds" and not missing_columns(df, named):
+                self.faults[name] = _outside(column, params.get("lower_bound"), params.get("upper_bound"))
+            elif name == "validate_allowed_values" and not missing_columns(df, named):
+                self.faults[name] = _not_allowed(column, params["allowed_values"])
+        self.observation = Observation()
+        counts = [F.count_if(fault).alias(name) for name, fault in self.faults.items()]
+        self.table = df.observe(self.observation, *counts) if counts else df
+
+    def _counted(self, stored: DataFrame, name: str, n: int) -> Validation:
+        params = self.checks[name]
+        spark = stored.sparkSession
+        if name == "validate_bounds":
+            fine, wrong = _bounds_texts(params["value_column"], params.get("lower_bound"), params.get("upper_bound"))
+        else:
+            fine, wrong = f"all values of {params['value_column']} are allowed", ""
+        row = (self.dataset, name, n == 0, n, wrong % n if n else fine, n)
+        report = spark.createDataFrame([row], REPORT)
+        affected = CHECKS[name](stored, self.dataset, **params).affected if n else spark.createDataFrame([], AFFECTED)
+        return Validation(report, affected)
+
+    def results(self, stored: DataFrame) -> list[Validation]:
+        counts = self.observation.get if self.faults else {}
+        found = []
+        for name, params in self.checks.items():
+            # How many different values are not allowed is known only by grouping them.
+            if name in counts and (name == "validate_bounds" or not counts[name]):
+                found.append(self._counted(stored, name, counts[name]))
+            else:
+                found.append(CHECKS[name](stored, self.dataset, **params))
+        return found
+
+
 def validation_report(results: list[Validation], include_passed: bool = False) -> DataFrame:
     """All results in one table, only the failed ones by default."""
     together = reduce(DataFrame.unionByName, [r.report for r in results])

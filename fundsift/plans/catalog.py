@@ -294,7 +294,7 @@ _REPAIR_CHECKS = [
     ("check_redundant_quotes", "hit_odd", "redundant quotes", "removed"),
     ("check_malformed_quotes", "hit_even", "malformed quotes", "doubled"),
 ]
-_RAW_REPORT_SQL = " UNION ALL ".join(
+RAW_REPORT_SQL = " UNION ALL ".join(
     f"""SELECT 'documents/' || file AS dataset_name, '{name}' AS validation_name,
         CASE WHEN count_if({hit}) > 0 THEN 'fixed' ELSE 'passed' END AS status,
         'fix' AS strategy_applied,
@@ -312,7 +312,7 @@ def _raw_report(t: Tables) -> DataFrame:
     return result.report.drop("timestamp")
 
 
-@query("raw_validation_report", _RAW_REPORT_SQL)
+@query("raw_validation_report", RAW_REPORT_SQL)
 def _(t):
     return _raw_report(t)
 
@@ -330,9 +330,9 @@ def _(t):
 
 @query(
     "raw_validation_summary",
-    f"""SELECT 'status' AS kind, status AS name, count(*) AS n FROM ({_RAW_REPORT_SQL})
+    f"""SELECT 'status' AS kind, status AS name, count(*) AS n FROM ({RAW_REPORT_SQL})
         GROUP BY status UNION ALL
-        SELECT 'validation_name', validation_name, count(*) FROM ({_RAW_REPORT_SQL})
+        SELECT 'validation_name', validation_name, count(*) FROM ({RAW_REPORT_SQL})
         GROUP BY validation_name""",
 )
 def _(t):

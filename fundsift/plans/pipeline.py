@@ -271,24 +271,22 @@ def run(raw: Raw, settings: Settings) -> Ranking:
     return rank_funds(evidence, prim.characteristics, settings)
 
 
-def check_tables(raw: Raw, inter: Intermediate, prim: Primary) -> list[quality.Validation]:
-    """The configured checks of input and output tables, input ones per file."""
-    tables = {
-        "funds_in_scope": inter.scope,
-        "daily_quotas": inter.daily_quotas,
-        "monthly_pl": inter.monthly_pl,
-        "daily_nav": prim.daily_nav,
-        "daily_returns": prim.daily_returns,
-        "nav_per_period": prim.nav_per_period,
-        "instrument_prices": prim.instrument_prices,
-    }
+def check_inputs(raw: Raw) -> list[quality.Validation]:
+    """The configured checks of input tables, per file where files are known."""
     incoming = {"monthly_nav": files.unify_names(raw.monthly_nav), "blc_5": raw.family("blc_5")}
     results = []
     for name, table in incoming.items():
         by = "file_name" if "file_name" in table.columns else None
         results += quality.run_checks(table, name, INPUT_CHECKS[name], by)
-    for name, table in tables.items():
-        results += quality.run_checks(table, name, OUTPUT_CHECKS[name])
+    return results
+
+
+def check_tables(raw: Raw, inter: Intermediate, prim: Primary) -> list[quality.Validation]:
+    """The configured checks of input and output tables, input ones per file."""
+    results = check_inputs(raw)
+    made = {**_tables(inter), **_tables(prim)}
+    for name, checks in OUTPUT_CHECKS.items():
+        results += quality.run_checks(made[name], name, checks)
     return results
 
 
@@ -303,12 +301,28 @@ def write_results(ranking: Ranking, root: str) -> None:
 Stage = TypeVar("Stage", Intermediate, Primary)
 
 
+def _tables(stage: Stage) -> dict[str, DataFrame]:
+    """Tables of a stage by the names that the configured checks use."""
+    named = {f.name: getattr(stage, f.name) for f in fields(stage)}
+    return {"funds_in_scope" if name == "scope" else name: table for name, table in named.items()}
+
+
 def store(stage: Stage, root: str) -> Stage:
     """Write every table of a stage below ``root``; the same stage, read back from there."""
-    stored = {
-        f.name: sinks.write_table(getattr(stage, f.name), f"{root}/{f.name}") for f in fields(stage)
-    }
-    return type(stage)(**stored)
+    return store_checked(stage, root)[0]
+
+
+def store_checked(stage: Stage, root: str) -> tuple[Stage, list[quality.Validation]]:
+    """As ``store``, with the configured checks of its tables.
+
+    What rows decide one by one is counted while they are written.
+    """
+    stored, results = {}, []
+    for field, (name, table) in zip(fields(stage), _tables(stage).items()):
+        watched = quality.Watched(table, name, OUTPUT_CHECKS.get(name, {}))
+        stored[field.name] = sinks.write_table(watched.table, f"{root}/{field.name}")
+        results += watched.results(stored[field.name])
+    return type(stage)(**stored), results
 
 
 def load(kind: type[Stage], spark: SparkSession, root: str) -> Stage:
@@ -328,8 +342,8 @@ def run_and_store(
     tables of the one before.
     """
     settings = with_reference_dates(raw, settings)
-    inter = store(intermediate(raw, settings), f"{root}/intermediate")
-    prim = store(primary_tables(inter, raw.registry, settings), f"{root}/primary")
+    inter, found = store_checked(intermediate(raw, settings), f"{root}/intermediate")
+    prim, more = store_checked(primary_tables(inter, raw.registry, settings), f"{root}/primary")
     evidence = sinks.write_table(
         evidence_per_fund(
             prim.daily_returns, inter.holdings, prim.characteristics, prim.managers, settings
@@ -338,7 +352,7 @@ def run_and_store(
     )
     ranking = rank_funds(evidence, prim.characteristics, settings)
     write_results(ranking, f"{root}/ranking")
-    results = check_tables(raw, inter, prim)
+    results = [*check_inputs(raw), *found, *more]
     reports = f"{root}/reports"
     sinks.write_table(quality.validation_report(results, include_passed=True), f"{reports}/quality")
     sinks.write_table(quality.affected_report(results), f"{reports}/quality_affected")

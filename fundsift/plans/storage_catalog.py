@@ -1,4 +1,4 @@
-"""Registered queries over stored tables: split files, periods, buckets, monthly moments."""
+"""Registered queries over stored tables: split files, periods, buckets, monthly moments, whole runs."""
 
 from __future__ import annotations
 
@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundsift.config import RATING_ORDER
 from fundsift.functions import columns as fc
-from fundsift.operators import features, moments, primary, repair
+from fundsift.operators import features, moments, primary, quality, repair
 from fundsift.plans import oracle as o
+from fundsift.plans import pipeline
 from fundsift.plans.bindings import Tables, small_splits
-from fundsift.plans.catalog import query
+from fundsift.plans.catalog import RAW_REPORT_SQL, query
 from fundsift.plans.oracle import r6
 from fundsift.session import materialize, scratch_path
 from fundsift.sources import files, periods, records, sinks
@@ -198,3 +200,127 @@ def _(t: Tables) -> DataFrame:
     periods.write_periods(moments.monthly_moments(returns.filter(F.col("period") <= last)), path)
     periods.write_periods(moments.monthly_moments(returns.filter(F.col("period") > last)), path)
     return moments.by_month(periods.read_periods(t.spark, path), t.settings)
+
+
+# -- a whole run with its reports -----------------------------------------------------------
+
+_SCOPED = "cnpj IN (SELECT cnpj FROM funds_in_scope)"
+
+
+def _result(dataset: str, check: str, source: str, errors: str, groups: str, fine: str, wrong: str) -> str:
+    return f"""SELECT 'quality' AS report, '{dataset}' AS dataset_name, '{check}' AS validation_name,
+        CASE WHEN {errors} = 0 THEN 'passed' ELSE 'failed' END AS status, CAST({errors} AS BIGINT) AS n,
+        CASE WHEN {errors} = 0 THEN '{fine}' ELSE {wrong} END AS details, CAST({groups} AS BIGINT) AS n_affected FROM {source}"""
+
+
+def _unique(dataset: str, source: str, columns: str) -> str:
+    repeated = f"(SELECT count(*) AS n FROM (SELECT 1 FROM {source} GROUP BY {columns} HAVING count(*) > 1))"
+    return _result(dataset, "validate_uniqueness", repeated, "n", "n", "no group occurs twice", "n || ' groups occur more than once'")
+
+
+def _not_negative(dataset: str, source: str, column: str, name: str) -> str:
+    counted = f"(SELECT count_if({column} < 0) AS n FROM {source})"
+    wrong = f"n || ' values of {name} are out of bounds (lower 0)'"
+    return _result(dataset, "validate_bounds", counted, "n", "n", f"all values of {name} are within bounds", wrong)
+
+
+def _complete(dataset: str, source: str, gaps: str, unit: str) -> str:
+    counted = f"(SELECT sum(missing) AS m, count_if(missing > 0) AS g FROM ({gaps.format(source=source)}))"
+    wrong = f"g || ' groups have gaps (' || m || ' missing {unit})'"
+    return _result(dataset, "validate_time_completeness", counted, "m", "g", f"no group misses any {unit}", wrong)
+
+
+_DAYS = """SELECT (SELECT count(DISTINCT date) FROM {source} WHERE date BETWEEN low AND high) - actual AS missing
+    FROM (SELECT min(date) AS low, max(date) AS high, count(DISTINCT date) AS actual FROM {source} GROUP BY cnpj)"""
+_MONTHS = """SELECT max(m) - min(m) + 1 - count(DISTINCT m) AS missing
+    FROM (SELECT cnpj, year(dt) * 12 + month(dt) AS m FROM {source}) GROUP BY cnpj"""
+_NAV_IN_SCOPE = f"(SELECT * FROM daily_nav WHERE {_SCOPED})"
+_RETURNS_IN_SCOPE = f"(SELECT * FROM returns WHERE {_SCOPED})"
+_QUOTAS_IN_SCOPE = f"(SELECT * FROM quotas WHERE {_SCOPED})"
+_MONTHS_IN_SCOPE = f"(SELECT * FROM monthly_nav_raw WHERE {_SCOPED})"
+_WRONG_RATINGS = f"""(SELECT rating FROM positions WHERE blc_type = 'blc_5' AND rating NOT IN ({o.text_list(RATING_ORDER)}))"""
+_QUALITY_SQL = " UNION ALL ".join(
+    [
+        _unique("monthly_nav", "monthly_nav_raw", "raw_id, dt, nav"),
+        _not_negative("monthly_nav", "monthly_nav_raw", "nav", "VL_PATRIM_LIQ"),
+        _result(
+            "blc_5",
+            "validate_allowed_values",
+            f"(SELECT count(*) AS n, count(DISTINCT rating) AS v FROM {_WRONG_RATINGS})",
+            "n",
+            "v",
+            "all values of GRAU_RISCO are allowed",
+            "n || ' rows have a value that is not allowed'",
+        ),
+        _unique("funds_in_scope", "funds_in_scope", "cnpj"),
+        _unique("daily_quotas", _QUOTAS_IN_SCOPE, "cnpj, dt"),
+        _not_negative("daily_quotas", _QUOTAS_IN_SCOPE, "quota", "VL_QUOTA"),
+        _unique("monthly_pl", _MONTHS_IN_SCOPE, "cnpj, dt"),
+        _not_negative("monthly_pl", _MONTHS_IN_SCOPE, "nav", "VL_PATRIM_LIQ"),
+        _complete("daily_nav", _NAV_IN_SCOPE, _DAYS, "days"),
+        _unique("daily_nav", _NAV_IN_SCOPE, "cnpj, date"),
+        _complete("daily_returns", _RETURNS_IN_SCOPE, _DAYS, "days"),
+        _unique("daily_returns", _RETURNS_IN_SCOPE, "cnpj, date"),
+        _complete("nav_per_period", _MONTHS_IN_SCOPE, _MONTHS, "months"),
+        _unique("nav_per_period", _MONTHS_IN_SCOPE, "cnpj, dt"),
+        # Instrument ids are numbered, so they cannot repeat.
+        _result("instrument_prices", "validate_uniqueness", "(SELECT 0 AS n)", "n", "n", "no group occurs twice", "NULL"),
+    ]
+)
+_REPAIR_SQL = f"""SELECT 'repair' AS report, dataset_name, validation_name, status, affected_lines_count AS n, details,
+    affected_lines_count AS n_affected FROM ({RAW_REPORT_SQL})"""
+
+
+@query("end_to_end_reports", f"{_QUALITY_SQL} UNION ALL {_REPAIR_SQL}")
+def _(t: Tables) -> DataFrame:
+    """All results that a stored run keeps, with the number of rows at fault that it keeps for each."""
+    root = scratch_path(t.spark, "run")
+    pipeline.run_and_store(t.raw(), t.settings, root, {"documents": t.document_lines()})
+
+    def kept(name: str) -> DataFrame:
+        return sinks.read_table(t.spark, f"{root}/reports/{name}")
+
+    def with_faults(report: DataFrame, affected: DataFrame, keys: list[str]) -> DataFrame:
+        counts = affected.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_affected"))
+        return report.join(counts, keys, "left").withColumn("n_affected", F.coalesce("n_affected", F.lit(0)))
+
+    keys = ["dataset_name", "validation_name"]
+    checks = with_faults(kept("quality"), kept("quality_affected"), keys)
+    lines = kept("repair_affected").withColumn("dataset_name", F.concat(F.lit("documents/"), "file"))
+    repairs = with_faults(kept("repair"), lines, keys)
+    columns = [*keys, "status", "n", "details", "n_affected"]
+    both = [
+        checks.withColumnRenamed("error_count", "n").select(F.lit("quality").alias("report"), *columns),
+        repairs.withColumnRenamed("affected_lines_count", "n").select(F.lit("repair").alias("report"), *columns),
+    ]
+    return both[0].unionByName(both[1])
+
+
+_NEGATIVE = "count_if(c_acctbal < 0)"
+_NOT_ALLOWED = "o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')"
+
+
+@query(
+    "checks_while_writing",
+    f"""SELECT * EXCLUDE (report) FROM ({_not_negative("customer", "customer", "c_acctbal", "c_acctbal")} UNION ALL
+        {_result("orders", "validate_allowed_values",
+                 f"(SELECT count_if({_NOT_ALLOWED}) AS n, count(DISTINCT CASE WHEN {_NOT_ALLOWED} THEN o_orderpriority END) AS v FROM orders)",
+                 "n", "v", "all values of o_orderpriority are allowed", "n || ' rows have a value that is not allowed'")} UNION ALL
+        {_result("orders", "validate_bounds", "(SELECT count_if(o_totalprice < 0 OR o_totalprice > 1e9) AS n FROM orders)", "n", "n",
+                 "all values of o_totalprice are within bounds", "n || ' values of o_totalprice are out of bounds'")})""",
+)
+def _(t: Tables) -> DataFrame:
+    """Checks of two tables, counted by the jobs that store them."""
+    wanted = {
+        "customer": {"validate_bounds": {"value_column": "c_acctbal", "lower_bound": 0}},
+        "orders": {
+            "validate_allowed_values": {"value_column": "o_orderpriority", "allowed_values": ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]},
+            "validate_bounds": {"value_column": "o_totalprice", "lower_bound": 0, "upper_bound": 1e9},
+        },
+    }
+    results = []
+    for name, checks in wanted.items():
+        watched = quality.Watched(t.read(name), name, checks)
+        results += watched.results(sinks.write_table(watched.table, scratch_path(t.spark, name)))
+    report = quality.validation_report(results, include_passed=True).drop("timestamp")
+    return report.withColumnsRenamed({"error_count": "n", "affected_groups_count": "n_affected"})

@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from fundsift.operators import quality as q
+from fundsift.sources import sinks
 
 from .conftest import rows
 
@@ -99,3 +101,43 @@ def test_report(table):
     assert q.affected_report(results).count() == 2
     with pytest.raises(ValueError, match="validate_bound"):
         q.run_checks(table, "t", {"validate_bound": {}})
+
+
+WATCHED = {
+    "validate_bounds": {"value_column": "x", "identifier_column": "id", "lower_bound": 0},
+    "validate_allowed_values": {"value_column": "kind", "allowed_values": ["a", "b"]},
+    "validate_uniqueness": {"group_columns": ["id"]},
+}
+
+
+@pytest.mark.parametrize(
+    "data",
+    [[], [(1, 1.0, "a"), (2, None, None)], [(1, -1.0, "a"), (1, 2.0, "z"), (3, -5.0, "y"), (4, 0.0, "z")]],
+)
+def test_watched_checks_equal_those_of_the_stored_table(spark, tmp_path, data):
+    table = spark.createDataFrame(data, "id long, x double, kind string")
+    watched = q.Watched(table, "t", WATCHED)
+    assert "CollectMetrics" in watched.table._jdf.queryExecution().executedPlan().toString()
+    stored = sinks.write_table(watched.table, str(tmp_path / "t"))
+    found, expected = watched.results(stored), q.run_checks(stored, "t", WATCHED)
+    for name in ("validation_report", "affected_report"):
+        merge = getattr(q, name)
+        together = [merge(r, **({"include_passed": True} if name == "validation_report" else {})).drop("timestamp") for r in (found, expected)]
+        assert rows(together[0]) == rows(together[1])
+
+
+def test_watched_checks_name_missing_columns(spark, tmp_path):
+    table = spark.createDataFrame([(1,)], "id long")
+    watched = q.Watched(table, "t", {"validate_bounds": {"value_column": "no", "lower_bound": 0}})
+    (result,) = watched.results(sinks.write_table(watched.table, str(tmp_path / "t")))
+    assert result.report.first().details == "column not found: no"
+    with pytest.raises(ValueError, match="unknown checks"):
+        q.Watched(table, "t", {"no_such_check": {}})
+
+
+def test_passed_row_checks_read_nothing_again(spark, tmp_path):
+    table = spark.range(10).withColumn("x", F.lit(1.0))
+    watched = q.Watched(table, "t", {"validate_bounds": {"value_column": "x", "lower_bound": 0}})
+    (result,) = watched.results(sinks.write_table(watched.table, str(tmp_path / "t")))
+    plan = result.report._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and result.affected.count() == 0
