@@ -155,8 +155,7 @@ def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_maxent(spark: SparkSession, folder: str) -> DataFrame:
     held_out = remainder(F.col("doc_id"), 5) == 1
-    part = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(maxent.ROUNDS))
-    scored = maxent.score(table(spark, folder, "documents"), ~held_out, part)
+    scored = maxent.score(table(spark, folder, "documents"), ~held_out)
     return scored.withColumn("held_out", held_out).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

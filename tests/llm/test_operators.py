@@ -335,7 +335,7 @@ def test_blocks_of_articles():
 
 def test_scores(odd_docs, odd_rows, no_docs):
     learn = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(5)) != 1
-    rows = maxent.score(odd_docs, learn, F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(maxent.ROUNDS))).collect()
+    rows = maxent.score(odd_docs, learn).collect()
     counts = Counter()
     for doc_id, text, *_ in odd_rows:
         if (doc_id or 0) % 5 != 1:
@@ -348,16 +348,75 @@ def test_scores(odd_docs, odd_rows, no_docs):
         expected[doc_id, len(tokens), sum(counts[t] > 0 for t in tokens), n, round(base, 5)] += 1
     assert Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in rows) == expected
     assert all(r.score < 0 for r in rows)
-    untrained = maxent.score(odd_docs, F.lit(False), F.lit(0)).collect()
+    untrained = maxent.score(odd_docs, F.lit(False)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and abs(r.base_score) < 1e-6 for r in untrained)
-    assert maxent.score(no_docs, F.lit(True), F.lit(0)).count() == 0
+    assert maxent.score(no_docs, F.lit(True)).count() == 0
 
 
 def test_rare_words_are_joined(odd_docs, monkeypatch):
-    part = F.pmod(F.xxhash64("text"), F.lit(maxent.ROUNDS))
-    plain = sorted(round(r.score, 6) for r in maxent.score(odd_docs, F.lit(True), part).collect())
+    plain = sorted(round(r.score, 6) for r in maxent.score(odd_docs, F.lit(True)).collect())
     monkeypatch.setattr(maxent, "SHARE", 0.01)
-    assert sorted(round(r.score, 6) for r in maxent.score(odd_docs, F.lit(True), part).collect()) == plain
+    assert sorted(round(r.score, 6) for r in maxent.score(odd_docs, F.lit(True)).collect()) == plain
+
+
+def test_scores_equal_a_direct_computation(spark):
+    """Two rounds of updates over all documents and the scores, token by token with Python's numbers."""
+    dice = random.Random(6)
+    names = [f"w{k}" for k in range(60)]
+    texts = [" ".join(dice.choices(names, weights=range(60, 0, -1), k=dice.randint(0, 50))) for _ in range(30)] + [None, "Unseen w1 w2"]
+    rows = list(enumerate(texts))
+    learn = [k for k, _ in rows if k % 4]
+    top = sorted(Counter(w for k in learn for w in words(texts[k])).items(), key=lambda x: (-x[1], x[0]))
+    counts, own = dict(top), {w: 1 + k for k, (w, _) in enumerate(top[: maxent.OWN])}
+    place = lambda w: 0 if w is None else own.get(w) or 16 + xxhash.xxh64_intdigest(w, 42) % 16
+    ends = len(learn)
+    sizes, types = [0] * 32, [0] * 32
+    for w, n in [*counts.items(), (None, ends)]:
+        sizes[place(w)] += n
+        types[place(w)] += 1
+    total = sum(sizes)
+    rates = [(n + 0.5) / (total + 16) for n in sizes]
+    numbers = maxent._Numbers(own)
+
+    def tokens(text):
+        """Class and buckets of each token, and the token."""
+        found = words(text)
+        batch = next(maxent.batches_of(iter([(0, [numbers.of(found)] if found else [])]), 13))
+        return list(zip(batch.places.tolist(), zip(*(f.tolist() for f in batch.features), strict=True), [*found, None], strict=True))
+
+    weights: dict = {}
+
+    def shares(buckets):
+        each = [rates[c] * math.exp(sum(weights.get((k, b), [0] * 32)[c] for k, b in enumerate(buckets))) for c in range(32)]
+        return [e / sum(each) for e in each]
+
+    for _ in range(maxent.ROUNDS):
+        sums: dict = {}
+        for k in learn:
+            for c, buckets, _ in tokens(texts[k]):
+                expected = shares(buckets)
+                for f in enumerate(buckets):
+                    seen, model = sums.setdefault(f, ([0] * 32, [0] * 32))
+                    seen[c] += 1
+                    for j in range(32):
+                        model[j] += expected[j]
+        for f, (seen, model) in sums.items():
+            step = [math.log((s + 5 * r) / (m + 5 * r)) / 3 for s, m, r in zip(seen, model, rates, strict=True)]
+            weights[f] = [a + b for a, b in zip(weights.get(f, [0] * 32), step, strict=True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    scored = {r.doc_id: r.score for r in maxent.score(docs, F.col("doc_id") % 4 != 0).collect()}
+    for k, text in rows:
+        expected = 0.0
+        for c, buckets, w in tokens(text):
+            expected += math.log10(shares(buckets)[c])
+            n = ends if w is None else counts.get(w, 0)
+            if c > maxent.OWN:
+                expected += math.log10((n + 0.5) / (sizes[c] + 0.5 * (types[c] + 1)))
+        assert scored[k] == pytest.approx(expected, abs=1e-3)
+
+
+def test_buckets_grow_with_the_tokens():
+    assert [maxent.bucket_bits(n) for n in (0, 10**6, 1 << 27, 1 << 28, 1 << 40)] == [13, 13, 14, 15, 15]
 
 
 # -- repeated passages and merge sort
