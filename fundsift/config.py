@@ -187,6 +187,9 @@ class Settings:
     fund_types: tuple[str, ...] = ("CLASSES - FIF", "FI")
     registry_categories: tuple[str, ...] = ("Renda Fixa",)
     accessability: tuple[str, ...] = ("Não Há Restrição", "Não há Restrição")
+    #: Collation by which texts of the registry and the lists above and of profiles are compared, for
+    #: instance UNICODE_CI_AI, which ignores case and accents; None compares them as they are.
+    collation: str | None = None
     risk_free_rate_annual: float = 0.1371
     fund_age_cap_years: float = 30.0
     gamma_coverage_penalty: float = 0.7

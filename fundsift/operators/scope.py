@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundsift.config import Settings
-from fundsift.functions.columns import as_date, cnpj_to_numeric, period_end
+from fundsift.functions.columns import as_date, cnpj_to_numeric, one_of, period_end
 from fundsift.operators.keys import keep_keys, match_keys
 from fundsift.operators.ranking import top_n
 from fundsift.session import materialize
@@ -20,14 +20,14 @@ RAW_ID = "CNPJ_FUNDO_CLASSE"
 
 
 def filter_fund_types(nav: DataFrame, settings: Settings) -> DataFrame:
-    return nav.filter(F.col("TP_FUNDO_CLASSE").isin(*settings.fund_types))
+    return nav.filter(one_of("TP_FUNDO_CLASSE", settings.fund_types, settings.collation))
 
 
 def filter_registry(registry: DataFrame, settings: Settings) -> DataFrame:
     """Registry rows of the wanted category that the wanted investors may buy."""
     return registry.filter(
-        F.col("Categoria ANBIMA").isin(*settings.registry_categories)
-        & F.col("Tipo de Investidor").isin(*settings.accessability)
+        one_of("Categoria ANBIMA", settings.registry_categories, settings.collation)
+        & one_of("Tipo de Investidor", settings.accessability, settings.collation)
     )
 
 

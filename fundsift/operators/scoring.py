@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundsift.config import FEATURE_WEIGHTS, Profile, Settings
-from fundsift.functions.columns import cnpj_to_formatted, is_finite
+from fundsift.functions.columns import cnpj_to_formatted, is_finite, one_of
 from fundsift.operators.ranking import rank_within, top_n
 
 
@@ -98,15 +98,15 @@ def scores_per_profile(scores: DataFrame, settings: Settings) -> DataFrame:
     return rank_profiles(profile_scores(scores, settings))
 
 
-def profile_filter(profiles: tuple[Profile, ...]) -> Column:
+def profile_filter(profiles: tuple[Profile, ...], collation: str | None = None) -> Column:
     """True where a row meets the allow-lists of its profile."""
     rules = []
     for p in profiles:
         wanted = []
         if p.target_investor_profile is not None:
-            wanted.append(F.col("target_investor_type").isin(*p.target_investor_profile))
+            wanted.append(one_of("target_investor_type", p.target_investor_profile, collation))
         if p.allowed_fund_subtypes is not None:
-            wanted.append(F.col("fund_subtype").isin(*p.allowed_fund_subtypes))
+            wanted.append(one_of("fund_subtype", p.allowed_fund_subtypes, collation))
         if wanted:
             rules.append((F.col("investor_profile") != p.name) | reduce(and_, wanted))
     return reduce(and_, rules) if rules else F.lit(True)
@@ -124,7 +124,7 @@ def eligible(
         scored.filter(F.col("score").isNotNull())
         .join(passing, "cnpj", "left_semi")
         .join(attributes, "cnpj", "left")
-        .filter(profile_filter(settings.profiles))
+        .filter(profile_filter(settings.profiles, settings.collation))
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import types as T
 
 from fundsift.config import RATING_ORDER
 from fundsift.functions import columns as fc
-from fundsift.operators import features, moments, primary, quality, repair
+from fundsift.functions import quantile
+from fundsift.operators import arrivals, features, moments, primary, quality, repair, scope
 from fundsift.plans import oracle as o
 from fundsift.plans import pipeline
 from fundsift.plans.bindings import Tables, small_splits
@@ -324,3 +326,63 @@ def _(t: Tables) -> DataFrame:
         results += watched.results(sinks.write_table(watched.table, scratch_path(t.spark, name)))
     report = quality.validation_report(results, include_passed=True).drop("timestamp")
     return report.withColumnsRenamed({"error_count": "n", "affected_groups_count": "n_affected"})
+
+
+_SHARES = [0.01, 0.25, 0.5, 0.95, 0.999]
+_MEASURES = {"price": "l_extendedprice", "discount": "l_discount"}
+
+
+@query(
+    "quantiles_from_sketches",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS measure, {o.num(share)} AS share, {r6(f"max(CASE WHEN i = floor((n - 1) * {o.num(share)} + 0.5e0) + 1 THEN v END)")} AS value
+            FROM (SELECT {column} AS v, row_number() OVER (ORDER BY {column}) AS i, count(*) OVER () AS n FROM lineitem)"""
+        for name, column in _MEASURES.items()
+        for share in _SHARES
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """Exact quantiles of a table whose periods have stored sketches, the newest of them added last."""
+    path = scratch_path(t.spark, "sketches")
+    items = t.read("lineitem").select(
+        fc.period_of(F.to_date("l_shipdate")).alias("period"), *[F.col(c).alias(name) for name, c in _MEASURES.items()]
+    )
+    newest = items.agg(F.max("period")).first()[0]
+    for part in (F.col("period") < newest, F.col("period") == newest):
+        periods.write_periods(quantile.sketches_by(items.filter(part), list(_MEASURES)), path)
+    found = quantile.nearest_quantiles(items, list(_MEASURES), _SHARES, max_pick=500, sketches=periods.read_periods(t.spark, path))
+    rows = [(name, share, value) for name, values in found.items() for share, value in zip(_SHARES, values)]
+    return t.spark.createDataFrame(rows, "measure string, share double, value double")
+
+
+@query(
+    "filter_by_spelling",
+    f"""SELECT cnpj, commercial_name, accessability, anbima_category_main AS category FROM registry_kept""",
+)
+def _(t: Tables) -> DataFrame:
+    """One spelling in the settings finds the registry rows of all, whatever their case and accents."""
+    settings = replace(t.settings, registry_categories=("RENDA FIXA",), accessability=("nao ha restricao",), collation="UNICODE_CI_AI")
+    kept = scope.filter_registry(t.registry(), settings)
+    return kept.select(
+        F.col("CNPJ do Fundo").alias("cnpj"),
+        F.col("Nome Comercial").alias("commercial_name"),
+        F.col("Tipo de Investidor").alias("accessability"),
+        F.col("Categoria ANBIMA").alias("category"),
+    )
+
+
+@query(
+    "returns_month_by_month",
+    f"""SELECT cnpj, date, period, {r6('quota_value')} AS quota_value, {r6('quota_value_previous')} AS quota_value_previous,
+        {r6('daily_return')} AS daily_return FROM returns""",
+)
+def _(t: Tables) -> DataFrame:
+    """Months of daily NAV arrive in three parts, each read by a run of its own."""
+    source, target, checkpoint = (scratch_path(t.spark, name) for name in ("arrived", "returns", "progress"))
+    nav = materialize(t.daily_nav())
+    low, high = nav.approxQuantile("period", [0.4, 0.8], 0.0)
+    month = F.col("period")
+    for part in (month <= low, (month > low) & (month <= high), month > high):
+        nav.filter(part).write.mode("append").parquet(source)
+        returns = arrivals.add_arrived(t.spark, source, target, checkpoint)
+    return returns

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundsift.config import Settings
-from fundsift.operators import features, moments, primary
+from fundsift.functions import quantile
+from fundsift.functions.columns import one_of
+from fundsift.operators import arrivals, features, moments, primary
 from fundsift.plans.bindings import small_splits
 from fundsift.session import materialize
 from fundsift.sources import files, periods, records, sinks
@@ -212,3 +214,71 @@ def test_moments_of_odd_returns(spark):
     found = moments.by_month(moments.monthly_moments(returns), Settings())
     assert [(r.cnpj, r.period, r.volatility is None) for r in found.orderBy("period").collect()] == [(1, 202401, True), (1, 202405, False)]
     assert moments.by_month(moments.monthly_moments(returns.limit(0)), Settings()).count() == 0
+
+
+# -- months that arrive
+
+
+def test_months_that_arrive_give_the_returns_of_all(spark, nav, tmp_path):
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    parts = [nav.filter("period <= 202403"), nav.filter("period = 202404 OR period = 202405"), nav.filter("period > 202405")]
+    counts = []
+    for part in parts:
+        part.repartition(3).write.mode("append").parquet(source)
+        table = arrivals.add_arrived(spark, source, target, progress)
+        counts.append(table.count())
+        assert arrivals.add_arrived(spark, source, target, progress).count() == counts[-1]
+    assert counts == sorted(counts) and counts[0] < counts[-1]
+    expected = primary.daily_returns(nav).drop("date_rank")
+    assert rows(table, *expected.columns) == rows(expected)
+
+
+def test_zero_and_single_quotas_that_arrive(spark, tmp_path):
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    day = dt.date(2024, 1, 2)
+    for n, data in enumerate([[(1, 0.0), (2, 5.0)], [(1, 4.0), (3, 1.0)], [(1, 6.0), (2, 10.0)]]):
+        when = day + dt.timedelta(days=31 * n)
+        spark.createDataFrame([(c, when, 202401 + n, v) for c, v in data], arrivals.NAV).write.mode("append").parquet(source)
+        table = arrivals.add_arrived(spark, source, target, progress)
+    assert rows(table, "cnpj", "period", "daily_return") == [(1, 202403, 0.5), (2, 202403, 1.0)]
+
+
+def test_a_row_that_arrives_late_is_an_error(spark, tmp_path):
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    for day in (dt.date(2024, 2, 1), dt.date(2024, 1, 1)):
+        spark.createDataFrame([(1, day, 202401, 1.0)], arrivals.NAV).write.mode("append").parquet(source)
+        if day.month == 2:
+            arrivals.add_arrived(spark, source, target, progress)
+    with pytest.raises(Exception, match="arrived after"):
+        arrivals.add_arrived(spark, source, target, progress)
+
+
+# -- sketches and spelling
+
+
+@pytest.mark.parametrize("max_pick", [50, 100_000])
+def test_quantiles_from_sketches(spark, max_pick):
+    dice = random.Random(2)
+    data = [(k % 7, dice.choice([None, float("nan"), dice.gauss(0, 1), 1.0, 1.0]), float(k % 3), None) for k in range(5000)]
+    table = materialize(spark.createDataFrame(data, "period int, x double, y double, z double"))
+    columns, shares = ["x", "y", "z"], [0.0, 0.01, 0.33, 0.5, 0.99, 1.0]
+    sketches = materialize(quantile.sketches_by(table, columns))
+    found = quantile.nearest_quantiles(table, columns, shares, max_pick=max_pick, sketches=sketches)
+    assert found == quantile.nearest_quantiles(table, columns, shares)
+    assert found["z"] == [None] * 6
+
+
+def test_sketches_of_other_rows_are_an_error(spark):
+    table = spark.range(1000).select(F.lit(1).alias("period"), F.col("id").cast("double").alias("x"))
+    sketches = quantile.sketches_by(table.filter("x < 900"), ["x"])
+    with pytest.raises(ValueError, match="1000 values, its sketches 900"):
+        quantile.nearest_quantiles(table, ["x"], [0.5], max_pick=10, sketches=sketches)
+    none = quantile.nearest_quantiles(table.limit(0), ["x"], [0.5], sketches=quantile.sketches_by(table.limit(0), ["x"]))
+    assert none == {"x": [None]}
+
+
+def test_spelling_by_collation(spark):
+    texts = ["Não há Restrição", "NAO HA RESTRICAO", "não  há restrição", "Restrito", None]
+    table = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.t for r in table.filter(one_of("t", ["nao ha restricao"], "UNICODE_CI_AI")).collect()] == texts[:2]
+    assert [r.t for r in table.filter(one_of("t", ["Não há Restrição"])).collect()] == texts[:1]
