@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -33,11 +34,14 @@ INLINE = set(
 ALONE = set("p li dt dd tr td th option".split())
 DROPPED = set("head".split())
 BOILERPLATE_TAGS = set("nav footer aside form dialog menu button".split())
+#: Of these, elements that some pages put around everything they have.
+WRAPPERS = set("form aside dialog".split())
 CONTENT_TAGS = set("article main".split())
 BOILERPLATE_WORDS = set(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs byline comment comments consent cookie cookies "
-    "copyright disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice overlay "
-    "pager pagination popup promo promoted recommended related reply respond search share sharing sidebar signup skip "
+    "copyright discussion disqus feedback footer form gdpr header login masthead menu modal nav navbar navigation newsletter "
+    "notice overlay pager pagination popup promo promoted reactions recommended related replies reply respond responses "
+    "search share sharing sidebar signup skip "
     "social sponsor sponsored subscribe tags toolbar widget".split()
 )
 CONTENT_WORDS = set("article articlebody body content entry main post story text".split())
@@ -50,7 +54,7 @@ FEATURES = [
 
 class Block(NamedTuple):
     text: str
-    path: tuple[int, ...]  # numbers of the open elements, outermost first
+    element: int  # number of the innermost open element
     tag: str
     linked: int  # characters inside links
 
@@ -59,7 +63,9 @@ class Element(NamedTuple):
     number: int
     name: str
     marks: frozenset[str]
-    hidden: bool
+    hidden: bool  # by itself or by an element around it
+    parent: int  # number of the element around it, smaller than its own; the root is its own parent
+    depth: int
 
 
 def _hides(attrs: str) -> bool:
@@ -75,15 +81,16 @@ def _hides(attrs: str) -> bool:
 
 
 class Page:
-    """Blocks in page order; ``elements`` by number."""
+    """Blocks in page order; ``elements`` by number. Reading takes time in proportion to the source, however deep it is nested."""
 
     def __init__(self, source: str | None):
         self.blocks: list[Block] = []
-        self.elements: list[Element] = [Element(0, "", frozenset(), False)]
+        self.elements: list[Element] = [Element(0, "", frozenset(), False, 0, 0)]
         self._read(source or "")
 
     def _read(self, source: str) -> None:
         stack = [self.elements[0]]
+        opened: Counter[str] = Counter()  # open elements by name
         text: list[str] = []
         linked = links = at = 0
 
@@ -91,8 +98,8 @@ class Page:
             nonlocal text, linked
             if text:
                 joined = _SPACE.sub(" ", html.unescape("".join(text))).strip()
-                if joined and not any(e.hidden or e.name in DROPPED for e in stack):
-                    self.blocks.append(Block(joined, tuple(e.number for e in stack), stack[-1].name, linked))
+                if joined and not stack[-1].hidden:
+                    self.blocks.append(Block(joined, stack[-1].number, stack[-1].name, linked))
                 text, linked = [], 0
 
         def add(piece: str) -> None:
@@ -101,6 +108,10 @@ class Page:
             if links:
                 linked += len(piece)
 
+        def end(size: int) -> None:
+            while len(stack) > size:
+                opened[stack.pop().name] -= 1
+
         for m in _TAG.finditer(source):
             if m.start() > at:
                 add(source[at : m.start()])
@@ -116,56 +127,75 @@ class Page:
                 continue
             flush()
             if m["close"]:
-                if any(e.name == name for e in stack[1:]):
-                    while stack.pop().name != name:
-                        pass
+                if opened[name]:
+                    while stack[-1].name != name:
+                        end(len(stack) - 1)
+                    end(len(stack) - 1)
                 continue
             if name in ALONE:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].name == name:
-                        del stack[k:]
+                        end(k)
                         break
                     if stack[k].name not in ALONE:
                         break
             elif len(stack) > 1 and stack[-1].name == "p":
-                stack.pop()  # a block element ends an open paragraph
+                end(len(stack) - 1)  # a block element ends an open paragraph
             if name not in VOID and not m["attrs"].endswith("/"):
                 attrs = m["attrs"]
                 marks = frozenset(w for v in _MARK.findall(attrs) for w in _WORDS.findall("".join(v).lower())) if attrs else frozenset()
-                element = Element(len(self.elements), name, marks, _hides(attrs))
+                above = stack[-1]
+                hidden = above.hidden or name in DROPPED or _hides(attrs)
+                element = Element(len(self.elements), name, marks, hidden, above.number, above.depth + 1)
                 self.elements.append(element)
                 stack.append(element)
+                opened[name] += 1
         if at < len(source):
             add(source[at:])
         flush()
 
     def shares(self) -> np.ndarray:
         """Share of the page's text below each element."""
-        total = np.zeros(len(self.elements))
+        total = [0] * len(self.elements)
         for block in self.blocks:
-            total[list(block.path)] += len(block.text)
-        return total / max(total[0], 1)
+            total[block.element] += len(block.text)
+        for element in reversed(self.elements[1:]):
+            total[element.parent] += total[element.number]
+        return np.array(total) / max(total[0], 1)
+
+    def distance(self, a: int, b: int) -> int:
+        """Steps between two elements."""
+        steps = 0
+        while a != b:
+            if self.elements[a].depth < self.elements[b].depth:
+                a, b = b, a
+            a = self.elements[a].parent
+            steps += 1
+        return steps
 
     def evidence(self) -> tuple[np.ndarray, np.ndarray]:
         """What element names say of each block, and the features of the classifier.
 
         Names say +1 inside an article, -1 inside navigation and the like, 0 otherwise; the
         innermost such element counts. An element with more than half of the page's text
-        is not taken for boilerplate by its class names.
+        is not taken for boilerplate by its class names, nor because it is a form, aside or dialog.
         """
         shares, n = self.shares(), len(self.blocks)
         says, rows = np.zeros(n), np.zeros((n, len(FEATURES)))
+        # Of each element, with those around it: what it says, whether it is in an article, and by its marks good or bad.
+        inherited = [(0, False, False, False)]
+        for e in self.elements[1:]:
+            said, inside, good, bad = inherited[e.parent]
+            wide = shares[e.number] > 0.5
+            if e.name in CONTENT_TAGS:
+                inside, said = True, 1
+            if e.name in BOILERPLATE_TAGS and not (wide and e.name in WRAPPERS) or (e.name == "header" and not inside):
+                said = -1
+            good = good or bool(e.marks & CONTENT_WORDS)
+            bad = bad or (e.name != "body" and not wide and bool(e.marks & BOILERPLATE_WORDS))
+            inherited.append((said, inside, good, bad))
         for k, block in enumerate(self.blocks):
-            chain = [self.elements[e] for e in block.path]
-            inside = False
-            for element in chain:
-                if element.name in CONTENT_TAGS:
-                    inside, says[k] = True, 1
-                if element.name in BOILERPLATE_TAGS or (element.name == "header" and not inside):
-                    says[k] = -1
-            named = [e for e in chain if e.name != "body" and shares[e.number] <= 0.5]
-            bad = any(e.marks & BOILERPLATE_WORDS for e in named)
-            good = any(e.marks & CONTENT_WORDS for e in chain)
+            says[k], _, good, bad = inherited[block.element]
             text = block.text
             words = text.count(" ") + 1
             letters = max(1, len(text))

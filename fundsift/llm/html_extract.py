@@ -101,10 +101,8 @@ def smoothness(page: Page) -> list[tuple[int, int, float]]:
     edges, last = [], {}
     for k, block in enumerate(page.blocks):
         if k:
-            before = page.blocks[k - 1].path
-            common = next((d for d, (a, b) in enumerate(zip(before, block.path, strict=False)) if a != b), min(len(before), len(block.path)))
-            edges.append((k - 1, k, NEAR / (1 + len(before) + len(block.path) - 2 * common)))
-        parent = block.path[-2] if len(block.path) > 1 else 0
+            edges.append((k - 1, k, NEAR / (1 + page.distance(page.blocks[k - 1].element, block.element))))
+        parent = page.elements[block.element].parent
         if parent in last and last[parent] != k - 1:
             edges.append((last[parent], k, SIBLING))
         last[parent] = k
@@ -141,11 +139,13 @@ def train(pages: DataFrame, key: str = "page_id", html: str = "html") -> np.ndar
 
     Blocks inside ``article`` or ``main`` count as content, those inside navigation, footers,
     asides and forms as boilerplate; element names are no features. At most ``SAMPLE`` pages
-    are used, chosen by a hash of their key. With no such block the prior stays.
+    are used, the first by a hash of their key and then of their HTML. With no such block the prior
+    stays. Null and repeated keys, and null HTML, are as good as others; an empty table gives the prior.
     """
     share = min(1.0, SAMPLE / 2 / max(pages.count(), 1))
-    chosen = pages.filter(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) <= share * 2**32)
-    sample = chosen.select(F.col(html).alias("html")).limit(SAMPLE)
+    place = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
+    chosen = pages.select(F.col(html).alias("html"), place.alias("place")).filter(F.col("place") <= share * 2**32)
+    sample = chosen.orderBy("place", F.xxhash64("html"), "html").limit(SAMPLE).select("html")
     found = sample.mapInArrow(_examples, "content boolean, features array<double>").toPandas()
     prior = np.array([PRIOR[f] for f in FEATURES])
     if not len(found):

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -577,6 +578,53 @@ def test_alignment_equals_brute_force():
         assert 0 <= start <= end <= len(b)
 
 
+def nats():
+    return np.array([html_extract.PRIOR[f] for f in html_extract.FEATURES])
+
+
+@pytest.mark.parametrize("page", [
+    "<body><form id='aspnetForm'>{}</form></body>",
+    "<body><nav><a href=x>Home</a></nav><article><form action=x>{}<input name=q></form></article><footer>Legal</footer></body>",
+    "<body><aside>{}</aside></body>",
+])
+def test_page_wide_forms_keep_their_article(page):
+    paragraphs = [f"This is a long paragraph number {k}, with many words, that goes on and on until it ends." for k in range(5)]
+    source = page.format("".join(f"<p>{p}</p>" for p in paragraphs))
+    assert html_extract.extract_text(source, nats()).split("\n") == paragraphs
+
+
+def test_small_forms_and_reactions_go():
+    text = "<p>This is a long paragraph, with many words, that goes on and on until it ends.</p>" * 4
+    source = f"<body><article>{text}<form><p>Write your own comment, please, it will be read.</p></form></article><section id='reactions'><p>I liked it, and so did my dog.</p></section></body>"
+    assert set(html_extract.extract_text(source, nats()).split("\n")) == {re.sub("<.*?>", "", text[: text.index("</p>")])}
+
+
+def test_deep_pages_take_time_in_proportion():
+    for piece in ("<div>x ", "<div>x </span>", "<li><div>x ", "<p><b>x</div>"):
+        start = time.perf_counter()
+        page = Page(piece * 100_000)
+        assert len(page.blocks) >= 50_000
+        page.evidence()
+        html_extract.smoothness(page)
+        assert time.perf_counter() - start < 10
+
+
+def test_distances_and_shares_follow_the_tree():
+    page = Page("<div>aa<p>bb</p><section><p>cccc</p></section></div><div>dd</div>")
+    a, b, c, d = (block.element for block in page.blocks)
+    assert [page.distance(a, b), page.distance(b, c), page.distance(c, d), page.distance(d, d)] == [1, 3, 4, 0]
+    assert page.shares()[a] == 0.8
+
+
+def test_training_pages_do_not_depend_on_their_order(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "SAMPLE", 6)
+    rows = [(None, f"<article><p>Text number {k}.</p></article><nav>{'Menu ' * k}</nav>") for k in range(30)] + [(1, None)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    first = html_extract.train(pages.repartition(5))
+    assert np.array_equal(first, html_extract.train(pages.orderBy(F.desc("html")).coalesce(1)))
+    assert np.array_equal(html_extract.train(pages.limit(0)), nats())
+
+
 # -- pipeline
 
 
