@@ -57,39 +57,67 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Slots:
-    """Which hashes may be seeds: a map of fixed size, few seeds themselves, and the widths that occur."""
+    """Which hashes may be seeds and how far around them their items reach, and the widths that occur.
+
+    A map of fixed size has for each slot the bits of the longest item's words; few seeds are held themselves.
+    """
 
     def __init__(self, grams: DataFrame):
         count, widths = grams.agg(F.count_distinct("hash"), F.collect_set("width")).first()
         self.widths = sorted(widths)
         self.bits = min(int(math.log2(MAX_SLOTS)), max(16, math.ceil(math.log2(64 * max(count, 1)))))
-        self.map = np.zeros(1 << self.bits, bool)
+        self.map = np.zeros(1 << self.bits, np.uint8)
         self.exact = None
+        longest = F.max("n_words").alias("n")
         if count <= MAX_EXACT:
-            self.exact = np.sort(grams.select("hash").distinct().toPandas()["hash"].to_numpy(np.int64).view(np.uint64))
-            self.map[self.exact >> np.uint64(64 - self.bits)] = True
+            found = grams.groupBy("hash").agg(longest).toPandas()
+            hashes = found["hash"].to_numpy(np.int64).view(np.uint64)
+            order = np.argsort(hashes)
+            self.exact, self.words = hashes[order], found["n"].to_numpy(np.int64)[order]
+            self.map[self.exact >> np.uint64(64 - self.bits)] = 1
         else:
             slot = F.shiftrightunsigned("hash", 64 - self.bits).alias("slot")
-            self.map[grams.select(slot).distinct().toPandas()["slot"].to_numpy(np.int64)] = True
+            found = grams.groupBy(slot).agg(longest).toPandas()
+            words = found["n"].to_numpy(np.int64)
+            self.map[found["slot"].to_numpy(np.int64)] = np.frexp(words)[1]
 
-    def hits(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and hashes of n-grams that may be seeds."""
-        at, found = [], []
+    def hits(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions of n-grams that may be seeds, in order, their hashes, and the words to look at around them."""
+        at, found, reach = ([np.empty(0, kind)] for kind in (np.int64, np.uint64, np.int64))
         for width in self.widths:
             hashes = _hashes(n, width)
-            here = np.flatnonzero(self.map[hashes >> np.uint64(64 - self.bits)])
+            slots = self.map[hashes >> np.uint64(64 - self.bits)]
+            here = np.flatnonzero(slots)
+            words = (1 << slots[here].astype(np.int64)) - 1
             if self.exact is not None and len(here):
                 place = np.minimum(np.searchsorted(self.exact, hashes[here]), len(self.exact) - 1)
-                here = here[self.exact[place] == hashes[here]]
+                same = self.exact[place] == hashes[here]
+                here, words = here[same], self.words[place[same]]
             at.append(here)
             found.append(hashes[here])
-        if not at:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        return np.concatenate(at), np.concatenate(found)
+            reach.append(np.ceil(MOST_WORDS * words).astype(np.int64))
+        at, found, reach = map(np.concatenate, (at, found, reach))
+        order = np.argsort(at, kind="stable")
+        return at[order], found[order], reach[order]
+
+
+def runs(at: np.ndarray, reach: np.ndarray, n: int) -> Iterator[tuple[int, int, int, int]]:
+    """Hits first to stop, and words start to end around them: each hit with what its own items reach.
+
+    Hits farther apart than either reaches begin a new run, so a long item widens only the passages
+    with seeds of its own.
+    """
+    if not len(at):
+        return
+    apart = np.diff(at) > np.maximum(reach[1:], reach[:-1])
+    cuts = np.concatenate([[0], np.flatnonzero(apart) + 1])
+    starts = np.maximum(np.minimum.reduceat(at - reach, cuts), 0)
+    ends = np.minimum(np.maximum.reduceat(at + WIDTH + reach, cuts), n)
+    yield from zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)], starts.tolist(), ends.tolist(), strict=True)
 
 
-def _passages(shared, reach: int):
-    """Runs of hits, widened by ``reach`` words to both sides."""
+def _passages(shared):
+    """Runs of hits with the words around them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds()
@@ -97,17 +125,11 @@ def _passages(shared, reach: int):
             rows, starts, inside, found = [], [], [], []
             for row, text in enumerate(batch["text"]):
                 n = numbers(text.as_py(), ids)
-                at, hashes = shared.value.hits(n)
-                if not len(at):
-                    continue
-                order = np.argsort(at, kind="stable")
-                at, hashes = at[order], hashes[order]
-                cuts = [0, *(np.flatnonzero(np.diff(at) > reach) + 1).tolist(), len(at)]
-                for first, stop in zip(cuts, cuts[1:], strict=False):
-                    start = max(0, int(at[first]) - reach)
+                at, hashes, reach = shared.value.hits(n)
+                for first, stop, start, end in runs(at, reach, len(n)):
                     rows.append(row)
                     starts.append(start)
-                    inside.append(n[start : int(at[stop - 1]) + WIDTH + reach])
+                    inside.append(n[start:end])
                     found.append(np.unique(hashes[first:stop]))
             arrays = [batch["key"].take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), _lists(inside), _lists(found)]
             yield pa.RecordBatch.from_arrays(arrays, ["key", "start", "words", "hashes"])
@@ -187,10 +209,9 @@ def contaminated(
     schema = items.select("item").schema.add("width", "integer").add("n_words", "long").add("hash", "long")
     seeds = stage(items.mapInArrow(_grams, schema).distinct(), "seeds")
 
-    longest = seeds.agg(F.max("n_words")).first()[0] or 0
     seeded = spark.sparkContext.broadcast(Slots(seeds))
     schema = rows.select("key").schema.add("start", "long").add("words", T.ArrayType(T.LongType())).add("hashes", T.ArrayType(T.LongType()))
-    made = rows.mapInArrow(_passages(seeded, math.ceil(MOST_WORDS * longest)), schema)
+    made = rows.mapInArrow(_passages(seeded), schema)
     passages = stage(made.withColumn("passage", F.monotonically_increasing_id()), "passages")
 
     hits = passages.select("passage", F.explode("hashes").alias("hash"))

@@ -555,6 +555,51 @@ def test_plain_words_equal_the_pattern(odd_rows, chunk, monkeypatch):
         assert [w.decode() for c in word_splitter.plain_words(text) for w in c] == expected
 
 
+@pytest.mark.parametrize("most", [decontaminate.MAX_EXACT, 0])
+def test_decontamination_equals_all_pairs(spark, most, monkeypatch):
+    """Every document aligned with every item as a whole: short, long and equal items, edited copies, common words, nulls."""
+    monkeypatch.setattr(decontaminate, "MAX_EXACT", most)
+    dice = random.Random(12)
+    names = ["of", "the", "and", "a"] * 8 + [f"w{k}" for k in range(80)]
+
+    def prose(n):
+        return dice.choices(names, k=n)
+
+    items = [prose(n) for n in (1, 2, 3, 8, 12, 15, 20, 25, 40, 300)]
+    items.append(list(items[5]))
+    docs = [prose(dice.randint(0, 80)) for _ in range(30)]
+    for item in items * 3:
+        copy = [dice.choice([w, w, w, w, w, w, "edited"]) for w in item]
+        docs.append(prose(dice.randint(0, 40)) + copy[dice.randint(0, 2) :] + prose(dice.randint(0, 40)))
+    docs.append(prose(50) + items[3] + prose(1000) + items[6] + items[4] + prose(700))
+    docs.append(prose(1500))
+    rows = [(k, " ".join(d)) for k, d in enumerate(docs)] + [(900, None), (901, "")]
+    bench = [(k, " ".join(i)) for k, i in enumerate(items)] + [(50, None), (51, "  ")]
+    ids_of = word_splitter.WordIds()
+    expected = {}
+    for d, text in rows:
+        for i, item in bench:
+            a, b = decontaminate.numbers(item, ids_of), decontaminate.numbers(text, ids_of)
+            if not len(a) or not len(b):
+                continue
+            width = min(3, len(a))
+            score, start, end = decontaminate.align(a, b)
+            near = b[start:end]
+            if score >= 0.6 and set(decontaminate._hashes(a, width).tolist()) & set(decontaminate._hashes(near, width).tolist()):
+                expected[d, i] = round(score, 9)
+    found = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): round(r.score, 9) for r in found.collect()}
+    assert {k: got.get(k) for k in expected} == expected
+    assert all(score >= 0.6 for score in got.values())
+
+
+def test_runs_reach_as_far_as_their_own_items():
+    at, reach = np.array([10, 12, 100, 500, 520]), np.array([5, 5, 200, 4, 30])
+    assert list(decontaminate.runs(at, reach, 540)) == [(0, 3, 0, 303), (3, 5, 490, 540)]
+    assert list(decontaminate.runs(at[:2], reach[:2], 14)) == [(0, 2, 5, 14)]
+    assert list(decontaminate.runs(at[:0], reach[:0], 5)) == []
+
+
 def test_skipped_alignments_are_below_the_threshold():
     dice = np.random.default_rng(2)
     for _ in range(400):
