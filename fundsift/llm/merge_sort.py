@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,12 +104,47 @@ class LoserTree:
             self.winner = k
 
 
-def _runs(splitters: list[bytes], key_of: Callable[[dict], list[bytes]], carried: list[str]):
+def _sampled_keys(key_of: Callable[[dict], list[bytes]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(key_of(batch.to_pydict()), pa.binary())], ["key"])
+
+    return run
+
+
+def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One of ``SAMPLED`` sorted keys, beginning at a place that differs between partitions."""
+    at = TaskContext.get().partitionId() * 7 % SAMPLED
+    for batch in batches:
+        yield batch.take(pa.array(range(at, batch.num_rows, SAMPLED), pa.int64()))
+        at = (at - batch.num_rows) % SAMPLED
+
+
+def shortened(splitters: list[bytes]) -> list[bytes]:
+    """Each sorted splitter up to the first byte that tells it from the one before."""
+    found, last = [], b""
+    for splitter in splitters:
+        found.append(splitter[: common_prefix(last, splitter) + 1])
+        last = splitter
+    return found
+
+
+def splitters_of(sample: DataFrame, key_of: Callable[[dict], list[bytes]]) -> list[bytes]:
+    """Sorted splitters, one of ``SAMPLED`` sampled keys.
+
+    The sample is sorted by Spark; only the splitters reach the driver, and a few bytes of each go to the tasks.
+    """
+    keys = sample.mapInArrow(_sampled_keys(key_of), "key binary").distinct()
+    ordered = keys.repartitionByRange("key").sortWithinPartitions("key")
+    return shortened(sorted(bytes(r.key) for r in ordered.mapInArrow(_picked, "key binary").collect()))
+
+
+def _runs(splitters, key_of: Callable[[dict], list[bytes]], carried: list[str]):
     def emit(columns: dict[str, list]) -> Iterator[pa.RecordBatch]:
         keys = key_of(columns)
         order = sorted(range(len(keys)), key=keys.__getitem__)
         ordered = [keys[i] for i in order]
-        cuts = [0, *(bisect_left(ordered, s) for s in splitters), len(ordered)]
+        cuts = [0, *(bisect_left(ordered, s) for s in splitters.value), len(ordered)]
         for part, (start, stop) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if start < stop:
                 shared, rests = front_coded(ordered[start:stop])
@@ -146,8 +182,8 @@ def sort_ranges(
     ``key_of`` makes keys of columns given as lists; ``carried`` names the long columns
     that go along. ``reduce`` gets the number of the range and (carried values, prefix
     shared with the record before in the range, key) per record. Every range but the first
-    begins with a record of the table, so no range between two others is empty. The
-    splitters are sampled evenly by hash; their number is that of the ranges.
+    has the record that its splitter was made of, so no range between two others is empty. The
+    splitters are sampled evenly by hash; their number is about that of the ranges.
     """
     spark = records.sparkSession
     total = records.count()
@@ -155,9 +191,7 @@ def sort_ranges(
     name = F.xxhash64(*carried)
     share = min(1.0, SAMPLED * ranges / max(total, 1))
     sample = records.filter(F.pmod(name, F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
-    rows = sample.toPandas()
-    keys = sorted(set(key_of({c: rows[c].tolist() for c in rows.columns})))
-    splitters = sorted({keys[len(keys) * k // ranges] for k in range(1, ranges)}) if keys else []
+    splitters = spark.sparkContext.broadcast(splitters_of(sample, key_of) if ranges > 1 else [])
     names = list(carried)
     lists = ", ".join(f"{c} array<{kind}>" for c, kind in carried.items())
     runs = records.mapInArrow(_runs(splitters, key_of, names), f"part long, shared array<int>, rests array<binary>, {lists}")

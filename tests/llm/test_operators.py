@@ -440,6 +440,27 @@ def test_repeats_equal_brute_force(odd_docs, odd_rows, no_docs):
     assert substrings.without_repeats(no_docs).count() == 0
 
 
+def test_shortened_splitters_part_keys_as_whole_ones_do():
+    dice = random.Random(4)
+    keys = sorted({bytes(dice.choices(b"ab", k=dice.randint(0, 12))) for _ in range(400)} - {b""})
+    for step in (1, 3, 40):
+        whole = keys[step::step]
+        short = merge_sort.shortened(whole)
+        assert sum(map(len, short)) <= sum(map(len, whole))
+        parts = [sum(s <= k for s in short) for k in keys]
+        assert parts == sorted(parts)
+        assert all(parts[keys.index(w)] == i + 1 for i, w in enumerate(whole))
+
+
+def test_splitters_are_some_of_the_sampled_keys(spark):
+    rows = [(k, f"{k * 7919 % 1000:04d}".encode()) for k in range(1000)]
+    sample = spark.createDataFrame(rows, "n long, word binary").repartition(5)
+    found = merge_sort.splitters_of(sample, lambda d: [bytes(w) for w in d["word"]])
+    assert 1000 // merge_sort.SAMPLED - 8 <= len(found) <= 1000 // merge_sort.SAMPLED + 8
+    assert found == sorted(set(found))
+    assert merge_sort.splitters_of(sample.limit(0), lambda d: list(d["word"])) == []
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_repeats_of_overlapping_passages(spark, seed, monkeypatch):
     """Passages whose ends differ from copy to copy, cut from few sources, in small ranges and chunks."""
