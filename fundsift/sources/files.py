@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from fundsift.functions.columns import as_date
 from fundsift.sources.schemas import for_header, with_old_names
+from fundsift.sources.workbook import read_sheet
 
 ENCODING = "ISO-8859-1"
 SEPARATOR = ";"
@@ -196,9 +197,11 @@ def parse_lines(lines: DataFrame, header: str, declared: T.StructType) -> DataFr
 
 
 def registry_source(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
-    """Fund registry from an exported sheet: Parquet, or delimited text with a header."""
+    """Fund registry from a workbook, or from an exported sheet: Parquet, or delimited text with a header."""
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
+    if path.endswith(".xlsx"):
+        return read_sheet(spark, path, declared)
     reader = spark.read.option("header", "true").option("sep", SEPARATOR).option("escape", '"')
     header = reader.csv(path).columns
     return add_missing(
