@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from fundsift.config import RATING_ORDER
 from fundsift.functions import columns as fc
 from fundsift.functions import quantile
-from fundsift.operators import arrivals, features, moments, primary, quality, repair, scope
+from fundsift.operators import arrivals, features, keys, moments, primary, quality, repair, scope
 from fundsift.plans import oracle as o
 from fundsift.plans import pipeline
 from fundsift.plans.bindings import Tables, small_splits
@@ -386,3 +386,16 @@ def _(t: Tables) -> DataFrame:
         nav.filter(part).write.mode("append").parquet(source)
         returns = arrivals.add_arrived(t.spark, source, target, checkpoint)
     return returns
+
+
+@query(
+    "scope_scan",
+    f"""SELECT cnpj, dt AS day, {r6('nav')} AS nav, {o.yyyymm('dt')} AS period FROM quotas
+        WHERE {_SCOPED} AND {o.yyyymm('dt')} IN (SELECT p FROM {_NEWEST})""",
+)
+def _(t: Tables) -> DataFrame:
+    """Quotas of funds in scope from files by month, sorted by fund: other months and most other funds are not read."""
+    quotas = t.quotas().select("cnpj", F.col("DT_COMPTC").alias("day"), F.col("VL_PATRIM_LIQ").alias("nav"), fc.period_of("DT_COMPTC").alias("period"))
+    stored = sinks.write_table(quotas, scratch_path(t.spark, "quotas"), "period", rebalance=True, sort_by=["cnpj"])
+    ids = materialize(scope.funds_in_scope(t.raw_monthly_nav(), t.registry(), t.latest_period, t.settings))
+    return keys.keep_stored_keys(files.recent_periods(stored, 12), ids, "cnpj")

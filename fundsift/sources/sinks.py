@@ -9,15 +9,19 @@ from fundsift.sources.files import SEPARATOR
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: str | None = None, rebalance: bool = False
+    df: DataFrame, path: str, partition_by: str | None = None, rebalance: bool = False, sort_by: list[str] | None = None
 ) -> DataFrame:
     """Store a table as Parquet and return it as read back.
 
+    Files are sorted by ``sort_by``, so that scans with a filter on these columns skip parts of them.
+
     ``rebalance`` adds a shuffle that merges small and splits large output files of
     a partition; leave it off where the input already arrives by partition.
     """
     if rebalance:
         df = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
+    if sort_by:
+        df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *sort_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from fundsift.config import Settings
 from fundsift.functions import quantile
 from fundsift.functions.columns import one_of
-from fundsift.operators import arrivals, features, moments, primary
+from fundsift.operators import arrivals, features, keys, moments, primary
 from fundsift.plans.bindings import small_splits
 from fundsift.session import materialize
 from fundsift.sources import files, periods, records, sinks
@@ -282,3 +282,39 @@ def test_spelling_by_collation(spark):
     table = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r.t for r in table.filter(one_of("t", ["nao ha restricao"], "UNICODE_CI_AI")).collect()] == texts[:2]
     assert [r.t for r in table.filter(one_of("t", ["Não há Restrição"])).collect()] == texts[:1]
+
+
+# -- scans by key
+
+
+def test_ranges_of_keys(spark):
+    ids = spark.createDataFrame([(k,) for k in [5, 6, 7, 90, 91, 4000, None, 5]], "k long")
+    assert keys.key_ranges(ids, "k") == [(5, 7), (90, 91), (4000, 4000)]
+    assert keys.key_ranges(ids, "k", 1) == [(5, 4000)]
+    assert keys.key_ranges(ids.limit(0), "k") == keys.key_ranges(ids.filter("k IS NULL"), "k") == []
+    assert keys.key_ranges(spark.createDataFrame([(-(1 << 60),), (1 << 60,)], "k long"), "k", 4) == [(-(1 << 60), -(1 << 60)), (1 << 60, 1 << 60)]
+
+
+def scanned_rows(df):
+    """Rows that the scan of a plan with one scan gave to its filter, after the plan has run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_scans_skip_what_is_outside_the_scope(spark, tmp_path):
+    facts = spark.range(300_000).select((F.col("id") % 1000).alias("cnpj"), (F.col("id") % 2 + 202401).cast("int").alias("period"), F.rand(1).alias("x"))
+    stored = sinks.write_table(facts.coalesce(1), str(tmp_path / "t"), "period", sort_by=["cnpj"])
+    ids = materialize(spark.createDataFrame([(k,) for k in [10, 11, 500]], "cnpj long"))
+    kept = keys.keep_stored_keys(stored, ids, "cnpj")
+    assert rows(kept, "cnpj", "x") == rows(facts.filter("cnpj IN (10, 11, 500)"), "cnpj", "x")
+    inside = stored.filter(" OR ".join(f"cnpj BETWEEN {a} AND {b}" for a, b in keys.key_ranges(ids, "cnpj")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        inside.collect()
+        assert 900 <= scanned_rows(inside) < 150_000
+        one = stored.filter("period = 202401 AND cnpj = 10")
+        one.collect()
+        assert scanned_rows(one) < 60_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert keys.keep_stored_keys(stored, ids.limit(0), "cnpj").count() == 0
