@@ -263,10 +263,23 @@ def test_language(spark, odd_docs, no_docs):
     assert asked.select(language.predict(spark, F.col("text"), empty)["lang_pred"]).first()[0] == "und"
 
 
-def test_language_size_limit(spark, monkeypatch):
-    monkeypatch.setattr(language, "MAX_CELLS", language.BUCKETS)
-    with pytest.raises(ValueError, match="languages"):
-        language.train(spark.createDataFrame([("a", "x"), ("b", "y")], "text string, lang string"))
+def test_languages_in_blocks_equal_one_model(spark, monkeypatch):
+    """More languages than a block holds: the same predictions and posteriors."""
+    dice = random.Random(5)
+    names = ["de", "en", "es", "fr", "it", "ünd", "zz"]
+    rows = [(k, "".join(dice.choices(f"abc{i}{i} ", k=30)), name) for k, (i, name) in enumerate(list(enumerate(names)) * 4)]
+    docs = spark.createDataFrame([*rows, (99, None, "en"), (100, "12", "fr"), (101, "a", None)], "n long, text string, lang string")
+
+    def predicted():
+        model = language.train(docs)
+        found = docs.select("n", language.predict(spark, F.col("text"), model).alias("p")).orderBy("n").collect()
+        return len(model.more), [(r.p.lang_pred, round(r.p.score, 6)) for r in found]
+
+    blocks, whole = predicted()
+    assert blocks == 0
+    for most in (1, 2, 3):
+        monkeypatch.setattr(language, "MAX_CELLS", most * language.BUCKETS)
+        assert predicted() == (-(-len(names) // most) - 1, whole)
 
 
 # -- web pages
