@@ -29,7 +29,7 @@ from fundsift.operators import (
 from fundsift.operators import registry as reg
 from fundsift.operators import repair
 from fundsift.session import materialize
-from fundsift.sources import files, schemas, sinks
+from fundsift.sources import files, records, schemas, sinks
 
 # Checks of tables as they come in, and of the tables made from them.
 INPUT_CHECKS = {
@@ -140,16 +140,26 @@ class Ranking:
 
 
 def read_raw(
-    spark: SparkSession, root: str, registry_path: str, settings: Settings, repaired: bool = True
+    spark: SparkSession,
+    root: str,
+    registry_path: str,
+    settings: Settings,
+    repaired: bool = True,
+    line_breaks: bool = False,
 ) -> Raw:
     """Raw tables from folders ``monthly/pl``, ``monthly/blc_1`` .. and ``daily/quotas``.
 
-    With ``repaired`` the monthly files go through the quote repair before parsing.
+    With ``repaired`` the monthly files go through the quote repair before parsing. With
+    ``line_breaks`` quoted fields of theirs may hold line breaks, so lines cannot be repaired.
     """
+    if repaired and line_breaks:
+        raise ValueError("lines of records with line breaks cannot be repaired one by one")
     n = settings.num_period_months
 
     def monthly(folder: str, declared) -> DataFrame:
         path = f"{root}/monthly/{folder}"
+        if line_breaks:
+            return records.scan_quoted_csv(spark, path, declared, n)
         if not repaired:
             return files.scan_partitioned_csv(spark, path, declared, n)
         parsed = [

@@ -156,3 +156,18 @@ def test_own_profiles(tables):
     result = pipeline.run(raw, replace(SETTINGS, profiles=(mine,)))
     assert result.scores.count() == 6
     assert result.complete_ranking.count() == 0
+
+
+def test_raw_files_with_line_breaks(spark, raw_root, tmp_path):
+    """Monthly names over two lines; the other files as they are."""
+    for kind in ("daily/quotas", *(f"monthly/blc_{k}" for k in range(1, 8))):
+        (tmp_path / kind).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / kind).symlink_to(raw_root / kind)
+    lines = [f'FI;{cnpj(i)};"FUND\n{i}";2024-01-31;{100 * i}' for i in FUNDS]
+    put(tmp_path / "monthly" / "pl", "202401.csv", [OLD, *lines])
+    raw = pipeline.read_raw(spark, str(tmp_path), str(raw_root / "registry.csv"), SETTINGS, repaired=False, line_breaks=True)
+    assert rows(raw.monthly_nav, "DENOM_SOCIAL", "VL_PATRIM_LIQ") == [(f"FUND\n{i}", 100.0 * i) for i in FUNDS]
+    assert raw.holdings["blc_5"].count() == 2 * len(FUNDS)
+    assert raw.latest_period == 202402
+    with pytest.raises(ValueError, match="cannot be repaired"):
+        pipeline.read_raw(spark, str(tmp_path), "registry.csv", SETTINGS, line_breaks=True)
