@@ -37,7 +37,7 @@ LONG = 1 << 10
 WORD_BITS = 5
 
 #: Pre-tokens remembered per Python worker, and their longest; twice as many at most are held.
-CACHED = 100_000
+CACHED = 200_000
 LONGEST_CACHED = 64
 
 #: Bits of a token id in the key of a pair.
@@ -295,7 +295,7 @@ class ByteBpe:
         return next(self.encode_all([text]))
 
     def decode(self, ids: np.ndarray | list[int]) -> bytes:
-        some = (ids[k : k + MATCHES] for k in range(0, len(ids), MATCHES))
+        some = (np.asarray(ids[k : k + MATCHES]).tolist() for k in range(0, len(ids), MATCHES))
         return b"".join(b"".join(map(self.bytes_of.__getitem__, part)) for part in some)
 
 
