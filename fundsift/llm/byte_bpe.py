@@ -37,7 +37,7 @@ LONG = 1 << 10
 WORD_BITS = 5
 
 #: Pre-tokens remembered per Python worker, and their longest; twice as many at most are held.
-CACHED = 200_000
+CACHED = 150_000
 LONGEST_CACHED = 64
 
 #: Bits of a token id in the key of a pair.

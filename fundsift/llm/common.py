@@ -11,7 +11,17 @@ from fundsift.session import scratch_path
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of an Arrow batch at most. A batch is held by the JVM and by a Python worker, of each running task.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on, tables go to the session's Python workers in batches of ``BATCH_BYTES``."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
@@ -22,6 +32,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     that is joined back to its rows is staged as well: read from files, both sides of the
     join are shuffled for it, and adaptive execution can split a hot key.
     """
+    small_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
