@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundsift.llm import byte_bpe, decontaminate, exact_dedup, language, minhash
-from fundsift.llm.common import stage, table, whole
+from fundsift.llm.common import small_batches, stage, table, whole
 
 #: Words of a shingle in the search for near copies.
 SHINGLE = 5
@@ -59,6 +59,7 @@ def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Null text counts as empty and has no ids. Columns of these names are replaced.
     """
+    small_batches(spark)
     kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("token_ids", "n_tokens", "round_trip")]
     rows = docs.select(F.struct("*").alias("row"), byte_bpe.round_trip(F.col("text")).alias("found"))
     same = F.col("found.decoded") == whole(F.col("row.text")).cast("binary")
