@@ -19,7 +19,7 @@ from fundsift.config import RATING_ORDER, Settings
 from fundsift.functions.columns import cnpj_to_formatted, period_of
 from fundsift.operators import features, holdings, primary, registry
 from fundsift.plans.pipeline import Raw, evidence_per_fund
-from fundsift.session import materialize
+from fundsift.session import materialize, stored_bytes
 
 AS_OF = "2002-01-01"
 
@@ -36,6 +36,19 @@ def fund_type(region: str = "r_name") -> Column:
     )
 
 
+#: Splits of a folder that is read in many parts, and bytes of one at most.
+SPLITS = 48
+LARGEST_SPLIT = 1 << 27
+
+
+def split_size(spark: SparkSession, path: str, least: int) -> int:
+    """Bytes of a split of the files below ``path``: ``least`` for small files, and about ``SPLITS`` parts of larger ones.
+
+    Every part is a task of each job that reads it, so there are no more of them than the work needs.
+    """
+    return max(least, min(stored_bytes(spark, path) // SPLITS, LARGEST_SPLIT))
+
+
 @contextmanager
 def small_splits(spark: SparkSession, size: int) -> Iterator[None]:
     """Files are read in parts of ``size`` bytes by the jobs that run inside."""

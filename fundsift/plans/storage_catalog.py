@@ -15,13 +15,13 @@ from fundsift.functions import quantile
 from fundsift.operators import arrivals, features, keys, moments, primary, quality, repair, scope
 from fundsift.plans import oracle as o
 from fundsift.plans import pipeline
-from fundsift.plans.bindings import Tables, small_splits
+from fundsift.plans.bindings import Tables, small_splits, split_size
 from fundsift.plans.catalog import RAW_REPORT_SQL, query
 from fundsift.plans.oracle import r6
 from fundsift.session import materialize, scratch_path
 from fundsift.sources import files, periods, records, sinks
 
-#: Bytes of a split, so that a file of the smallest data is read in many.
+#: Bytes of a split at least, so that a file of the smallest data is read in many.
 SPLIT = 50_000
 
 # -- files in several blocks -------------------------------------------------------
@@ -71,9 +71,9 @@ def _(t: Tables) -> DataFrame:
     doc = F.col("file").cast("long")
     lines = t.document_lines().select((doc % 6 + 202401).cast("int").alias("period"), doc.alias("doc"), "seq", "line")
     heads = t.spark.range(6).select((F.col("id") + 202401).cast("int").alias("period"), F.lit(-1).cast("long"), F.lit(0).cast("long"), F.lit(_HEADER))
-    every = lines.union(heads).repartition(6, "period").sortWithinPartitions("period", "doc", "seq")
+    every = lines.union(heads).repartitionById(6, F.col("period") - 202401).sortWithinPartitions("period", "doc", "seq")
     every.select("period", "line").write.partitionBy("period").text(path)
-    with small_splits(t.spark, SPLIT):
+    with small_splits(t.spark, split_size(t.spark, path, SPLIT)):
         read = files.raw_lines(t.spark, path, encoding="UTF-8")[_HEADER]
         found = [repair.flagged_line_numbers(read, name).withColumn("validation_name", F.lit(name)) for name in _CHECKS]
         both = found[0].unionByName(found[1])

@@ -12,7 +12,8 @@ from fundsift.config import Settings
 from fundsift.functions import quantile
 from fundsift.functions.columns import one_of
 from fundsift.operators import arrivals, features, keys, moments, primary
-from fundsift.plans.bindings import small_splits
+from fundsift.plans.bindings import LARGEST_SPLIT, SPLITS, small_splits, split_size
+from fundsift.plans.catalog import QUERIES
 from fundsift.session import materialize
 from fundsift.sources import files, periods, records, sinks
 
@@ -51,6 +52,27 @@ def test_records_across_blocks(spark, tmp_path, size, end):
         assert Counter(found) == Counter(expected)
 
 
+def test_parts_of_files_do_not_grow_in_number(spark, tmp_path):
+    for name, n in (("small", 100), ("large", 60_000)):
+        put(tmp_path / name, "202401.csv", "line\n" + "a line of text\n" * n)
+    assert split_size(spark, str(tmp_path / "small"), 400) == 400
+    size = split_size(spark, str(tmp_path / "large"), 400)
+    assert 400 < size <= LARGEST_SPLIT
+    with small_splits(spark, size):
+        lines = next(iter(files.raw_lines(spark, str(tmp_path / "large")).values()))
+        assert 10 < lines.rdd.getNumPartitions() <= SPLITS + 1
+
+
+@pytest.mark.parametrize("name", ["affected_lines_in_blocks"])
+def test_queries_over_files_in_parts(spark, tmp_path, monkeypatch, name):
+    sizes = []
+    monkeypatch.setattr("fundsift.plans.storage_catalog.small_splits", lambda s, size: sizes.append(size) or small_splits(s, size))
+    docs = [(k, "en", "".join(f'a, "k{i}"\n' for i in range(700)), "web", 1) for k in range(360)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    assert QUERIES[name].run(spark, str(tmp_path)).count() > 0
+    assert sizes[0] > 50_000
+
+
 def test_records_keep_file_and_line_of_their_start(spark, tmp_path):
     put(tmp_path / "in", "202401.csv", 'id;note;x\n1;"a\nb\nc";2\n2;d;3\n3;"e\n";4\n')
     lines = next(iter(files.raw_lines(spark, str(tmp_path / "in")).values()))
