@@ -40,9 +40,9 @@ def _(t: Tables) -> DataFrame:
     """Documents in six delimited files, text with its line breaks in quotes, read in many parts."""
     path = scratch_path(t.spark, "documents")
     docs = t.read("documents").select("doc_id", "lang", "text", (F.col("doc_id") % 6 + 202401).cast("int").alias("period"))
-    writer = docs.repartition(6, "period").sortWithinPartitions("period", "doc_id").write.partitionBy("period")
+    writer = docs.repartitionById(6, F.col("period") - 202401).sortWithinPartitions("period", "doc_id").write.partitionBy("period")
     writer.option("header", "true").option("sep", files.SEPARATOR).option("escape", '"').csv(path)
-    with small_splits(t.spark, SPLIT):
+    with small_splits(t.spark, split_size(t.spark, path, SPLIT)):
         table = records.scan_quoted_csv(t.spark, path, _DOCUMENTS, encoding="UTF-8")
         return materialize(table.select("period", "doc_id", "lang", "text"))
 

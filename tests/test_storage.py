@@ -63,7 +63,7 @@ def test_parts_of_files_do_not_grow_in_number(spark, tmp_path):
         assert 10 < lines.rdd.getNumPartitions() <= SPLITS + 1
 
 
-@pytest.mark.parametrize("name", ["affected_lines_in_blocks"])
+@pytest.mark.parametrize("name", ["multiline_records", "affected_lines_in_blocks"])
 def test_queries_over_files_in_parts(spark, tmp_path, monkeypatch, name):
     sizes = []
     monkeypatch.setattr("fundsift.plans.storage_catalog.small_splits", lambda s, size: sizes.append(size) or small_splits(s, size))
