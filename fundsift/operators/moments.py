@@ -59,17 +59,28 @@ def _so_far(moments: Column) -> Column:
     return F.aggregate(moments, start, lambda found, m: F.array_append(found, merged(F.element_at(found, -1), m)))
 
 
-def _last(days: int, months: Column, place: Column) -> Column:
-    """Moments of the last ``days`` returns up to the month at ``place``, from 1."""
+def _last(days: int, months: Column, counts: Column, place: Column) -> Column:
+    """Moments of the last ``days`` returns up to the month at ``place``, from 1.
 
-    def add(found: Column, month: Column) -> Column:
-        left = (F.lit(days) - found["n"]).cast("int")
-        some = F.aggregate(F.slice(month["latest_first"], 1, left), found, with_value)
-        return F.when(month["moments"]["n"] <= left, merged(found, month["moments"])).otherwise(some)
+    ``counts``, of returns up to each month, tell where the window begins, so that no earlier month is merged.
+    """
+
+    def begin(left_out: Column) -> Column:
+        outside = F.size(F.filter(counts, lambda n: n < left_out))
+        return F.struct(outside.alias("outside"), left_out.alias("left_out"))
+
+    def add_up(window: Column) -> Column:
+        outside = window["outside"]
+        whole = F.reverse(F.slice(months, outside + 1, place - outside))
+        found = F.aggregate(whole, nothing(), lambda found, month: merged(found, month["moments"]))
+        # Of the month in which the window begins, only the latest returns.
+        some = (F.element_at(counts, outside + 1) - window["left_out"]).cast("int")
+        first = F.slice(F.element_at(months, outside)["latest_first"], 1, some)
+        return F.when(outside > 0, F.aggregate(first, found, with_value)).otherwise(found)
 
-    # A month has a return at least, so that many months are enough.
-    first = F.greatest(place - F.lit(days - 1), F.lit(1))
-    return F.aggregate(F.reverse(F.slice(months, first, place - first + 1)), nothing(), add)
+    # Arrays of one, so that what is used several times is worked out once.
+    windows = F.transform(F.array(F.element_at(counts, place + 1) - days), begin)
+    return F.transform(windows, add_up)[0]
 
 
 def with_windows(months: DataFrame, settings: Settings) -> DataFrame:
@@ -81,13 +92,13 @@ def with_windows(months: DataFrame, settings: Settings) -> DataFrame:
     sizes = {"long": settings.trading_days_12m, "short": settings.trading_days_3m}
     in_order = F.array_sort(F.collect_list(F.struct("period", "moments", "latest_first")))
     funds = months.groupBy("cnpj").agg(in_order.alias("months"))
-    funds = funds.withColumn("so_far", _so_far(F.col("months.moments")))
+    funds = funds.withColumn("so_far", _so_far(F.col("months.moments"))).withColumn("counts", F.col("so_far.n"))
 
     def at(place: Column) -> Column:
         return F.struct(
             F.element_at("months", place)["period"].alias("period"),
             F.element_at("so_far", place + 1).alias("all"),
-            *[_last(days, F.col("months"), place).alias(name) for name, days in sizes.items()],
+            *[_last(days, F.col("months"), F.col("counts"), place).alias(name) for name, days in sizes.items()],
         )
 
     ends = F.transform(F.sequence(F.lit(1), F.size("months")), at)

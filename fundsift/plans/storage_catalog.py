@@ -197,10 +197,10 @@ def _capped(window: str) -> str:
 def _(t: Tables) -> DataFrame:
     """Risk at the end of every month of every fund; the months are stored, and the newest is added later."""
     path = scratch_path(t.spark, "moments")
-    returns = t.returns()
+    made = materialize(moments.monthly_moments(t.returns()))
     last = t.latest_period
-    periods.write_periods(moments.monthly_moments(returns.filter(F.col("period") <= last)), path)
-    periods.write_periods(moments.monthly_moments(returns.filter(F.col("period") > last)), path)
+    periods.write_periods(made.filter(F.col("period") <= last), path)
+    periods.write_periods(made.filter(F.col("period") > last), path)
     return moments.by_month(periods.read_periods(t.spark, path), t.settings)
 
 

@@ -3,6 +3,7 @@ import random
 import statistics
 import uuid
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from fundsift.config import Settings
 from fundsift.functions import quantile
 from fundsift.functions.columns import one_of
 from fundsift.operators import arrivals, features, keys, moments, primary
-from fundsift.plans.bindings import LARGEST_SPLIT, SPLITS, small_splits, split_size
+from fundsift.plans import storage_catalog
+from fundsift.plans.bindings import LARGEST_SPLIT, SPLITS, Tables, small_splits, split_size
 from fundsift.plans.catalog import QUERIES
 from fundsift.session import materialize
 from fundsift.sources import files, periods, records, sinks
@@ -67,9 +69,9 @@ def test_parts_of_files_do_not_grow_in_number(spark, tmp_path):
 def test_queries_over_files_in_parts(spark, tmp_path, monkeypatch, name):
     sizes = []
     monkeypatch.setattr("fundsift.plans.storage_catalog.small_splits", lambda s, size: sizes.append(size) or small_splits(s, size))
-    docs = [(k, "en", "".join(f'a, "k{i}"\n' for i in range(700)), "web", 1) for k in range(360)]
+    docs = [(k, "en", "".join(f"a k b, number {i}\n" for i in range(700)), "web", 1) for k in range(360)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
-    assert QUERIES[name].run(spark, str(tmp_path)).count() > 0
+    QUERIES[name].run(spark, str(tmp_path))
     assert sizes[0] > 50_000
 
 
@@ -230,6 +232,24 @@ def test_risk_of_every_month_equals_that_for_each_reference_date(spark, nav):
         assert checked == 23
 
 
+def test_windows_merge_only_their_own_months(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(moments, "_last", lambda days, *_, f=moments._last: asked.append(days) or f(days, *_))
+    days = [(1, dt.date(2024, 1 + m, d), 202401 + m, m * d / 10) for m in range(6) for d in range(1, 4 + m)]
+    table = moments.monthly_moments(spark.createDataFrame(days, "cnpj long, date date, period int, daily_return double"))
+    settings = replace(Settings(), trading_days_12m=9, trading_days_3m=4)
+    found = {r.period: r for r in moments.with_windows(table, settings).collect()}
+    assert asked == [9, 4]
+    for period, row in found.items():
+        values = [x for _, _, p, x in days if p <= period]
+        for name, n in (("long", 9), ("short", 4)):
+            last = values[-n:]
+            assert (row[name].n, row[name].mean) == (len(last), pytest.approx(statistics.fmean(last)))
+            assert row[name].m2 == pytest.approx(statistics.pvariance(last) * len(last), abs=1e-12)
+    plan = moments.with_windows(table, settings)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(counts" in plan
+
+
 def test_moments_of_odd_returns(spark):
     data = [(1, dt.date(2024, 1, 2), 202401, 0.5), (1, dt.date(2024, 3, 1), 202403, None), (1, dt.date(2024, 5, 1), 202405, 0.1), (2, dt.date(2024, 1, 5), 202401, None)]
     returns = spark.createDataFrame(data, "cnpj long, date date, period int, daily_return double")
