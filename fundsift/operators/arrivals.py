@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,18 +25,23 @@ _STATE = "date date, quota_value double"
 
 def _of_fund(key: tuple[int], parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Returns of the new rows of a fund: one a day at most, so they are few."""
-    rows = pd.concat(list(parts)).sort_values("date", ignore_index=True)
+    held = list(parts)
+    rows = held[0] if len(held) == 1 else pd.concat(held)
+    date, period, quota = (rows[c].to_numpy() for c in ("date", "period", "quota_value"))
+    order = np.argsort(date, kind="stable")
+    date, period, quota = date[order], period[order], quota[order]
     last_date, last = state.get if state.exists else (None, None)
-    if last_date is not None and rows["date"].iloc[0] <= last_date:
-        raise ValueError(f"fund {key[0]}: a row of {rows['date'].iloc[0]} arrived after {last_date}")
-    rows["quota_value_previous"] = rows["quota_value"].shift().astype("float64")
-    rows.loc[0, "quota_value_previous"] = float("nan") if last is None else last
-    before = rows["quota_value_previous"].where(rows["quota_value_previous"] != 0)
-    rows["daily_return"] = (rows["quota_value"] - before) / before
-    state.update((rows["date"].iloc[-1], rows["quota_value"].iloc[-1]))
-    rows["cnpj"] = key[0]
-    known = rows["daily_return"].notna() & ~rows["daily_return"].isin([float("inf"), float("-inf")])
-    yield rows.loc[known, ["cnpj", "date", "period", "quota_value", "quota_value_previous", "daily_return"]]
+    if last_date is not None and date[0] <= last_date:
+        raise ValueError(f"fund {key[0]}: a row of {date[0]} arrived after {last_date}")
+    before = np.append(np.nan if last is None else last, quota[:-1])
+    base = np.where(before == 0, np.nan, before)
+    with np.errstate(all="ignore"):
+        change = (quota - base) / base
+    state.update((date[-1], quota[-1]))
+    known = np.isfinite(change)
+    if known.any():
+        found = {"date": date, "period": period, "quota_value": quota, "quota_value_previous": before, "daily_return": change}
+        yield pd.DataFrame({"cnpj": key[0], **{name: values[known] for name, values in found.items()}})
 
 
 def add_arrived(spark: SparkSession, source: str, target: str, checkpoint: str) -> DataFrame:

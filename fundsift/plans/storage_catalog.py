@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -371,6 +372,15 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+def _periods_at(nav: DataFrame, shares: list[float]) -> list[int]:
+    """Periods that complete these shares of the rows that have one; only a number for each period reaches the driver."""
+    counts = sorted(tuple(r) for r in nav.filter("period IS NOT NULL").groupBy("period").count().collect())
+    total, found = list(accumulate(n for _, n in counts)), []
+    for share in shares:
+        found.append(next(period for (period, _), n in zip(counts, total, strict=True) if n >= share * total[-1]))
+    return found
+
+
 @query(
     "returns_month_by_month",
     f"""SELECT cnpj, date, period, {r6('quota_value')} AS quota_value, {r6('quota_value_previous')} AS quota_value_previous,
@@ -380,7 +390,7 @@ def _(t: Tables) -> DataFrame:
     """Months of daily NAV arrive in three parts, each read by a run of its own."""
     source, target, checkpoint = (scratch_path(t.spark, name) for name in ("arrived", "returns", "progress"))
     nav = materialize(t.daily_nav())
-    low, high = nav.approxQuantile("period", [0.4, 0.8], 0.0)
+    low, high = _periods_at(nav, [0.4, 0.8])
     month = F.col("period")
     for part in (month <= low, (month > low) & (month <= high), month > high):
         nav.filter(part).write.mode("append").parquet(source)

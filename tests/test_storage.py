@@ -295,6 +295,22 @@ def test_a_row_that_arrives_late_is_an_error(spark, tmp_path):
         arrivals.add_arrived(spark, source, target, progress)
 
 
+def test_shares_of_rows_by_period(spark, monkeypatch):
+    nav = spark.createDataFrame([(p,) for p in [202401] * 3 + [202402] * 2 + [202404] * 5 + [None] * 9], "period int")
+    assert storage_catalog._periods_at(nav, [0.3, 0.4, 0.5, 0.8]) == [202401, 202402, 202402, 202404]
+
+    def refused(*_):
+        raise AssertionError("all rows in a summary of the driver")
+
+    day = dt.date(1995, 1, 31)
+    items = [(k, k % 2, 1, day + dt.timedelta(days=9 * k), 100.0 + k, "O", "N") for k in range(1, 21)]
+    columns = "l_orderkey long, l_suppkey long, l_linenumber int, l_shipdate date, l_extendedprice double, l_linestatus string, l_returnflag string"
+    table = spark.createDataFrame(items, columns)
+    monkeypatch.setattr(Tables, "read", lambda self, name: table)
+    monkeypatch.setattr(type(table), "approxQuantile", refused)
+    assert QUERIES["returns_month_by_month"].run(spark, "nowhere").count() == 18
+
+
 # -- sketches and spelling
 
 
