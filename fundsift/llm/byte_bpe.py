@@ -44,7 +44,7 @@ LONGEST_CACHED = 64
 SHIFT = 20
 
 #: Characters of texts, or matches of one very long text, that are handled together.
-GROUP = 1 << 21
+GROUP = 1 << 19
 MATCHES = 200_000
 
 
