@@ -70,7 +70,7 @@ def test_queries_over_files_in_parts(spark, tmp_path, monkeypatch, name):
     sizes = []
     monkeypatch.setattr("fundsift.plans.storage_catalog.small_splits", lambda s, size: sizes.append(size) or small_splits(s, size))
     docs = [(k, "en", "".join(f"a k b, number {i}\n" for i in range(700)), "web", 1) for k in range(360)]
-    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(docs, "doc_id long, lang string, text string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     QUERIES[name].run(spark, str(tmp_path))
     assert sizes[0] > 50_000
 
