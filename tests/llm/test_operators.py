@@ -429,6 +429,41 @@ def test_scores_equal_a_direct_computation(spark):
         assert scored[k] == pytest.approx(expected, abs=1e-3)
 
 
+def test_the_words_before_tell_words_of_a_class_apart(spark):
+    """Two words as frequent as each other, of one hashed class, each after a word of its own."""
+    names = [f"n{k}" for k in range(2000)]
+    one = next(w for w in names if maxent.leaf(w.encode(), 0) == 3)
+    two = next(w for w in names if maxent.leaf(w.encode(), 0) == 3 and maxent.leaf(w.encode(), 1) != maxent.leaf(one.encode(), 1))
+    texts = [" ".join(names[k : k + 40]) for k in range(0, 2000, 40)] + [" ".join(f"f{k}" for k in range(maxent.OWN)) for _ in range(90)]
+    texts += [f"here {one}", f"there {two}"] * 40
+    docs = spark.createDataFrame([*enumerate(texts), (-1, f"here {one}"), (-2, f"here {two}")], "doc_id long, text string")
+    found = {r.doc_id: r for r in maxent.score(docs, F.col("doc_id") >= 0).filter("doc_id < 0").collect()}
+    assert found[-1].base_score == pytest.approx(found[-2].base_score)
+    assert found[-1].score > found[-2].score + 0.5
+
+
+def test_leaves_count_words_as_their_numbers_do(spark):
+    names = [f"n{k}" for k in range(3000)]
+    docs = spark.createDataFrame([(" ".join(names[k % 7 :]),) for k in range(9)], "text string")
+    known = maxent.vocabulary(maxent.count_tokens(docs), 9)
+    assert known.splits == 1 and [maxent.splits_for(n) for n in (0, 1024, 1025, 1 << 15, 1 << 20)] == [0, 0, 1, 1, 2]
+    expected = np.zeros(16 * 32)
+    for k in range(9):
+        for w in names[k % 7 :]:
+            if w.encode() not in known.own:
+                expected[maxent.leaf(w.encode(), 1)] += 1
+    assert known.leaf_tokens.tolist() == expected.tolist()
+    assert known.class_tokens.sum() == known.tokens and known.leaf_types.sum() == 3000 - maxent.OWN
+    numbers = maxent._Numbers(known.own).of([w.encode() for w in names])
+    batch = next(maxent.batches_of(iter([(0, [numbers])]), 13))
+    inner = [0 if w.encode() in known.own else 1 + maxent.leaf(w.encode(), 1) for w in names]
+    assert batch.leaves(1).tolist() == [*inner, 0]
+    for level, rates in zip(batch.levels(1), maxent.rates_of(known), strict=True):
+        weights = np.random.default_rng(1).normal(size=(3, 1 << 13, 32)).astype(np.float32)
+        shares = maxent.probabilities(weights, np.log(rates).astype(np.float32), level)
+        assert shares.sum(axis=0) == pytest.approx(1, abs=1e-5)
+
+
 def test_buckets_grow_with_the_tokens():
     assert [maxent.bucket_bits(n) for n in (0, 10**6, 1 << 27, 1 << 28, 1 << 40)] == [13, 13, 14, 15, 15]
 
