@@ -39,8 +39,9 @@ PERCENT = 80
 #: Signatures that agree in fewer rows are not looked at: five standard deviations below 0.8.
 LEAST_AGREEMENT = 79
 
-#: Nodes of one block when a group is searched for further links, and shingles it may hold.
-BLOCK = 64
+#: Nodes of one block when a group is searched for further links, and shingles it may hold. Pairs of
+#: blocks are what the join makes and what skewed ones are split into, so blocks are not small.
+BLOCK = 256
 BLOCK_SIZE = 1 << 18
 
 _RANDOM = np.random.default_rng(20240229)
@@ -163,14 +164,11 @@ class _Block:
 
     def candidates(self, other: _Block) -> tuple[np.ndarray, np.ndarray]:
         """Members of both blocks in different parts with like signatures."""
-        i, j = np.nonzero(self.part[:, None] != other.part[None, :])
-        step = 4096
-        near = [
-            (self.signatures[i[k : k + step]] == other.signatures[j[k : k + step]]).sum(axis=1) >= LEAST_AGREEMENT
-            for k in range(0, len(i), step)
-        ]
-        keep = np.concatenate(near) if near else np.empty(0, bool)
-        return i[keep], j[keep]
+        near = np.empty((len(self.node), len(other.node)), bool)
+        for k, one in enumerate(self.signatures):
+            same = np.packbits(other.signatures == one, axis=1).view(np.uint64)
+            near[k] = np.bitwise_count(same).sum(axis=1) >= LEAST_AGREEMENT
+        return np.nonzero(near & (self.part[:, None] != other.part[None, :]))
 
 
 def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.StructArray, pa.StructArray]]:

@@ -227,6 +227,21 @@ def test_near_duplicates_of_nothing(no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
 
 
+def test_large_groups_have_few_pairs_of_blocks(spark):
+    """All pairs of members meet once, in blocks that are not small."""
+    n = 1000
+    values = np.random.default_rng(3).integers(0, 2, (n, minhash.HASHES)).astype(np.uint32)
+    values[1] = values[0]
+    members = spark.createDataFrame([(7, k, k, 1) for k in range(n)], "group long, node long, part long, size int")
+    payload = spark.createDataFrame([(k, bytearray(values[k].tobytes())) for k in range(n)], "node long, signature binary")
+    pairs = minhash._block_pairs(members, payload).cache()
+    assert pairs.count() <= 10
+    found = pairs.mapInArrow(minhash._candidates_in_blocks, "a long, b long").collect()
+    agreement = (values[:, None] == values[None]).sum(axis=2) >= minhash.LEAST_AGREEMENT
+    expected = {(a, b) for a, b in zip(*np.nonzero(agreement), strict=True) if a < b}
+    assert (0, 1) in expected and {tuple(r) for r in found} == expected
+
+
 def test_components(spark):
     dice = random.Random(5)
     edges = [(dice.randrange(200), dice.randrange(200)) for _ in range(130)] + [(300 + k, 301 + k) for k in range(40)] + [(None, 3), (5, 5)]
