@@ -8,7 +8,7 @@ distributed table, so nothing is cut off however much is wrong.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 from typing import Any, NamedTuple
 
@@ -21,11 +21,28 @@ REPORT = "dataset_name string, validation_name string, passed boolean, error_cou
 AFFECTED = "dataset_name string, validation_name string, affected string, rows long"
 
 
+#: Stores a table and gives it as read back.
+Keep = Callable[[DataFrame], DataFrame]
+
+
 class Validation(NamedTuple):
     report: DataFrame
     affected: DataFrame
 
 
+def _faults(counted: DataFrame, fault: str, by: str | None, keep: Keep | None) -> tuple[DataFrame, DataFrame]:
+    """What the report counts, and what is at fault.
+
+    With ``keep`` the rows at fault are stored once, and the report counts those: without partition
+    files, it has one row however many there are. Otherwise each of the two computes ``counted``.
+    """
+    found = counted.filter(fault)
+    if keep is None or by:
+        return counted, found
+    found = keep(found)
+    return found, found
+
+
 def _dataset(name: str, by: str | None) -> Column:
     return F.concat_ws("/", F.lit(name), F.col(by)) if by else F.lit(name)
 
@@ -75,13 +92,14 @@ def _keys(by: str | None) -> list[str]:
 
 
 def validate_uniqueness(
-    df: DataFrame, dataset: str, group_columns: list[str], by: str | None = None
+    df: DataFrame, dataset: str, group_columns: list[str], by: str | None = None, keep: Keep | None = None
 ) -> Validation:
     """No combination of the columns occurs twice; nulls count as equal."""
     check = "validate_uniqueness"
     if absent := _absent(df, dataset, check, group_columns):
         return absent
     groups = df.groupBy(*_keys(by), *group_columns).agg(F.count(F.lit(1)).alias("_n"))
+    groups, faults = _faults(groups, "_n > 1", by, keep)
     repeated = F.count_if(F.col("_n") > 1)
     counted = groups.groupBy(*_keys(by)).agg(
         repeated.alias("error_count"), repeated.alias("affected_groups_count")
@@ -95,7 +113,7 @@ def validate_uniqueness(
             "no group occurs twice",
             F.format_string("%d groups occur more than once", "error_count"),
         ),
-        _affected(groups.filter("_n > 1"), dataset, check, by, group_columns, F.col("_n")),
+        _affected(faults, dataset, check, by, group_columns, F.col("_n")),
     )
 
 
@@ -123,6 +141,7 @@ def validate_bounds(
     lower_bound: float | None = None,
     upper_bound: float | None = None,
     by: str | None = None,
+    keep: Keep | None = None,
 ) -> Validation:
     """Values lie within the bounds, which belong to the range; nulls pass."""
     check = "validate_bounds"
@@ -151,6 +170,7 @@ def validate_allowed_values(
     value_column: str,
     allowed_values: list[Any],
     by: str | None = None,
+    keep: Keep | None = None,
 ) -> Validation:
     """Values are among the allowed ones; nulls pass."""
     check = "validate_allowed_values"
@@ -162,6 +182,7 @@ def validate_allowed_values(
     per_value = df.groupBy(*_keys(by), F.when(wrong, value).alias(value_column)).agg(
         F.count_if(wrong).alias("_n")
     )
+    per_value, faults = _faults(per_value, "_n > 0", by, keep)
     counted = per_value.groupBy(*_keys(by)).agg(
         F.sum("_n").alias("error_count"),
         F.count_if(F.col("_n") > 0).alias("affected_groups_count"),
@@ -175,7 +196,7 @@ def validate_allowed_values(
             f"all values of {value_column} are allowed",
             F.format_string("%d rows have a value that is not allowed", "error_count"),
         ),
-        _affected(per_value.filter("_n > 0"), dataset, check, by, [value_column], F.col("_n")),
+        _affected(faults, dataset, check, by, [value_column], F.col("_n")),
     )
 
 
@@ -262,6 +283,7 @@ def validate_time_completeness(
     group_column: str,
     date_format: str | None = None,
     by: str | None = None,
+    keep: Keep | None = None,
 ) -> Validation:
     """No group has a gap between its first and its last period."""
     check = "validate_time_completeness"
@@ -269,6 +291,7 @@ def validate_time_completeness(
         return absent
     unit = "days" if date_format and "%d" in date_format else "months"
     gaps = completeness(df, time_column, group_column, date_format, by)
+    gaps, faults = _faults(gaps, "missing > 0", by, keep)
     counted = gaps.groupBy(*_keys(by)).agg(
         F.sum("missing").alias("error_count"),
         F.count_if(F.col("missing") > 0).alias("affected_groups_count"),
@@ -284,9 +307,7 @@ def validate_time_completeness(
                 f"%d groups have gaps (%d missing {unit})", "affected_groups_count", "error_count"
             ),
         ),
-        _affected(
-            gaps.filter("missing > 0"), dataset, check, by, [group_column], F.col("missing")
-        ),
+        _affected(faults, dataset, check, by, [group_column], F.col("missing")),
     )
 
 
@@ -300,12 +321,15 @@ CHECKS = {
 
 
 def run_checks(
-    df: DataFrame, dataset: str, checks: Mapping[str, Mapping[str, Any]], by: str | None = None
+    df: DataFrame, dataset: str, checks: Mapping[str, Mapping[str, Any]], by: str | None = None, keep: Keep | None = None
 ) -> list[Validation]:
-    """The configured checks of one table, per partition file when ``by`` names them."""
+    """The configured checks of one table, per partition file when ``by`` names them.
+
+    With ``keep`` a check that groups the table does so once, now, and stores what is at fault.
+    """
     if unknown := [name for name in checks if name not in CHECKS]:
         raise ValueError(f"unknown checks: {', '.join(unknown)}")
-    return [CHECKS[name](df, dataset, by=by, **params) for name, params in checks.items()]
+    return [CHECKS[name](df, dataset, by=by, keep=keep, **params) for name, params in checks.items()]
 
 
 class Watched:
@@ -344,7 +368,7 @@ class Watched:
         affected = CHECKS[name](stored, self.dataset, **params).affected if n else spark.createDataFrame([], AFFECTED)
         return Validation(report, affected)
 
-    def results(self, stored: DataFrame) -> list[Validation]:
+    def results(self, stored: DataFrame, keep: Keep | None = None) -> list[Validation]:
         counts = self.observation.get if self.faults else {}
         found = []
         for name, params in self.checks.items():
@@ -352,7 +376,7 @@ class Watched:
             if name in counts and (name == "validate_bounds" or not counts[name]):
                 found.append(self._counted(stored, name, counts[name]))
             else:
-                found.append(CHECKS[name](stored, self.dataset, **params))
+                found.append(CHECKS[name](stored, self.dataset, keep=keep, **params))
         return found
 
 

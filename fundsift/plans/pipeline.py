@@ -281,13 +281,16 @@ def run(raw: Raw, settings: Settings) -> Ranking:
     return rank_funds(evidence, prim.characteristics, settings)
 
 
-def check_inputs(raw: Raw) -> list[quality.Validation]:
-    """The configured checks of input tables, per file where files are known."""
+def check_inputs(raw: Raw, keep: quality.Keep | None = None) -> list[quality.Validation]:
+    """The configured checks of input tables, per file where files are known.
+
+    With ``keep``, what is at fault is stored at once (see ``quality.run_checks``).
+    """
     incoming = {"monthly_nav": files.unify_names(raw.monthly_nav), "blc_5": raw.family("blc_5")}
     results = []
     for name, table in incoming.items():
         by = "file_name" if "file_name" in table.columns else None
-        results += quality.run_checks(table, name, INPUT_CHECKS[name], by)
+        results += quality.run_checks(table, name, INPUT_CHECKS[name], by, keep)
     return results
 
 
@@ -322,16 +325,19 @@ def store(stage: Stage, root: str) -> Stage:
     return store_checked(stage, root)[0]
 
 
-def store_checked(stage: Stage, root: str) -> tuple[Stage, list[quality.Validation]]:
+def store_checked(
+    stage: Stage, root: str, keep: quality.Keep | None = None
+) -> tuple[Stage, list[quality.Validation]]:
     """As ``store``, with the configured checks of its tables.
 
-    What rows decide one by one is counted while they are written.
+    What rows decide one by one is counted while they are written. With ``keep``, what is at
+    fault is stored at once (see ``quality.run_checks``).
     """
     stored, results = {}, []
     for field, (name, table) in zip(fields(stage), _tables(stage).items()):
         watched = quality.Watched(table, name, OUTPUT_CHECKS.get(name, {}))
         stored[field.name] = sinks.write_table(watched.table, f"{root}/{field.name}")
-        results += watched.results(stored[field.name])
+        results += watched.results(stored[field.name], keep)
     return type(stage)(**stored), results
 
 
@@ -349,11 +355,15 @@ def run_and_store(
     ``reports`` the results of all configured checks (``quality``), everything at fault
     (``quality_affected``) and, where text ``lines`` are given by dataset, what the quote
     repair does to them (``repair``, ``repair_affected``). Each stage starts from the stored
-    tables of the one before.
+    tables of the one before. Monthly values and the registry, which several steps and checks
+    read, are stored first, and every check groups its table once.
     """
     settings = with_reference_dates(raw, settings)
-    inter, found = store_checked(intermediate(raw, settings), f"{root}/intermediate")
-    prim, more = store_checked(primary_tables(inter, raw.registry, settings), f"{root}/primary")
+    raw = replace(raw, monthly_nav=materialize(raw.monthly_nav), registry=materialize(raw.registry))
+    inter, found = store_checked(intermediate(raw, settings), f"{root}/intermediate", materialize)
+    prim, more = store_checked(
+        primary_tables(inter, raw.registry, settings), f"{root}/primary", materialize
+    )
     evidence = sinks.write_table(
         evidence_per_fund(
             prim.daily_returns, inter.holdings, prim.characteristics, prim.managers, settings
@@ -362,7 +372,7 @@ def run_and_store(
     )
     ranking = rank_funds(evidence, prim.characteristics, settings)
     write_results(ranking, f"{root}/ranking")
-    results = [*check_inputs(raw), *found, *more]
+    results = [*check_inputs(raw, materialize), *found, *more]
     reports = f"{root}/reports"
     sinks.write_table(quality.validation_report(results, include_passed=True), f"{reports}/quality")
     sinks.write_table(quality.affected_report(results), f"{reports}/quality_affected")

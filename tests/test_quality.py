@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundsift.operators import quality as q
+from fundsift.session import materialize
 from fundsift.sources import sinks
 
 from .conftest import rows
@@ -141,3 +142,28 @@ def test_passed_row_checks_read_nothing_again(spark, tmp_path):
     (result,) = watched.results(sinks.write_table(watched.table, str(tmp_path / "t")))
     plan = result.report._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in plan and result.affected.count() == 0
+
+
+def test_kept_checks_group_their_table_once(spark):
+    """Results are the same, but reports and rows at fault come from what was stored, not from the table."""
+    rows = [(1, "a", "2024-01-01"), (1, "a", "2024-01-01"), (2, "x", "2024-01-03"), (2, "y", "2024-01-05"), (3, None, "2024-01-03"), (None, "a", None)]
+    table = spark.createDataFrame(rows, "k int, v string, d string")
+    checks = {
+        "validate_uniqueness": {"group_columns": ["k", "v"]},
+        "validate_allowed_values": {"value_column": "v", "allowed_values": ["a"]},
+        "validate_time_completeness": {"time_column": "d", "group_column": "k", "date_format": "%Y-%m-%d"},
+    }
+    stored = []
+
+    def keep(df):
+        stored.append(df)
+        return materialize(df)
+
+    for source in (table, table.filter("k = 3 AND v = 'a'")):
+        kept, plain = q.run_checks(source, "t", checks, keep=keep), q.run_checks(source, "t", checks)
+        for one, other in zip(kept, plain, strict=True):
+            for a, b in zip(one, other, strict=True):
+                assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+                assert all("/table-" in name for name in a.inputFiles())
+                assert "ExistingRDD" not in a._jdf.queryExecution().optimizedPlan().toString() and "LogicalRDD" not in a._jdf.queryExecution().optimizedPlan().toString()
+    assert len(stored) == 6
