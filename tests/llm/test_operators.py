@@ -9,6 +9,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -479,6 +480,38 @@ def test_leaves_count_words_as_their_numbers_do(spark):
         assert shares.sum(axis=0) == pytest.approx(1, abs=1e-5)
 
 
+def test_words_are_hashed_as_spark_does(spark):
+    text = " ".join("é" * (n % 2) + "abcdefghijklmnopqrstuvwxyz0123456789" * 2 for n in range(2)) + "\t\x0b x\r\n" + " ".join("zyxwvutsrqponmlkjihgfedcba9876543210-~"[:n] for n in range(38)) + " "
+    starts, found = word_splitter.word_hashes(text.encode())
+    assert found.tolist() == [xxhash.xxh64_intdigest(w, 42) for w in text.encode().split()]
+    assert [text.encode()[s:].split()[0] for s in starts] == text.encode().split()
+    rows = spark.createDataFrame([(w.decode(),) for w in text.encode().split()], "w string").select(F.xxhash64("w")).collect()
+    assert found.astype(np.int64).tolist() == [r[0] for r in rows]
+    assert [len(word_splitter.word_hashes(raw)[0]) for raw in (b"", b" ", b"a", b" a", b"a ")] == [0, 0, 1, 1, 1]
+
+
+def test_new_words_are_not_hashed_one_by_one(monkeypatch):
+    calls = []
+    plain = xxhash.xxh64_intdigest
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda *a: calls.append(a) or plain(*a))
+    texts = [" ".join(f"new{k}" for k in range(i, i + 50)) for i in range(0, 5000, 50)] + [None, "", "end " * 300_000, "one"]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    found = list(maxent._training_batches(iter([batch, batch]), {b"end": 1}, 13))
+    assert sum(len(b.places) for b in found) == 2 * (5000 + 300_000 + 1 + len(texts))
+    assert sum(int((b.places == 1).sum()) for b in found) == 600_000
+    assert len(calls) < 10
+
+
+def test_small_inputs_in_many_parts_send_few_models(spark, monkeypatch):
+    parts = []
+    added = maxent._added_up
+    monkeypatch.setattr(maxent, "_added_up", lambda made, *a: parts.append(made.rdd.getNumPartitions()) or added(made, *a))
+    docs = spark.createDataFrame([(f"one two {k}",) for k in range(200)], "text string").repartition(40)
+    known = maxent.vocabulary(maxent.count_tokens(docs), 200)
+    maxent.train(docs, known)
+    assert len(parts) == maxent.ROUNDS and max(parts) <= 8
+
+
 def test_buckets_grow_with_the_tokens():
     assert [maxent.bucket_bits(n) for n in (0, 10**6, 1 << 27, 1 << 28, 1 << 40)] == [13, 13, 14, 15, 15]
 
