@@ -12,6 +12,7 @@ else may be repeated; the few strings left open in between are compared by conte
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundsift.llm.common import stage, whole
+from fundsift.llm.common import discard, shuffles_freed, stage, whole
 from fundsift.llm.merge_sort import common_prefix, sort_ranges
 
 #: Bytes of a repeated string, of an anchor, and the places an anchor may have in a string.
@@ -31,6 +32,13 @@ PLACES = LENGTH - ANCHOR + 1
 #: Strings looked at together, which bounds memory for very long texts.
 CHUNK = 1 << 18
 
+#: Records that are stored and sorted at the same time, as a share of all anchors, and open strings for each record.
+SORTED = 0.2
+OPEN = 2
+
+#: So many records, or open strings, always go together.
+LEAST = 1 << 20
+
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -224,13 +232,14 @@ def _across_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def _compared(records: DataFrame) -> DataFrame:
-    """Per record and neighbour in either order what the two show."""
-    found = []
+def _compared(records: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Per record and neighbour in either order what the two show, and the staged tables that it reads."""
+    found, read = [], []
     with_ahead = records.withColumn("ahead", F.octet_length("bytes") - F.col("before"))
     for forward, key_of in ((True, _forward), (False, _backward)):
         reduce, schema = _neighbours(forward)
         ranges = stage(sort_ranges(with_ahead, key_of, _CARRIED, reduce, schema), "neighbours")
+        read.append(ranges)
         edges = ranges.filter("part IS NOT NULL")
         picked = ["anchor", "stretch", "key", F.col("own_before").alias("before"), F.col("own_ahead").alias("ahead")]
         ends = ["anchor", "stretch", "key", "before", "ahead"]
@@ -240,11 +249,11 @@ def _compared(records: DataFrame) -> DataFrame:
         y = y.select("part", *[F.col(c).alias(f"y_{c}") for c in ends])
         between = x.join(y, "part").mapInArrow(_across_ranges, _NEIGHBOUR)
         found += [ranges.filter("part IS NULL").select("anchor", "stretch", "forward", "bound", "low", "high"), between]
-    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3]), read
 
 
-def _decide(before: int, ahead: int, most_ahead: int, most_behind: int, equal: list[dict]) -> tuple[list, list]:
-    """Strings known to be repeated, as intervals, and strings still open."""
+def _decide(before: int, ahead: int, most_ahead: int, most_behind: int, equal: list[dict]) -> tuple[list, list, int, int]:
+    """Strings known to be repeated, as intervals, strings still open, and the first and last that may be repeated."""
     known = sorted((e["low"], e["high"]) for e in equal if e["low"] <= e["high"])
     first, last = max(LENGTH - min(most_ahead, ahead), 0), min(most_behind, before)
     open_, at = [], first
@@ -252,7 +261,7 @@ def _decide(before: int, ahead: int, most_ahead: int, most_behind: int, equal: l
         open_ += range(at, min(low, last + 1))
         at = max(at, high + 1)
     open_ += range(at, last + 1)
-    return [{"low": a, "high": b} for a, b in known], open_
+    return [{"low": a, "high": b} for a, b in known], open_, first, last
 
 
 def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,32 +269,56 @@ def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         d = batch.to_pydict()
         found = [_decide(*v) for v in zip(d["before"], d["ahead"], d["most_ahead"], d["most_behind"], d["equal"], strict=True)]
-        arrays = [batch["anchor"], batch["stretch"], pa.array([f[0] for f in found], interval), pa.array([f[1] for f in found], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(arrays, ["anchor", "stretch", "equal", "open"])
+        kinds = [interval, pa.list_(pa.int64()), pa.int64(), pa.int64()]
+        arrays = [batch["anchor"], batch["stretch"], *(pa.array([f[i] for f in found], k) for i, k in enumerate(kinds))]
+        yield pa.RecordBatch.from_arrays(arrays, ["anchor", "stretch", "equal", "open", "first", "last"])
+
 
+def _equal_strings(records: DataFrame, decided: DataFrame) -> list[DataFrame]:
+    """(anchor, stretch, low, high), staged: strings that are open for some record and equal those of another.
 
-def _repeated_inside(records: DataFrame) -> DataFrame:
-    """(anchor, stretch, low, high): strings of stretches that another stretch has too."""
-    seen = _compared(records).groupBy("anchor", "stretch").agg(
+    Compared are only strings that may be repeated as far as their own record shows. They are
+    dealt out by anchor and offset, and about ``OPEN`` for each record are stored at a time.
+    """
+    offsets = decided.select("anchor", F.explode("open").alias("offset"))
+    offsets = stage(offsets.groupBy("anchor").agg(F.collect_set("offset").alias("offsets")), "open")
+    may_be = F.expr("filter(offsets, o -> o BETWEEN first AND last)").alias("offsets")
+    looked_at = decided.filter("first <= last").join(offsets, "anchor").select("anchor", "stretch", may_be)
+    looked_at = stage(looked_at.filter(F.size("offsets") > 0), "looked-at")
+    total = looked_at.agg(F.sum(F.size("offsets"))).first()[0] or 0
+    discard(offsets)
+    slices = -(-total // max(LEAST, OPEN * records.count()))
+    settled = []
+    for k in range(slices):
+        own = F.expr(f"filter(offsets, o -> pmod(xxhash64(anchor, o), {slices}) = {k})")
+        part = looked_at.select("anchor", "stretch", own.alias("offsets")).filter(F.size("offsets") > 0)
+        strings = records.join(part, ["anchor", "stretch"]).select("anchor", "stretch", "before", "bytes", F.explode("offsets").alias("offset"))
+        string = F.expr(f"substring(bytes, CAST(before - offset + 1 AS INT), {LENGTH})").alias("string")
+        strings = stage(strings.select("anchor", "stretch", "offset", string), "strings")
+        equal = strings.groupBy("anchor", "offset", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        equal = stage(equal, "equal-strings")
+        same = strings.join(equal, ["anchor", "offset", "string"])
+        settled.append(stage(same.select("anchor", "stretch", F.col("offset").alias("low"), F.col("offset").alias("high")), "settled"))
+        discard(strings, equal)
+    discard(looked_at)
+    return settled
+
+
+def _repeated_inside(records: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(anchor, stretch, low, high): strings of stretches that another stretch has too; and the staged tables that it reads."""
+    seen, read = _compared(records)
+    seen = seen.groupBy("anchor", "stretch").agg(
         F.coalesce(F.max(F.when(F.col("forward"), F.col("bound"))), F.lit(0)).alias("most_ahead"),
         F.coalesce(F.max(F.when(~F.col("forward"), F.col("bound"))), F.lit(0)).alias("most_behind"),
         F.collect_list(F.when(F.col("low") <= F.col("high"), F.struct("low", "high"))).alias("equal"),
     )
     sized = records.select("anchor", "stretch", "before", (F.octet_length("bytes") - F.col("before")).cast("long").alias("ahead"))
-    schema = "anchor long, stretch long, equal array<struct<low: long, high: long>>, open array<long>"
+    schema = "anchor long, stretch long, equal array<struct<low: long, high: long>>, open array<long>, first long, last long"
     decided = stage(sized.join(seen, ["anchor", "stretch"]).mapInArrow(_decided, schema), "decided")
+    discard(*read)
+    settled = _equal_strings(records, decided)
     shown = decided.select("anchor", "stretch", F.explode("equal").alias("e")).select("anchor", "stretch", "e.low", "e.high")
-    open_ = decided.select("anchor", F.explode("open").alias("offset")).distinct()
-    strings = (
-        records.join(open_, "anchor")
-        .filter("offset <= before AND before - offset + 200 <= octet_length(bytes)")
-        .select("anchor", "stretch", "offset", F.expr(f"substring(bytes, CAST(before - offset + 1 AS INT), {LENGTH})").alias("string"))
-    )
-    strings = stage(strings, "strings")
-    equal = strings.groupBy("anchor", "offset", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    equal = stage(equal, "equal-strings")
-    settled = strings.join(equal, ["anchor", "offset", "string"]).select("anchor", "stretch", F.col("offset").alias("low"), F.col("offset").alias("high"))
-    return shown.union(settled)
+    return reduce(DataFrame.union, settled, shown), [decided, *settled]
 
 
 def remove(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -319,32 +352,65 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["key", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(h1, h2, start, stop): byte ranges to remove, by the two hashes of a text."""
-    rows = docs.mapInArrow(_anchor_rows, "anchor long, stretch long, h1 long, h2 long, place long")
-    again = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    again = stage(again, "shared-anchors")
-    shared = stage(rows.join(again, "anchor"), "anchors")
-    copies = shared.groupBy("anchor", "stretch").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("h1", "h2", "place")).alias("of"))
-    copies = stage(copies, "stretches")
-    variants = copies.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    variants = stage(variants, "varied-anchors")
-    wanted = copies.join(variants, "anchor").select("anchor", "stretch", "copies", "of.h1", "of.h2", "of.place")
+def _by_text(spans: DataFrame, name: str) -> DataFrame:
+    """(h1, h2, spans), staged: the distinct byte ranges of each text."""
+    return stage(spans.distinct().groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), name)
+
+
+def _records(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """The bytes of stretches, each cut out of one text that has it; staged."""
+    wanted = copies.select("anchor", "stretch", "copies", "of.h1", "of.h2", "of.place")
     wanted = wanted.groupBy("h1", "h2").agg(F.collect_list(F.struct("anchor", "stretch", "copies", "place")).alias("wanted"))
     texts = docs.select("h1", "h2", "key", _packed(F.col("text")).alias("packed"))
     some = docs.groupBy("h1", "h2").agg(F.min("key").alias("_key"))
     sources = wanted.join(some, ["h1", "h2"]).join(texts, ["h1", "h2"]).filter(F.col("key").eqNullSafe(F.col("_key")))
     cut = sources.select("packed", "wanted").mapInArrow(_stretches, "anchor long, stretch long, before long, copies long, bytes binary")
-    records = stage(cut.dropDuplicates(["anchor", "stretch"]), "records")
+    return stage(cut.dropDuplicates(["anchor", "stretch"]), "records")
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(h1, h2, spans): byte ranges to remove, by the two hashes of a text.
+
+    Each table on the way is deleted once the tables made of it are written, so that the
+    disk holds what one step reads and writes, not what all steps do. Where records or open
+    strings would be many times the texts, they are made and compared in slices, one after another.
+    """
+    with shuffles_freed(docs.sparkSession):
+        return _repeated_spans(docs)
+
 
+def _repeated_spans(docs: DataFrame) -> DataFrame:
+    rows = stage(docs.mapInArrow(_anchor_rows, "anchor long, stretch long, h1 long, h2 long, place long"), "rows")
+    again = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    again = stage(again, "shared-anchors")
+    shared = stage(rows.join(again, "anchor"), "anchors")
+    anchors_in_all = rows.count()
+    discard(rows, again)
+    copies = shared.groupBy("anchor", "stretch").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("h1", "h2", "place")).alias("of"))
+    copies = stage(copies, "stretches")
     several = copies.filter("copies > 1").select("anchor", "stretch")
     whole_ones = shared.join(several, ["anchor", "stretch"]).selectExpr(
         "h1", "h2", f"{_AT} - {_BEFORE} AS start", f"{_AT} - {_BEFORE} + {_SPAN} + {LENGTH} AS stop"
     )
+    whole_ones = _by_text(whole_ones, "whole-stretches")
+    discard(shared)
+
+    variants = stage(copies.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "varied-anchors")
+    slices = -(-(variants.agg(F.sum("n")).first()[0] or 0) // max(LEAST, int(SORTED * anchors_in_all)))
     single = copies.filter("copies = 1").selectExpr("anchor", "stretch", "of.h1", "of.h2", "of.place")
-    parts = _repeated_inside(records).join(single, ["anchor", "stretch"])
-    parts = parts.selectExpr("h1", "h2", f"{_AT} - high AS start", f"{_AT} - low + {LENGTH} AS stop")
-    return whole_ones.union(parts).distinct()
+    found = [whole_ones]
+    for k in range(slices):
+        records = _records(docs, copies.join(variants.filter(F.pmod("anchor", F.lit(slices)) == k).select("anchor"), "anchor"))
+        inside, read = _repeated_inside(records)
+        parts = inside.join(single, ["anchor", "stretch"])
+        parts = parts.selectExpr("h1", "h2", f"{_AT} - high AS start", f"{_AT} - low + {LENGTH} AS stop")
+        found.append(_by_text(parts, "parts"))
+        discard(records, *read)
+    discard(copies, variants)
+    spans = reduce(DataFrame.union, found).groupBy("h1", "h2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = stage(spans, "spans")
+    discard(*found)
+    return spans
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -357,7 +423,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     known = whole(F.col(text))
     rows = docs.select(F.col(key).alias("key"), known.alias("text"), F.xxhash64(known).alias("h1"), F.xxhash64(F.lit(1), known).alias("h2"))
-    spans = repeated_spans(rows).groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = repeated_spans(rows)
     packed = rows.select("key", "h1", "h2", _packed(F.col("text")).alias("packed"))
     joined = packed.join(spans, ["h1", "h2"], "left").select("key", "packed", "spans")
     schema = rows.select("key").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")

@@ -16,8 +16,10 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from fundsift import session
 from fundsift.llm import (
     byte_bpe,
+    common,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -576,6 +578,71 @@ def test_repeats_of_overlapping_passages(spark, seed, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found} == expected
 
 
+@pytest.fixture
+def staged(monkeypatch):
+    """(name, rows) of the tables that the search for repeats stages, in order."""
+    found = []
+
+    def counted(df, name):
+        table = common.stage(df, name)
+        found.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(substrings, "stage", counted)
+    return found
+
+
+def overlapping(seed, n=60):
+    dice = random.Random(seed)
+    sources = ["".join(dice.choices("abcd ", k=900)) for _ in range(3)]
+    for k in range(n):
+        parts = []
+        for _ in range(3):
+            source, start = dice.choice(sources), dice.randrange(600)
+            parts += ["".join(dice.choices("xyz", k=dice.randrange(90))), source[start : start + dice.randint(150, 300)]]
+        yield k, "".join(parts)
+
+
+def test_repeats_found_in_slices(spark, monkeypatch, staged):
+    monkeypatch.setattr(substrings, "SORTED", 0)
+    monkeypatch.setattr(substrings, "OPEN", 0)
+    monkeypatch.setattr(substrings, "LEAST", 200)
+    rows = list(overlapping(5))
+    found = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = {r[0]: c for r, c in zip(rows, cleaned([r[1] for r in rows]), strict=True)}
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found} == expected
+    names = [name for name, _ in staged]
+    assert 1 < names.count("records") < names.count("strings")
+
+
+def test_tables_of_repeats_go_once_read(spark, monkeypatch):
+    most, before = [], set(session._SCRATCH)
+    monkeypatch.setattr(substrings, "stage", lambda df, name: (common.stage(df, name), most.append(len(set(session._SCRATCH) - before)))[0])
+    freed = spark.conf.get(common._FREED)
+    found = substrings.without_repeats(spark.createDataFrame(list(overlapping(6, 20)), "doc_id long, text string"))
+    left = set(session._SCRATCH) - before
+    assert len(left) == 1 and "/spans-" in left.pop()
+    assert max(most) <= 9 and len(most) > 15
+    assert spark.conf.get(common._FREED) == freed
+    assert len(found.collect()) == 20
+
+
+def test_only_strings_that_may_be_repeated_are_stored(spark, staged):
+    """One text makes strings open at a common passage; those of all other texts there are not looked at."""
+    dice = random.Random(9)
+
+    def some(n):
+        return "".join(dice.choices("abcdefgh", k=n))
+
+    passage, ahead, behind = some(120), some(150), some(150)
+    texts = [some(150) + passage + some(150) for _ in range(40)]
+    texts += [ahead + passage + some(150), some(150) + passage + behind, ahead + passage + behind]
+    found = substrings.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    expected = {k: c for k, c in enumerate(cleaned(texts))}
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found} == expected
+    assert 0 < sum(n for name, n in staged if name == "strings") < 200
+
+
 def test_removed_runs():
     assert substrings.remove(b"0123456789", [(2, 4), (3, 6), (6, 7), (9, 10)]) == (b"0178", 6, 2)
     assert substrings.remove(b"", []) == (b"", 0, 0)
